@@ -10,6 +10,7 @@ over 256 groups.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,26 +31,30 @@ def partition_rank(
 ) -> DataFrame:
     """``RANK()`` over (partition by ``parts`` order by every ``best_first`` column descending).
 
-    NULL sort values are ranked last. Each level windows over the distinct values of one sort column
-    inside one combination of the earlier ones, never over rows.
+    NULL sort values are ranked last. Rows better by the first sort column are counted over its
+    distinct values in the partition, rows equal in it over the distinct values of the others; neither
+    window runs over rows.
     """
     tag = [f"__s{i}" for i in range(len(best_first))]
-    values = df.select(*parts, *(F.col(c).alias(t) for c, t in zip(best_first, tag)))
-    level = values.groupBy(*parts, *tag).agg(F.count(F.lit(1)).alias("__n"))
-    better = level
-    totals = [f"__b{i}" for i in range(len(tag))]
-    for depth in range(len(tag)):
-        prefix = [*parts, *tag[:depth]]
-        at_level = level.groupBy(*prefix, tag[depth]).agg(F.sum("__n").alias("__n"))
-        ahead = at_level.select(
-            *prefix, tag[depth], _before(prefix, [F.col(tag[depth]).desc_nulls_last()], "__n").alias(totals[depth])
-        )
-        better = _null_safe_join(better, ahead, [*prefix, tag[depth]])
-    ranks = better.select(
-        *parts, *tag, (F.lit(1) + sum((F.col(t) for t in totals[1:]), F.col(totals[0]))).cast("int").alias(out)
+    cells = df.groupBy(*parts, *(F.col(c).alias(t) for c, t in zip(best_first, tag))).agg(
+        F.count(F.lit(1)).alias("__n")
+    )
+    first, others = tag[0], tag[1:]
+    leaders = cells.groupBy(*parts, first).agg(F.sum("__n").alias("__n"))
+    leaders = leaders.select(
+        *parts, first, _before(parts, [F.col(first).desc_nulls_last()], "__n").alias("__ahead")
     )
-    tagged = df.select("*", *(F.col(c).alias(t) for c, t in zip(best_first, tag)))
-    return _null_safe_join(tagged, ranks, [*parts, *tag]).drop(*tag)
+    if others:
+        inner = _before([*parts, first], [F.col(o).desc_nulls_last() for o in others], "__n")
+        level = cells.select(*parts, *tag, inner.alias("__beside"))
+        placed = _null_safe_join(level, leaders, [*parts, first])
+        better = F.col("__ahead") + F.col("__beside")
+    else:
+        placed, better = leaders, F.col("__ahead")
+    ranks = placed.select(*(F.col(c).alias(f"__r_{c}") for c in (*parts, *tag)), (better + 1).cast("int").alias(out))
+    on = [F.col(p).eqNullSafe(F.col(f"__r_{p}")) for p in parts]
+    on += [F.col(c).eqNullSafe(F.col(f"__r_{t}")) for c, t in zip(best_first, tag)]
+    return df.join(ranks, reduce(Column.__and__, on)).select(*df.columns, out)
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from statforge.operators.ranking import partition_rank
 from statforge.plans import metrics
 from statforge.plans.silver import clean_table
+from statforge.session import stored
 
 # Fixed value: the day ages are computed on.
 AS_OF = "2024-06-30"
@@ -244,16 +245,30 @@ def silver(t: Tables, name: str) -> DataFrame:
     return clean_table(name, RAW[name](t), audit=False)
 
 
+METRICS = {
+    "player_form_metrics": (metrics.form_metrics, "player_performances"),
+    "market_value_trends": (metrics.value_summary, "player_market_value"),
+    "injury_risk_scores": (metrics.injury_risk, "player_injuries"),
+    "transfer_intelligence": (metrics.transfer_intelligence, "transfer_history"),
+}
+
+
+def metric(t: Tables, name: str) -> DataFrame:
+    """One metric table over the driver's data, without audit columns."""
+    compute, source = METRICS[name]
+    return compute(silver(t, source), audit=False)
+
+
+def profile_360(t: Tables) -> DataFrame:
+    parts = (metric(t, name) for name in METRICS)
+    return metrics.profile_360(silver(t, "player_profiles"), *parts, as_of=AS_OF, audit=False)
+
+
 def gold(t: Tables) -> dict[str, DataFrame]:
-    """All metric tables over the driver's data, without audit columns."""
-    parts = {
-        "player_form_metrics": metrics.form_metrics(silver(t, "player_performances"), audit=False),
-        "market_value_trends": metrics.value_summary(silver(t, "player_market_value"), audit=False),
-        "injury_risk_scores": metrics.injury_risk(silver(t, "player_injuries"), audit=False),
-        "transfer_intelligence": metrics.transfer_intelligence(silver(t, "transfer_history"), audit=False),
-    }
+    """All metric tables, each stored, as the serving views find them."""
+    parts = {name: stored(metric(t, name), name) for name in METRICS}
     profile = metrics.profile_360(silver(t, "player_profiles"), *parts.values(), as_of=AS_OF, audit=False)
-    return {**parts, "player_analytics_360": profile}
+    return {**parts, "player_analytics_360": stored(profile, "player_analytics_360")}
 
 
 # ---- standings, competitions ------------------------------------------------------------------------

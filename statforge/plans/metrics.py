@@ -8,6 +8,7 @@ aggregation partitioned by it, so the joins of ``profile_360`` need no further s
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from statforge.functions import expr as E
 from statforge.operators.dedup import first_by_key
 from statforge.operators.ranking import global_rank
 from statforge.operators.timeline import with_neighbours
+from statforge.session import stored
 
 KEY = "player_id"
 CALCULATED_AT = "gold_processed_timestamp"
@@ -228,10 +230,12 @@ def profile_360(
     transfers: DataFrame,
     as_of: dt.date | str | None = None,
     audit: bool = True,
+    materialise: Callable[[DataFrame], DataFrame] = stored,
 ) -> DataFrame:
     """All metrics of every player with scores, rank and percentile.
 
-    Ranks are given before players without a name are dropped, so those leave gaps.
+    Ranks are given before players without a name are dropped, so those leave gaps. Ranking reads its
+    input twice (to count and to place), so the joined rows are written once with ``materialise``.
     """
     wanted = [
         KEY,
@@ -244,7 +248,7 @@ def profile_360(
         "foot",
     ]
     rows = join_metrics(profiles.select(*wanted), form, values, injuries, transfers)
-    rows = add_scores(rows.withColumn("age", E.age_years("date_of_birth", as_of)))
+    rows = materialise(add_scores(rows.withColumn("age", E.age_years("date_of_birth", as_of))))
     ranked = global_rank(rows, "overall_player_score", KEY, "player_rank", "player_rank_percentile")
     named = ranked.where(F.col("player_name").isNotNull() & F.col(KEY).isNotNull())
     return _stamped(

@@ -65,12 +65,12 @@ def query(work: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
 
 @query
 def form_metrics(t):
-    return B.gold(t)["player_form_metrics"]
+    return B.metric(t, "player_form_metrics")
 
 
 @query
 def value_summary(t):
-    return B.gold(t)["market_value_trends"]
+    return B.metric(t, "market_value_trends")
 
 
 @query
@@ -80,18 +80,17 @@ def value_timeline(t):
 
 @query
 def injury_risk(t):
-    return B.gold(t)["injury_risk_scores"]
+    return B.metric(t, "injury_risk_scores")
 
 
 @query
 def transfer_intel(t):
-    return B.gold(t)["transfer_intelligence"]
+    return B.metric(t, "transfer_intelligence")
 
 
 @query
 def left_chain_join(t):
-    parts = B.gold(t)
-    metric = [parts[n] for n in ("player_form_metrics", "market_value_trends", "injury_risk_scores", "transfer_intelligence")]
+    metric = [B.metric(t, name) for name in B.METRICS]
     joined = metrics.join_metrics(B.silver(t, "player_profiles").select("player_id", "player_name"), *metric)
     return joined.select(
         "player_id", "player_name", "total_seasons", "value_records_count", "total_injuries", "total_transfers"
@@ -100,15 +99,14 @@ def left_chain_join(t):
 
 @query
 def profile_scores(t):
-    parts = B.gold(t)
-    metric = [parts[n] for n in ("player_form_metrics", "market_value_trends", "injury_risk_scores", "transfer_intelligence")]
+    metric = [B.metric(t, name) for name in B.METRICS]
     scored = metrics.add_scores(metrics.join_metrics(B.silver(t, "player_profiles").select("player_id"), *metric))
     return scored.select("player_id", "performance_score", "market_score", "health_score", "overall_player_score")
 
 
 @query
 def profile_360(t):
-    return B.gold(t)["player_analytics_360"]
+    return B.profile_360(t)
 
 
 # ---- ranks, windows, duplicates ----------------------------------------------------------------------
@@ -191,7 +189,7 @@ def utc_shift(t):
 
 @query
 def anti_join_orphans(t):
-    return Q.orphans(t.customer.select("c_custkey", "c_name"), t.orders, {"c_custkey": "o_custkey"})
+    return Q.orphans(t.orders.select("o_orderkey", "o_custkey"), t.lineitem, {"o_orderkey": "l_orderkey"})
 
 
 @query
@@ -224,9 +222,8 @@ def duplicate_members(t):
 
 @query
 def null_profile(t):
-    parts = B.gold(t)
     rows = B.silver(t, "player_profiles").select("player_id", "player_name", "height").join(
-        parts["injury_risk_scores"].select("player_id", "total_injuries", "injury_risk_level"), "player_id", "left"
+        B.metric(t, "injury_risk_scores").select("player_id", "total_injuries", "injury_risk_level"), "player_id", "left"
     )
     return Q.column_profile(rows, "players")
 
@@ -255,18 +252,17 @@ def union_counts(t):
 
 @query
 def top_players(t):
-    return views.top_players(B.gold(t)["player_analytics_360"])
+    return views.top_players(B.profile_360(t))
 
 
 @query
 def high_value_low_risk(t):
-    return views.high_value_low_risk(B.gold(t)["player_analytics_360"])
+    return views.high_value_low_risk(B.profile_360(t))
 
 
 @query
 def transfer_opportunities(t):
-    parts = B.gold(t)
-    return views.transfer_opportunities(parts["player_analytics_360"], parts["transfer_intelligence"])
+    return views.transfer_opportunities(B.profile_360(t), B.metric(t, "transfer_intelligence"))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -277,12 +273,12 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query
 def position_stats(t):
-    return _rounded(views.position_statistics(B.gold(t)["player_analytics_360"]))
+    return _rounded(views.position_statistics(B.profile_360(t)))
 
 
 @query
 def age_groups(t):
-    return _rounded(views.age_group_analysis(B.gold(t)["player_analytics_360"]))
+    return _rounded(views.age_group_analysis(B.profile_360(t)))
 
 
 @query
@@ -304,12 +300,12 @@ def young_opportunities(t):
 
 @query
 def valuable_safe_players(t):
-    return views.valuable_safe_players(views.high_value_low_risk(B.gold(t)["player_analytics_360"]))
+    return views.valuable_safe_players(views.high_value_low_risk(B.profile_360(t)))
 
 
 @query
 def positions_by_score(t):
-    return _rounded(views.positions_by_score(views.position_statistics(B.gold(t)["player_analytics_360"])))
+    return _rounded(views.positions_by_score(views.position_statistics(B.profile_360(t))))
 
 
 # ---- standings --------------------------------------------------------------------------------------------

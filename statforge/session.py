@@ -9,7 +9,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "statforge", **conf: str) -> SparkSession:
@@ -49,3 +49,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str = "stage") -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For results that several later steps use: they are computed once, survive lost executors, and
+    keep column pruning, unlike an RDD checkpoint.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
