@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 ColumnLike = Column | str
 
 # Fixed formats of the inputs.
-DATE_PATTERN = "yyyy-MM-dd"
+DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"  # yyyy-MM-dd
 ISO_UTC_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
@@ -43,8 +43,16 @@ def first_text(*columns: ColumnLike) -> Column:
 # ---- numbers ----------------------------------------------------------------------------------
 
 
+# Casts of unreadable text raise inside Spark and are caught there, which costs microseconds per cell.
+# These patterns let only readable text reach a cast.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?\s*$"
+_WHOLE_NUMBER = r"^\s*[+-]?\d+(\.\d*)?\s*$"
+
+
 def lenient_double(column: ColumnLike) -> Column:
-    return _c(column).try_cast("double")
+    """A double, NULL when the text is not a plain or scientific number."""
+    text_form = _c(column).cast("string")
+    return F.when(text_form.rlike(_NUMBER), text_form.try_cast("double"))
 
 
 def lenient_int(column: ColumnLike, source: T.DataType | None = None) -> Column:
@@ -57,8 +65,7 @@ def lenient_int(column: ColumnLike, source: T.DataType | None = None) -> Column:
     col = _c(column)
     if source is not None and not isinstance(source, T.StringType):
         return col.try_cast("int")
-    whole = F.substring_index(F.trim(col), ".", 1).try_cast("int")
-    return F.when(col.try_cast("double").isNotNull(), whole)
+    return F.when(col.rlike(_WHOLE_NUMBER), F.substring_index(F.trim(col), ".", 1).try_cast("int"))
 
 
 def int_or_zero(column: ColumnLike, source: T.DataType | None = None) -> Column:
@@ -128,7 +135,8 @@ def lenient_date(column: ColumnLike, source: T.DataType | None = None) -> Column
     col = _c(column)
     if isinstance(source, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return col.cast("date")
-    return F.try_to_date(col.cast("string"), DATE_PATTERN)
+    shown = col.cast("string")
+    return F.when(shown.rlike(DATE_PATTERN), shown.try_cast("date"))
 
 
 def iso_utc(column: ColumnLike) -> Column:

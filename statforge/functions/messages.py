@@ -191,10 +191,13 @@ MATCH_ZONE = "Asia/Ho_Chi_Minh"
 def parse(messages: DataFrame, schema: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """``raw_json`` text and its parsed ``data``; broken text gives an all-NULL ``data``.
 
-    ``carry`` names columns of the message source (offset, timestamp) to keep.
+    ``carry`` names columns of the message source (offset, timestamp) to keep. The one-element explode
+    makes Spark parse a message once; as a plain column the parser would be copied into every field
+    that is read from ``data``.
     """
     raw = F.col("value").cast("string")
-    return messages.select(raw.alias("raw_json"), F.from_json(raw, schema).alias("data"), *carry)
+    once = F.explode(F.array(F.from_json(raw, schema)))
+    return messages.select(raw.alias("raw_json"), once.alias("data"), *carry)
 
 
 def unreadable(parsed: DataFrame, probe: str = "id") -> DataFrame:

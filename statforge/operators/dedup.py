@@ -50,7 +50,8 @@ def first_by_key(
     sort = list(order)
     if total:
         sort += tie_break(df, skip=[k for k in keys if isinstance(k, str)] + list(skip))
-    window = Window.partitionBy(*keys).orderBy(*sort)
+    # A table of nothing but keys has equal copies only; any of them will do.
+    window = Window.partitionBy(*keys).orderBy(*(sort or [F.lit(0)]))
     return df.withColumn(_RN, F.row_number().over(window)).where(F.col(_RN) == 1).drop(_RN)
 
 

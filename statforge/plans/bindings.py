@@ -96,7 +96,7 @@ def raw_performances(t: Tables) -> DataFrame:
         _flag((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F")).cast("string").alias("direct_red_cards"),
         _flag((line == 1) & (F.col("l_tax") > 0.05)).cast("string").alias("penalty_goals"),
         F.concat(minutes.cast("string"), F.lit(".5")).alias("minutes_played"),
-        F.lit("3000000000").alias("goals_conceded"),
+        F.when(line == 3, F.lit("3000000000")).otherwise(F.lit("4")).alias("goals_conceded"),
         F.lit(" 2 ").alias("clean_sheets"),
     )
 

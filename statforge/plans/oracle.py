@@ -79,7 +79,7 @@ CTES["raw_performances"] = """
     CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN '1' ELSE '0' END AS direct_red_cards,
     CASE WHEN l_linenumber = 1 AND l_tax > 0.05 THEN '1' ELSE '0' END AS penalty_goals,
     (CAST(trunc(l_quantity) AS BIGINT) * (1 + o_custkey % 4)) || '.5' AS minutes_played,
-    '3000000000' AS goals_conceded, ' 2 ' AS clean_sheets
+    CASE WHEN l_linenumber = 3 THEN '3000000000' ELSE '4' END AS goals_conceded, ' 2 ' AS clean_sheets
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 CTES["performances"] = f"""
   SELECT player_id, {_trims('season_name', 'competition_id', 'competition_name', 'team_id', 'team_name')},
@@ -574,6 +574,15 @@ SELECT user_id AS match_id, upper(event_type) AS status,
   {_ts("make_timestamp(CAST((1700000000 + event_id) * 1000000 AS BIGINT)) + INTERVAL 7 HOUR")} AS last_updated,
   'H' || (user_id % 20) AS home_team_name, CAST(floor(value) AS BIGINT) % 5 AS ft_home_goals, CAST(0 AS BIGINT) AS matchday, 'DRAW' AS winner
 FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1"""
+_Q["standings_from_files"] = """
+SELECT competition_id, season_id, stage, standing_type, team_id, group_name,
+  CASE WHEN known THEN 'old' ELSE competition_name END AS competition_name, position, points, won, team_name
+FROM (SELECT *, bool_or(points % 2 = 0) OVER k AS known,
+    row_number() OVER (PARTITION BY competition_id, season_id, stage, standing_type, team_id, group_name
+      ORDER BY points % 3 DESC, position, played_games, points) AS rn
+  FROM flat_standings
+  WINDOW k AS (PARTITION BY competition_id, season_id, stage, standing_type, team_id, group_name))
+WHERE rn = 1"""
 _Q["ingest_roundtrip"] = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'say "hi",' || chr(10) || o_orderpriority
     WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS note, o_totalprice, true AS has_lineage

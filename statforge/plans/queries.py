@@ -23,7 +23,7 @@ from statforge.plans import bindings as B
 from statforge.plans import checks, metrics, views
 from statforge.plans.bindings import Tables
 from statforge.plans.pipeline import ingest, raise_failures, run_pipeline
-from statforge.session import scratch
+from statforge.session import scratch, stored
 from statforge.sinks.files import Snapshot, delete_expired, retained, write_parquet
 from statforge.sinks.jdbc import split_by_size
 from statforge.sources.files import read_layer, source_inventory, verify_layer
@@ -311,6 +311,11 @@ def positions_by_score(t):
 # ---- standings --------------------------------------------------------------------------------------------
 
 
+def _leaderboards(t: Tables) -> DataFrame:
+    """The standings as a stored table, as the serving views find them."""
+    return stored(B.standings(t), "leaderboards")
+
+
 @query
 def league_table(t):
     return B.standings(t)
@@ -318,43 +323,43 @@ def league_table(t):
 
 @query
 def current_standings(t):
-    return views.current_standings(B.standings(t), B.competitions(t))
+    return views.current_standings(_leaderboards(t), B.competitions(t))
 
 
 @query
 def top_teams(t):
-    return views.top_teams(B.standings(t), B.competitions(t))
+    return views.top_teams(_leaderboards(t), B.competitions(t))
 
 
 @query
 def conditional_left_join(t):
-    return views.competition_summary(B.standings(t), B.competitions(t))
+    return views.competition_summary(_leaderboards(t), B.competitions(t))
 
 
 @query
 def home_away(t):
-    return views.home_away(B.standings(t), B.competitions(t))
+    return views.home_away(_leaderboards(t), B.competitions(t))
 
 
 @query
 def competition_rankings(t):
-    return views.competition_rankings(B.standings(t), B.competitions(t), audit=False)
+    return views.competition_rankings(_leaderboards(t), B.competitions(t), audit=False)
 
 
 @query
 def standings_filters(t):
-    rows = views.standings_of(B.standings(t), competition_code="AS", group_name="Group A")
+    rows = views.standings_of(_leaderboards(t), competition_code="AS", group_name="Group A")
     return rows.select("season_id", "group_name", "position", "team_name", "played_games", "points", "goal_difference")
 
 
 @query
 def best_by_points(t):
-    return views.best_by_points(B.standings(t))
+    return views.best_by_points(_leaderboards(t))
 
 
 @query
 def rankings_filter(t):
-    ranked = views.competition_rankings(B.standings(t), B.competitions(t), audit=False)
+    ranked = views.competition_rankings(_leaderboards(t), B.competitions(t), audit=False)
     return views.rankings_of(ranked, "AM").select("team_id", "position", "overall_rank", "points", "win_percentage")
 
 
@@ -362,7 +367,7 @@ def rankings_filter(t):
 def snapshot_refresh(t):
     """Refresh a snapshot twice; readers see the second version."""
     stored = Snapshot(t.spark, scratch(t.spark, "snapshots"), "mv_competition_rankings")
-    ranked = views.competition_rankings(B.standings(t), B.competitions(t), audit=False)
+    ranked = views.competition_rankings(_leaderboards(t), B.competitions(t), audit=False)
     stored.refresh(ranked.limit(1))
     stored.refresh(ranked)
     return stored.read().select("competition_id", "season_id", "team_id", "overall_rank", "points_per_game")

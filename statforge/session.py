@@ -21,6 +21,9 @@ def local_session(cpus: int | str = 8, app: str = "statforge", **conf: str) -> S
         .config("spark.sql.shuffle.partitions", str(cpus) if str(cpus).isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Small local files: let every row group be a task, and skip call-site capture per column.
+        .config("spark.sql.files.openCostInBytes", str(256 * 1024))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("STATFORGE_DRIVER_MEMORY", "8g"))
     )
     for key, value in conf.items():
