@@ -7,7 +7,8 @@ third of all changes is harmless.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,6 +96,31 @@ def resolve_partial(
     return reduced.select(*(picked[c].alias(c) for c in changes.columns if c in picked))
 
 
+def merge(
+    base: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    resolve_rows: Callable[[DataFrame], DataFrame],
+    blank_null: Sequence[str] = (),
+) -> DataFrame:
+    """State after ``changes`` on top of a ``base`` that has one row per key.
+
+    Only base rows whose key occurs in the changes are resolved; the others pass through. With few
+    changed keys Spark broadcasts them (by their measured size) and the base is not shuffled.
+    """
+    names = [f"__k{i}" for i in range(len(keys))]
+    touched = changes.select(*(c.alias(n) for c, n in zip(_key_columns(keys, blank_null), names))).distinct()
+    pairs = zip(_key_columns(keys, blank_null), names)
+    on = reduce(Column.__and__, (c.eqNullSafe(F.col(n)) for c, n in pairs))
+    affected = base.join(touched, on, "left_semi").unionByName(changes)
+    return base.join(touched, on, "left_anti").unionByName(resolve_rows(affected))
+
+
+def bucket_of(keys: Sequence[str], buckets: int, blank_null: Sequence[str] = ()) -> Column:
+    """Hash bucket of a row's key; equal keys (blank and NULL included) share one."""
+    return F.pmod(F.xxhash64(*_key_columns(keys, blank_null)), F.lit(buckets)).cast("int")
+
+
 def upsert(
     target: DataFrame,
     batch: DataFrame,
@@ -105,11 +131,14 @@ def upsert(
     blank_null: Sequence[str] = (),
 ) -> DataFrame:
     """``target`` after one batch: matched rows replaced (or partly updated), others inserted."""
+    partial = update_columns is not None
     incoming = newest_in_batch(batch.select(*target.columns), keys, newest, blank_null)
-    changes = target.withColumns({"_seq": F.lit(0), PARTIAL: F.lit(False)}).unionByName(
-        incoming.withColumns({"_seq": F.lit(1), PARTIAL: F.lit(update_columns is not None)})
-    )
-    if update_columns is not None:
-        return resolve_partial(changes, keys, ["_seq"], update_columns, blank_null=blank_null).select(*target.columns)
-    state = resolve(changes.drop(PARTIAL), keys, ["_seq"], policy, newest, blank_null)
-    return state.select(*target.columns)
+    base = target.withColumns({"_seq": F.lit(0), PARTIAL: F.lit(False)})
+    changes = incoming.withColumns({"_seq": F.lit(1), PARTIAL: F.lit(partial)})
+
+    def winners(rows: DataFrame) -> DataFrame:
+        if partial:
+            return resolve_partial(rows, keys, ["_seq"], update_columns, blank_null=blank_null, keep_meta=True)
+        return resolve(rows, keys, ["_seq"], policy, newest, blank_null)
+
+    return merge(base, changes, keys, winners, blank_null).select(*target.columns)

@@ -512,7 +512,7 @@ def upsert_partial(t):
 @query
 def standings_from_files(t):
     """Standings messages loaded file by file onto existing rows; only some columns change."""
-    flat = M.flatten_standings(M.parse(B.standings_messages(t), M.STANDINGS), audit=False)
+    flat = stored(M.flatten_standings(M.parse(B.standings_messages(t), M.STANDINGS), audit=False), "standings")
     rows = flat.withColumn("processed_at", F.lit("now"))
     files = rows.withColumn("file", F.concat(F.lit("f"), (F.col("points") % 3).cast("string")))
     state = rows.where("points % 2 = 0").withColumns({"competition_name": F.lit("old"), "won": F.lit(7)})
@@ -536,7 +536,8 @@ def stream_upsert(t):
 # ---- layers, quality, pipeline --------------------------------------------------------------------------------------
 
 
-def _write_raw(t: Tables, root: str, names) -> None:
+def write_raw(t: Tables, root: str, names) -> None:
+    """Raw tables as CSV below ``root``, one folder per table."""
     for name in names:
         B.RAW[name](t).write.option("header", True).option("escape", '"').option(
             "ignoreLeadingWhiteSpace", False
@@ -609,7 +610,7 @@ def load_by_size(t):
 def pipeline_run(t):
     """CSV files of all raw tables through every stage; the combined profile at the end."""
     root = scratch(t.spark, "pipeline")
-    _write_raw(t, f"{root}/raw", B.RAW)
+    write_raw(t, f"{root}/raw", B.RAW)
     run_pipeline(t.spark, f"{root}/raw", f"{root}/out", B.AS_OF)
     profile = read_layer(t.spark, f"{root}/out/gold", "player_analytics_360").drop("gold_processed_timestamp")
     return profile.withColumns(

@@ -2,10 +2,10 @@
 
 Layout below the table's root::
 
-    log/run=<n>-<name>/batch=<id>/    the changes of one micro-batch, one per key
-    base/run=<n>/batch=<id>/          state after that batch, written by ``compact``
+    log/run=<n>-<name>/batch=<id>/              the changes of one micro-batch, one per key
+    base/run=<n>/batch=<id>/_bucket=<k>/        state after that batch, by hash bucket of the key
 
-A batch is written with overwrite to a directory of its own, so a replayed batch replaces itself. A
+``compact`` writes only the buckets that changed; the others stay where an earlier one put them. A batch is written with overwrite to a directory of its own, so a replayed batch replaces itself. A
 base counts only once Spark has committed it (``_SUCCESS``), so a lost writer leaves the old state
 valid. Nothing that is being read is overwritten. One writer per table at a time.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from statforge.operators import upsert as U
 from statforge.sinks.files import child_dirs, drop_dir, write_parquet
 
-_RUN, _BATCH = "_run", "_batch"
+_RUN, _BATCH, _BUCKET = "_run", "_batch", "_bucket"
 
 
 class UpsertTable:
@@ -29,7 +29,8 @@ class UpsertTable:
 
     ``newest`` orders changes inside a batch (and, with ``latest_event``, across batches);
     ``blank_null`` lists text key columns where NULL and ``''`` are one key; ``update_columns`` are
-    the columns that a partial batch may change in an existing row.
+    the columns that a partial batch may change in an existing row. ``buckets`` is the unit of
+    compaction and must not change during a table's life.
     """
 
     def __init__(
@@ -41,11 +42,13 @@ class UpsertTable:
         policy: str = U.LAST_WRITER,
         blank_null: Sequence[str] = (),
         update_columns: Sequence[str] | None = None,
+        buckets: int = 64,
     ):
         if update_columns is not None and policy != U.LAST_WRITER:
             raise ValueError("partial updates are applied in writing order; use policy 'last_writer'")
         self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
         self.newest, self.policy, self.blank_null = newest, policy, tuple(blank_null)
+        self.buckets = buckets
         self.update_columns = None if update_columns is None else list(update_columns)
 
     # ---- runs --------------------------------------------------------------------------------
@@ -83,58 +86,82 @@ class UpsertTable:
         return write_parquet(stamped, f"{self.root}/log/run={run}/batch={int(batch_id):012d}")
 
     def compact(self) -> int:
-        """Write the current state as a new base; returns its row count (0 if there was nothing new).
+        """Fold the log into new versions of the buckets it touches; returns the rows written.
 
-        The base and the log that readers of the previous state may still use are kept until the
-        next call. The newest log directory always stays: it carries the run number.
+        What readers of the previous state may still use is kept until the next call. The newest log
+        directory always stays: it carries the run number.
         """
-        previous, log = self._base(), self._log()
+        log = self._log()
         if not log:
             return 0
+        bucket = U.bucket_of(self.keys, self.buckets, self.blank_null)
+        changes = self._read(log)
+        touched = {row[0] for row in changes.select(bucket).distinct().collect()}  # at most ``buckets``
+        if not touched:
+            return 0
+        before = self._base()
+        old = [path for k, path in before.items() if k in touched]
+        state = self._merged(old, changes).withColumn(_BUCKET, bucket)
         run, batch, _ = log[-1]
-        rows = write_parquet(self._state(keep_meta=True), f"{self.root}/base/run={run:06d}/batch={batch:012d}")
-        if previous:
-            for older in self._dirs(f"{self.root}/base"):
-                if older[:2] < previous[:2]:
-                    drop_dir(self.spark, older[2])
-            for entry in self._dirs(f"{self.root}/log")[:-1]:
-                if entry[:2] <= previous[:2]:
-                    drop_dir(self.spark, entry[2])
+        target = f"{self.root}/base/run={run:06d}/batch={batch:012d}"
+        rows = write_parquet(state.repartition(min(len(touched), self.buckets), _BUCKET), target, [_BUCKET])
+        self._tidy(before, log[0][:2])
         return rows
 
+    def _tidy(self, before: dict[int, str], first_new: tuple[int, int]) -> None:
+        """Drop base versions and log entries that neither the new nor the previous state reads."""
+        live = {path.rsplit("/", 1)[0] for path in (*before.values(), *self._base().values())}
+        for _, _, path in self._dirs(f"{self.root}/base"):
+            if path not in live:
+                drop_dir(self.spark, path)
+        for entry in self._dirs(f"{self.root}/log")[:-1]:
+            if entry[:2] < first_new:
+                drop_dir(self.spark, entry[2])
+
     # ---- reading -----------------------------------------------------------------------------
 
     def current(self) -> DataFrame:
         """Current rows, without bookkeeping columns."""
-        return self._state(keep_meta=False)
+        log, base = self._log(), list(self._base().values())
+        if not log and not base:
+            raise FileNotFoundError(f"no committed batch below {self.root}")
+        state = self._merged(base, self._read(log)) if log else self.spark.read.parquet(*base)
+        return state.drop(_RUN, _BATCH, U.PARTIAL)
 
-    def _base(self) -> tuple[int, int, str] | None:
-        found = self._dirs(f"{self.root}/base")
-        return found[-1] if found else None
+    def _read(self, log: list[tuple[int, int, str]]) -> DataFrame:
+        return self.spark.read.parquet(*(path for _, _, path in log))
+
+    def _merged(self, base: list[str], changes: DataFrame) -> DataFrame:
+        if not base:
+            return self._resolve(changes)
+        return U.merge(self.spark.read.parquet(*base), changes, self.keys, self._resolve, self.blank_null)
+
+    def _resolve(self, changes: DataFrame) -> DataFrame:
+        sequence = [_RUN, _BATCH]
+        if self.update_columns is None:
+            return U.resolve(changes, self.keys, sequence, self.policy, self.newest, self.blank_null)
+        return U.resolve_partial(
+            changes, self.keys, sequence, self.update_columns, blank_null=self.blank_null, keep_meta=True
+        )
+
+    def _base(self) -> dict[int, str]:
+        """Newest committed directory of every bucket."""
+        newest: dict[int, str] = {}
+        for _, _, path in self._dirs(f"{self.root}/base"):
+            for name in child_dirs(self.spark, path, committed=False):
+                newest[int(name.split("=")[1])] = f"{path}/{name}"
+        return newest
 
     def _log(self) -> list[tuple[int, int, str]]:
-        """Committed batches that are newer than the base."""
-        base = self._base()
-        covered = base[:2] if base else (0, -1)
+        """Committed batches that are newer than the newest base version."""
+        versions = self._dirs(f"{self.root}/base")
+        covered = versions[-1][:2] if versions else (0, -1)
         return [d for d in self._dirs(f"{self.root}/log") if d[:2] > covered]
 
     def _dirs(self, parent: str) -> list[tuple[int, int, str]]:
+        """Committed ``run=/batch=`` directories, oldest first."""
         out = []
         for run in child_dirs(self.spark, parent, committed=False):
             for batch in child_dirs(self.spark, f"{parent}/{run}"):
                 out.append((int(run[4:].split("-")[0]), int(batch[6:]), f"{parent}/{run}/{batch}"))
         return sorted(out)
-
-    def _state(self, keep_meta: bool) -> DataFrame:
-        base, log = self._base(), self._log()
-        paths = ([base[2]] if base else []) + [path for _, _, path in log]
-        if not paths:
-            raise FileNotFoundError(f"no committed batch below {self.root}")
-        changes = self.spark.read.parquet(*paths)
-        sequence = [_RUN, _BATCH]
-        if self.update_columns is not None:
-            return U.resolve_partial(
-                changes, self.keys, sequence, self.update_columns, blank_null=self.blank_null, keep_meta=keep_meta
-            )
-        state = U.resolve(changes, self.keys, sequence, self.policy, self.newest, self.blank_null)
-        return state if keep_meta else state.drop(*sequence, U.PARTIAL)
