@@ -50,7 +50,7 @@ class StageFailed(RuntimeError):
         self.report = list(report)
 
 
-def _each(names: Sequence[str], work: Callable[[str], int], at_once: int = 4) -> list[dict]:
+def _each(spark: SparkSession, names: Sequence[str], work: Callable[[str], int], at_once: int = 4) -> list[dict]:
     """Run ``work`` for every table; a failure is recorded and the rest go on.
 
     Up to ``at_once`` tables are submitted together, so that small ones fill the cluster while a
@@ -66,7 +66,7 @@ def _each(names: Sequence[str], work: Callable[[str], int], at_once: int = 4) ->
             return {"table": name, "status": "FAILED", "error": str(error)[:300]}
 
     with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
-        return list(pool.map(inheritable_thread_target(one), names))
+        return list(pool.map(inheritable_thread_target(spark)(one), names))
 
 
 def raise_failures(stage: str, report: list[dict]) -> list[dict]:
@@ -90,7 +90,7 @@ def ingest(
         rows = scan_csv(spark, f"{raw_root.rstrip('/')}/{name}/{name}.csv", schema, **scan)
         return write_parquet(rows, f"{bronze_root.rstrip('/')}/{name}")
 
-    return _each(tables, one)
+    return _each(spark, tables, one)
 
 
 def clean_all(
@@ -101,7 +101,7 @@ def clean_all(
     def one(name: str) -> int:
         return write_parquet(clean_table(name, read_layer(spark, bronze_root, name)), f"{silver_root.rstrip('/')}/{name}")
 
-    return _each(tuple(SILVER) if tables is None else tables, one)
+    return _each(spark, tuple(SILVER) if tables is None else tables, one)
 
 
 def compute_gold(
@@ -127,7 +127,7 @@ def compute_gold(
     def one(name: str) -> int:
         return write_parquet(plans[name](), f"{gold_root.rstrip('/')}/{name}")
 
-    return _each(GOLD_TABLES[:4], one) + _each(GOLD_TABLES[4:], one)
+    return _each(spark, GOLD_TABLES[:4], one) + _each(spark, GOLD_TABLES[4:], one)
 
 
 def run_pipeline(
