@@ -194,8 +194,16 @@ CTES["safe"] = """
     CAST(latest_valuation_timestamp AS VARCHAR) AS latest_valuation_timestamp, avg_market_value, injury_risk_level,
     total_injuries, total_goals, total_assists, overall_player_score
   FROM profile WHERE peak_market_value > 10000000 AND injury_risk_level = 'LOW' AND age BETWEEN 20 AND 30"""
+
+
+def _avg4(c: str) -> str:
+    """Exact average of non-negative values with at most six decimals, rounded half up to four."""
+    total = f"sum(CAST(round(CAST({c} AS DOUBLE) * 1000000) AS HUGEINT))"
+    return f"CAST(({total} * 20000 + count({c}) * 1000000) // (2 * count({c}) * 1000000) AS DOUBLE) / 10000"
+
+
 _COMMON = ", ".join(
-    f"{_r(f'avg({c})', 4)} AS {n}"
+    f"{_avg4(c)} AS {n}"
     for n, c in (
         ("avg_overall_score", "overall_player_score"),
         ("avg_peak_market_value", "peak_market_value"),
@@ -207,8 +215,8 @@ _COMMON = ", ".join(
 )
 CTES["by_position"] = f"""
   SELECT player_main_position, count(*) AS total_players, {_COMMON},
-    {_r('avg(goals_per_90min)', 4)} AS avg_goals_per_90min, {_r('avg(assists_per_90min)', 4)} AS avg_assists_per_90min,
-    {_r('avg(age)', 4)} AS avg_age,
+    {_avg4('goals_per_90min')} AS avg_goals_per_90min, {_avg4('assists_per_90min')} AS avg_assists_per_90min,
+    {_avg4('age')} AS avg_age,
     count(*) FILTER (WHERE injury_risk_level = 'HIGH') AS high_risk_count,
     count(*) FILTER (WHERE injury_risk_level = 'MEDIUM') AS medium_risk_count,
     count(*) FILTER (WHERE injury_risk_level = 'LOW') AS low_risk_count
@@ -458,7 +466,7 @@ _Q["positions_by_score"] = "SELECT * FROM by_position ORDER BY avg_overall_score
 _Q["age_groups"] = f"""
 SELECT CASE WHEN age < 21 THEN 'U21' WHEN age BETWEEN 21 AND 25 THEN '21-25' WHEN age BETWEEN 26 AND 30 THEN '26-30'
     WHEN age BETWEEN 31 AND 35 THEN '31-35' ELSE '35+' END AS age_group, count(*) AS total_players, {_COMMON},
-  {_r('avg(injury_severity_score)', 4)} AS avg_injury_score, {_r('avg(total_transfers)', 4)} AS avg_transfers
+  {_avg4('injury_severity_score')} AS avg_injury_score, {_avg4('total_transfers')} AS avg_transfers
 FROM profile WHERE age IS NOT NULL GROUP BY 1"""
 _Q["four_way_join"] = """
 SELECT p.player_id, p.player_name, p.age, p.player_main_position, f.total_goals, f.goals_per_90min, r.injury_risk_level, v.peak_market_value

@@ -105,8 +105,13 @@ def transfer_opportunities(profile: DataFrame, transfers: DataFrame) -> DataFram
     ).orderBy(*_down("opportunity_score", "overall_player_score"), *_up("player_id"))
 
 
-def _averages(pairs: Sequence[tuple[str, str]]) -> list[Column]:
-    return [F.avg(source).alias(name) for name, source in pairs]
+def _averages(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list[Column]:
+    """Averages that do not depend on row order: doubles are summed as decimals."""
+    kinds = dict(df.dtypes)
+    return [
+        (F.avg(E.money(source)).cast("double") if kinds[source] == "double" else F.avg(source)).alias(name)
+        for name, source in pairs
+    ]
 
 
 # The averages both player summaries report.
@@ -129,7 +134,7 @@ def position_statistics(profile: DataFrame) -> DataFrame:
     ]
     known = profile.where(F.col("player_main_position").isNotNull())
     return known.groupBy("player_main_position").agg(
-        F.count(F.lit(1)).alias("total_players"), *_averages(_COMMON_AVERAGES), *_averages(rates), *risks
+        F.count(F.lit(1)).alias("total_players"), *_averages(known, _COMMON_AVERAGES), *_averages(known, rates), *risks
     )
 
 
@@ -143,7 +148,7 @@ def age_group_analysis(profile: DataFrame) -> DataFrame:
     extra = (("avg_injury_score", "injury_severity_score"), ("avg_transfers", "total_transfers"))
     aged = profile.where(F.col("age").isNotNull()).withColumn("age_group", age_group())
     return aged.groupBy("age_group").agg(
-        F.count(F.lit(1)).alias("total_players"), *_averages(_COMMON_AVERAGES), *_averages(extra)
+        F.count(F.lit(1)).alias("total_players"), *_averages(aged, _COMMON_AVERAGES), *_averages(aged, extra)
     )
 
 
