@@ -162,7 +162,7 @@ def check_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
     found = []
     for name, df in tables.items():
         rules = [*CONSTRAINTS.get(name, ()), *Q.not_null(*NOT_NULL.get(name, ()))]
-        if name == "football_matches":
+        if name == "matches":
             rules += MATCH_CONSTRAINTS
         if rules:
             found.append(Q.check_rows(df, name, rules))
