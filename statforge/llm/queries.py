@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from statforge.llm import exact, extraction, mixing, urls
+from statforge.llm import exact, extraction, minhash, mixing, packing, topk, urls
 from statforge.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,19 +25,35 @@ def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.poisson_mix(table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op10_min_max_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_tag_path_ratios": op2_tag_path_ratios,
     "op3_cuckoo_exact_dedup": op3_cuckoo_exact_dedup,
     "op5_poisson_mixing": op5_poisson_mixing,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_pivot_top_k": op7_pivot_top_k,
     "op9_url_vocabulary": op9_url_vocabulary,
+    "op10_min_max_hashing": op10_min_max_hashing,
 }
 
 ORACLE: dict[str, str] = {
     "op3_cuckoo_exact_dedup": exact.SQL,
     "op5_poisson_mixing": mixing.mixing_sql(),
+    "op7_pivot_top_k": topk.top_k_sql(20),
     "op9_url_vocabulary": urls.url_sql(),
 }
