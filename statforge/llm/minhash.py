@@ -25,29 +25,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statforge.llm.shared import arrow_schema, checkpointed, lower_ascii, map_columns
+from statforge.llm.shared import PRIME, WordHashes, arrow_schema, checkpointed, lower_ascii, map_columns, mixed
 
 SHINGLE, BANDS, BAND_VALUES, STAR_ROUNDS = 5, 50, 6, 2
 PERCENT = 75
-_PRIME = np.uint64(0x9E3779B97F4A7C15)
-_MOST_WORDS = 400_000
-
-
-class WordHashes(dict):
-    """64-bit hashes of words, kept while there are not too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _MOST_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def mixed(h: np.ndarray) -> np.ndarray:
-    """A bijection that spreads every input bit."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
 
 
 def shingles(text: bytes, hashes: WordHashes, width: int = SHINGLE) -> np.ndarray:
@@ -59,7 +40,7 @@ def shingles(text: bytes, hashes: WordHashes, width: int = SHINGLE) -> np.ndarra
     span = min(width, len(ids))
     out = np.full(len(ids) - span + 1, span, "uint64")
     for i in range(span):
-        out = out * _PRIME + ids[i : len(ids) - span + 1 + i]
+        out = out * PRIME + ids[i : len(ids) - span + 1 + i]
     return np.unique(mixed(out))
 
 
@@ -93,7 +74,7 @@ class MinMax:
         rows = self.signature(found).astype("uint64").reshape(self.bands, self.values)
         key = np.arange(1, self.bands + 1, dtype="uint64")
         for i in range(self.values):
-            key = mixed(key * _PRIME + rows[:, i])
+            key = mixed(key * PRIME + rows[:, i])
         return key.view("int64").tolist()
 
 

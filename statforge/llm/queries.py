@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statforge.llm import exact, extraction, minhash, mixing, packing, topk, urls
+from statforge.llm import exact, extraction, minhash, mixing, packing, substring, topk, urls
 from statforge.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op7_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op8_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op5_poisson_mixing": op5_poisson_mixing,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_pivot_top_k": op7_pivot_top_k,
+    "op8_super_kmers": op8_super_kmers,
     "op9_url_vocabulary": op9_url_vocabulary,
     "op10_min_max_hashing": op10_min_max_hashing,
 }

@@ -5,7 +5,9 @@ from __future__ import annotations
 import string
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,27 @@ from statforge.session import stored
 WHITE = "\x20\t\n\x0b\x0c\r"
 
 
+PRIME = np.uint64(0x9E3779B97F4A7C15)
+_MOST_WORDS = 400_000
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, kept while there are not too many."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= _MOST_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """A bijection that spreads every input bit."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
