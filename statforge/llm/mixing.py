@@ -40,14 +40,14 @@ def rates(docs: DataFrame, exponent: float = 0.5, epochs: float = 1.0, weights:
         wanted = weights.select(F.col("source").alias("__source"), F.col("weight").cast("double").alias("raw"))
         raw = sizes.join(wanted, F.col("source").eqNullSafe(F.col("__source")), "left").select("source", "size", F.coalesce("raw", F.lit(0.0)).alias("raw"))
     raw = checkpointed(raw, "sizes")
-    # Decimals add up alike in any order of the rows.
-    total = raw.agg(F.sum("size").alias("all_size"), F.sum(F.col("raw").cast("decimal(38,9)")).cast("double").alias("all_raw"))
-    share = F.col("raw") / F.col("all_raw")
-    return raw.join(F.broadcast(total)).select(  # one row
+    # One row. Decimals add up alike in any order.
+    total = raw.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size"), F.coalesce(F.sum(F.col("raw").cast("decimal(38,9)")).cast("double"), F.lit(0.0)).alias("raw")).first()
+    share = F.col("raw") / F.lit(total["raw"]) if total["raw"] > 0 else F.lit(0.0)
+    return raw.select(
         "source",
         "size",
-        F.when(F.col("all_raw") > 0, share).otherwise(0.0).alias("weight"),
-        F.when(F.col("size") > 0, F.lit(float(epochs)) * share * F.col("all_size") / F.col("size")).otherwise(1.0).alias("rate"),
+        share.alias("weight"),
+        F.when(F.col("size") > 0, F.lit(float(epochs)) * share * F.lit(float(total["size"])) / F.col("size")).otherwise(1.0).alias("rate"),
     )
 
 
