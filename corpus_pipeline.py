@@ -1,4 +1,7 @@
-"""From raw documents to packed training sequences: one stage per operator, each written as Parquet and read again."""
+"""From raw documents to packed training sequences: one stage per operator, each written as Parquet and read again.
+
+Each stage works on all rows its predecessor kept. All but the last return the columns of ``documents``; the last one returns the packed pieces.
+"""
 
 from __future__ import annotations
 
@@ -6,30 +9,52 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statforge.llm import exact, mixing
+from statforge.llm import exact, minhash, mixing, packing, toxicity
 from statforge.llm.shared import checkpointed, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weakly supervised classifier doesn't reject."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts."""
     return exact.drop_copies(docs)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return minhash.drop_near_copies(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.poisson_mix(docs).select(*docs.columns)
+    """Each document as often as its source's rate says, in random order; copies are equal rows."""
+    return mixing.poisson_mix(docs).select(*[f"`{c}`" for c in docs.columns])
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows with their places in sequences."""
+    return packing.pack_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", without_toxic),
     ("exact_dedup", without_copies),
+    ("near_dedup", without_near_copies),
     ("mixing", mixed),
+    ("packing", packed),
 ]
 
+#: SQL expresses neither the classifier nor the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, applied to the table of documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = checkpointed(stage(spark, docs, sf_dir), name)
+        docs = checkpointed(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statforge.llm import exact, extraction, minhash, mixing, packing, substring, topk, urls
+from statforge.llm import exact, extraction, minhash, mixing, packing, quality, substring, topk, toxicity, urls
 from statforge.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_naive_bayes_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -21,6 +25,10 @@ def op3_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.poisson_mix(table(spark, sf_dir, "documents"))
 
@@ -46,8 +54,10 @@ def op10_min_max_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_naive_bayes_svm": op1_naive_bayes_svm,
     "op2_tag_path_ratios": op2_tag_path_ratios,
     "op3_cuckoo_exact_dedup": op3_cuckoo_exact_dedup,
+    "op4_weak_supervision": op4_weak_supervision,
     "op5_poisson_mixing": op5_poisson_mixing,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_pivot_top_k": op7_pivot_top_k,
