@@ -2,18 +2,22 @@
 
 Layout below the table's root::
 
-    log/run=<n>-<name>/batch=<id>/              the changes of one micro-batch, one per key
-    base/run=<n>/batch=<id>/_bucket=<k>/        state after that batch, by hash bucket of the key
-
-``compact`` writes only the buckets that changed; the others stay where an earlier one put them. A batch is written with overwrite to a directory of its own, so a replayed batch replaces itself. A
-base counts only once Spark has committed it (``_SUCCESS``), so a lost writer leaves the old state
-valid. Nothing that is being read is overwritten. One writer per table at a time.
+    log/seq=<n>/writer=<digest>/batch=<id>/     the changes of one micro-batch, one per key
+    cover/seq=<n>/                              how far each writer's batches are in the base of that number
+    base/seq=<n>/_bucket=<k>/                   state after change n, by hash bucket of the key
+
+Every committed batch has a number of its own in the whole table, given when it is first committed; a replay of the same writer's batch
+finds that number and keeps it, or is passed over once a base holds it. So batches of several writers are ordered by when they were
+committed, not by writer. ``compact`` writes only the buckets that changed; the others stay where an earlier one put them. A batch or base counts
+only once Spark has committed it (``_SUCCESS``), so a lost writer leaves the old state valid. Nothing that is being read is
+overwritten. Writers take turns: there are no concurrent commits.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +25,16 @@ from pyspark.sql import functions as F
 from statforge.operators import upsert as U
 from statforge.sinks.files import child_dirs, drop_dir, write_parquet
 
-_RUN, _BATCH, _BUCKET = "_run", "_batch", "_bucket"
+_SEQ, _BUCKET = "_seq", "_bucket"
+
+
+class Entry(NamedTuple):
+    """One committed batch of the log."""
+
+    seq: int
+    writer: str
+    batch: int
+    path: str
 
 
 class UpsertTable:
@@ -30,7 +43,7 @@ class UpsertTable:
     ``newest`` orders changes inside a batch (and, with ``latest_event``, across batches);
     ``blank_null`` lists text key columns where NULL and ``''`` are one key; ``update_columns`` are
     the columns that a partial batch may change in an existing row. ``buckets`` is the unit of
-    compaction and must not change during a table's life.
+    compaction and must not change during a table's life; a bucket is written by as many tasks as its size asks for.
     """
 
     def __init__(
@@ -51,20 +64,12 @@ class UpsertTable:
         self.buckets = buckets
         self.update_columns = None if update_columns is None else list(update_columns)
 
-    # ---- runs --------------------------------------------------------------------------------
-
-    def run_for(self, writer: str) -> str:
-        """Name of the run of ``writer`` (for a stream: its checkpoint location).
+    # ---- writers -----------------------------------------------------------------------------
 
-        Batch ids start over with a new checkpoint, so runs are numbered; the same writer continues
-        its own run.
-        """
-        name = hashlib.sha1(writer.encode()).hexdigest()[:12]
-        runs = [d[4:] for d in child_dirs(self.spark, f"{self.root}/log", committed=False) if d.startswith("run=")]
-        for run in runs:
-            if run.endswith(f"-{name}"):
-                return run
-        return f"{1 + max((int(r.split('-')[0]) for r in runs), default=0):06d}-{name}"
+    @staticmethod
+    def run_for(writer: str) -> str:
+        """Name of ``writer`` in paths (for a stream: its checkpoint location, as batch ids start over with a new one)."""
+        return hashlib.sha256(writer.encode()).hexdigest()
 
     # ---- writing -----------------------------------------------------------------------------
 
@@ -75,21 +80,25 @@ class UpsertTable:
         """
         if partial and self.update_columns is None:
             raise ValueError("a partial batch needs a table with update_columns")
+        if batch_id <= self._covered().get(run, -1):
+            return 0  # a replay of what the base holds
         changes = U.newest_in_batch(batch, self.keys, self.newest, self.blank_null, arrival).drop(*arrival)
-        stamped = changes.withColumns(
-            {
-                _RUN: F.lit(int(run.split("-")[0])),
-                _BATCH: F.lit(int(batch_id)).cast("bigint"),
-                U.PARTIAL: F.lit(partial),
-            }
-        )
-        return write_parquet(stamped, f"{self.root}/log/run={run}/batch={int(batch_id):012d}")
+        number = self._number(run, int(batch_id))
+        stamped = changes.withColumns({_SEQ: F.lit(number).cast("bigint"), U.PARTIAL: F.lit(partial)})
+        return write_parquet(stamped, f"{self.root}/log/seq={number:012d}/writer={run}/batch={int(batch_id):012d}")
+
+    def _number(self, run: str, batch_id: int) -> int:
+        """The batch's number if it is committed, else the next one; numbers of lost writes are not used again."""
+        for entry in self._log_dirs():
+            if (entry.writer, entry.batch) == (run, batch_id):
+                return entry.seq
+        seen = [int(d[4:]) for part in ("log", "base") for d in child_dirs(self.spark, f"{self.root}/{part}", committed=False)]
+        return 1 + max(seen, default=0)
 
     def compact(self) -> int:
         """Fold the log into new versions of the buckets it touches; returns the rows written.
 
-        What readers of the previous state may still use is kept until the next call. The newest log
-        directory always stays: it carries the run number.
+        What readers of the previous state may still use is kept until the next call.
         """
         log = self._log()
         if not log:
@@ -99,24 +108,32 @@ class UpsertTable:
         touched = {row[0] for row in changes.select(bucket).distinct().collect()}  # at most ``buckets``
         if not touched:
             return 0
-        before = self._base()
+        before, reached = self._base(), self._reached()
         old = [path for k, path in before.items() if k in touched]
         state = self._merged(old, changes).withColumn(_BUCKET, bucket)
-        run, batch, _ = log[-1]
-        target = f"{self.root}/base/run={run:06d}/batch={batch:012d}"
-        rows = write_parquet(state.repartition(min(len(touched), self.buckets), _BUCKET), target, [_BUCKET])
-        self._tidy(before, log[0][:2])
+        number = log[-1].seq
+        covered = self._covered()
+        for entry in log:
+            covered[entry.writer] = max(covered.get(entry.writer, -1), entry.batch)
+        cover = self.spark.createDataFrame(sorted(covered.items()), "writer string, batch bigint")
+        write_parquet(cover, f"{self.root}/cover/seq={number:012d}")
+        # Large partitions are split further by size, so a bucket may be several files.
+        rows = write_parquet(state.hint("rebalance", _BUCKET), f"{self.root}/base/seq={number:012d}", [_BUCKET])
+        self._tidy(before, reached)
         return rows
 
-    def _tidy(self, before: dict[int, str], first_new: tuple[int, int]) -> None:
+    def _tidy(self, before: dict[int, str], reached: int) -> None:
         """Drop base versions and log entries that neither the new nor the previous state reads."""
         live = {path.rsplit("/", 1)[0] for path in (*before.values(), *self._base().values())}
-        for _, _, path in self._dirs(f"{self.root}/base"):
+        for number in self._numbers("base"):
+            path = f"{self.root}/base/seq={number:012d}"
             if path not in live:
                 drop_dir(self.spark, path)
-        for entry in self._dirs(f"{self.root}/log")[:-1]:
-            if entry[:2] < first_new:
-                drop_dir(self.spark, entry[2])
+        for number in self._numbers("cover")[:-2]:
+            drop_dir(self.spark, f"{self.root}/cover/seq={number:012d}")
+        for entry in self._log_dirs():
+            if entry.seq <= reached:
+                drop_dir(self.spark, f"{self.root}/log/seq={entry.seq:012d}")
 
     # ---- reading -----------------------------------------------------------------------------
 
@@ -126,10 +143,10 @@ class UpsertTable:
         if not log and not base:
             raise FileNotFoundError(f"no committed batch below {self.root}")
         state = self._merged(base, self._read(log)) if log else self.spark.read.parquet(*base)
-        return state.drop(_RUN, _BATCH, U.PARTIAL)
+        return state.drop(_SEQ, U.PARTIAL)
 
-    def _read(self, log: list[tuple[int, int, str]]) -> DataFrame:
-        return self.spark.read.parquet(*(path for _, _, path in log))
+    def _read(self, log: list[Entry]) -> DataFrame:
+        return self.spark.read.parquet(*(entry.path for entry in log))
 
     def _merged(self, base: list[str], changes: DataFrame) -> DataFrame:
         if not base:
@@ -137,7 +154,7 @@ class UpsertTable:
         return U.merge(self.spark.read.parquet(*base), changes, self.keys, self._resolve, self.blank_null)
 
     def _resolve(self, changes: DataFrame) -> DataFrame:
-        sequence = [_RUN, _BATCH]
+        sequence = [_SEQ]
         if self.update_columns is None:
             return U.resolve(changes, self.keys, sequence, self.policy, self.newest, self.blank_null)
         return U.resolve_partial(
@@ -147,21 +164,37 @@ class UpsertTable:
     def _base(self) -> dict[int, str]:
         """Newest committed directory of every bucket."""
         newest: dict[int, str] = {}
-        for _, _, path in self._dirs(f"{self.root}/base"):
+        for number in self._numbers("base"):
+            path = f"{self.root}/base/seq={number:012d}"
             for name in child_dirs(self.spark, path, committed=False):
                 newest[int(name.split("=")[1])] = f"{path}/{name}"
         return newest
 
-    def _log(self) -> list[tuple[int, int, str]]:
+    def _numbers(self, part: str) -> list[int]:
+        """Numbers of the committed directories of ``base`` or ``cover``, ascending."""
+        return sorted(int(name[4:]) for name in child_dirs(self.spark, f"{self.root}/{part}"))
+
+    def _reached(self) -> int:
+        """Number of the last change that the base holds."""
+        return max(self._numbers("base"), default=0)
+
+    def _covered(self) -> dict[str, int]:
+        """The last batch of each writer that the base holds; one row per writer."""
+        reached = self._reached()
+        if not reached:
+            return {}
+        return {row["writer"]: row["batch"] for row in self.spark.read.parquet(f"{self.root}/cover/seq={reached:012d}").collect()}
+
+    def _log(self) -> list[Entry]:
         """Committed batches that are newer than the newest base version."""
-        versions = self._dirs(f"{self.root}/base")
-        covered = versions[-1][:2] if versions else (0, -1)
-        return [d for d in self._dirs(f"{self.root}/log") if d[:2] > covered]
-
-    def _dirs(self, parent: str) -> list[tuple[int, int, str]]:
-        """Committed ``run=/batch=`` directories, oldest first."""
-        out = []
-        for run in child_dirs(self.spark, parent, committed=False):
-            for batch in child_dirs(self.spark, f"{parent}/{run}"):
-                out.append((int(run[4:].split("-")[0]), int(batch[6:]), f"{parent}/{run}/{batch}"))
-        return sorted(out)
+        reached = self._reached()
+        return [entry for entry in self._log_dirs() if entry.seq > reached]
+
+    def _log_dirs(self) -> list[Entry]:
+        """All committed batches of the log, oldest first."""
+        found, top = [], f"{self.root}/log"
+        for number in child_dirs(self.spark, top, committed=False):
+            for writer in child_dirs(self.spark, f"{top}/{number}", committed=False):
+                for batch in child_dirs(self.spark, f"{top}/{number}/{writer}"):
+                    found.append(Entry(int(number[4:]), writer[7:], int(batch[6:]), f"{top}/{number}/{writer}/{batch}"))
+        return sorted(found)
