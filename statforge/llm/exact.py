@@ -151,8 +151,8 @@ def _records(index: CuckooIndex, shard: int) -> pd.DataFrame:
     return pd.DataFrame(
         {
             "shard": pd.Series([shard] * len(found), dtype="int32"),
-            "digest": [digest for digest, _ in found],
-            "keep_id": pd.array([record[0] for _, record in found], dtype="Int64"),
+            "digest": pd.Series([digest for digest, _ in found], dtype="object"),
+            "keep_id": pd.Series([record[0] for _, record in found], dtype="object"),
             "group_size": pd.Series([record[1] for _, record in found], dtype="int64"),
         }
     )
@@ -169,7 +169,7 @@ _INDEX = f"shard int, {_PARTIAL}"
 def build_index(rows: DataFrame, shards: int) -> DataFrame:
     """The index of (doc_id, digest) rows: (shard, digest, keep_id, group_size), one row per live digest."""
 
-    def merge(key, part: pd.DataFrame) -> pd.DataFrame:
+    def merge(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         index = CuckooIndex()
         _fill(index, part)
         return _records(index, int(key[0]))
@@ -185,12 +185,13 @@ def update_index(index: DataFrame, shards: int, added: DataFrame, removed: DataF
     changes = _by_task(added).withColumn("gone", F.lit(False))
     gone = removed.select("digest").distinct().select("digest", F.lit(None).cast("bigint").alias("keep_id"), F.lit(0).cast("bigint").alias("group_size"), F.lit(True).alias("gone"))
 
-    def change(key, old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
+    def change(key: tuple, old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
         live = CuckooIndex()
         _fill(live, old)
-        for digest in new.loc[new["gone"], "digest"]:
+        gone_here = new["gone"].to_numpy(dtype=bool)
+        for digest in new.loc[gone_here, "digest"]:
             live.remove(digest)
-        _fill(live, new.loc[~new["gone"]])
+        _fill(live, new.loc[~gone_here])
         return _records(live, int(key[0]))
 
     return index.groupBy("shard").cogroup(_sharded(changes.unionByName(gone), shards).groupBy("shard")).applyInPandas(change, _INDEX)

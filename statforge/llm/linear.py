@@ -95,7 +95,7 @@ def fit(rows: DataFrame, scale: np.ndarray, cost: float = 1.0, epochs: int = 10,
     size = len(scale)
     shared = rows.sparkSession.sparkContext.broadcast(scale.astype("float32"))
 
-    def solve(key, part: pd.DataFrame) -> pd.DataFrame:
+    def solve(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         own, kept = [], []
         for i, features in enumerate(part["features"]):
             features = np.asarray(features, "int64")
