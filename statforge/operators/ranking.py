@@ -1,69 +1,57 @@
 """Ranks that never sort a whole table, or a whole hot partition, in one task.
 
-A rank is a count of better rows. Counting happens on pre-aggregated histograms: rows are grouped by
-their sort values (map-side combine), the histogram is prefix-summed level by level, and the result
-is joined back on the sort values. The only window over rows is the tie-break of ``global_rank``,
-and its groups are split by a hash prefix of the id, so even a score shared by every row spreads
-over 256 groups.
+Rows are range-partitioned by their full sort order, with a hash as last key so that equal rows spread, and stored. A row's number
+in the whole order follows from its place in its task and the row counts of the tasks before, one number per task. A rank is then
+the difference of two row numbers: those of the first row with equal sort values and of the first row of the partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-# Width of the tie-split: two hex digits of md5 make 256 groups per score value.
-_PREFIX_DIGITS = 2
+from statforge.session import stored
 
+_LOCAL_BITS = 33  # of monotonically_increasing_id()
 
-def _before(parts: Sequence[str], order: Sequence[Column], count: str) -> Column:
-    """Sum of ``count`` over the strictly earlier rows of a window."""
-    window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(count).over(window), F.lit(0)).cast("bigint")
 
+def numbered(df: DataFrame, order: Sequence[Column], out: str = "__number") -> DataFrame:
+    """``df`` with each row's number, from 0, in the given order. The sorted rows are written once."""
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__row", F.monotonically_increasing_id())
+    placed = stored(placed, "sorted")
+    task = F.shiftright("__row", _LOCAL_BITS)
+    counts = sorted((row["task"], row["count"]) for row in placed.groupBy(task.alias("task")).count().collect())
+    before = accumulate((n for _, n in counts), initial=0)
+    offsets = df.sparkSession.createDataFrame([(t, b) for (t, _), b in zip(counts, before)], "__task bigint, __before bigint")
+    inside = F.col("__row").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    # One row per task of the sort.
+    found = placed.join(F.broadcast(offsets), task == F.col("__task"))
+    return found.withColumn(out, F.col("__before") + inside).drop("__row", "__task", "__before")
 
-def partition_rank(
-    df: DataFrame, parts: Sequence[str], best_first: Sequence[str], out: str = "rank"
-) -> DataFrame:
-    """``RANK()`` over (partition by ``parts`` order by every ``best_first`` column descending).
 
-    NULL sort values are ranked last. Rows better by the first sort column are counted over its
-    distinct values in the partition, rows equal in it over the distinct values of the others; neither
-    window runs over rows.
-    """
-    tag = [f"__s{i}" for i in range(len(best_first))]
-    cells = df.groupBy(*parts, *(F.col(c).alias(t) for c, t in zip(best_first, tag))).agg(
-        F.count(F.lit(1)).alias("__n")
-    )
-    first, others = tag[0], tag[1:]
-    leaders = cells.groupBy(*parts, first).agg(F.sum("__n").alias("__n"))
-    leaders = leaders.select(
-        *parts, first, _before(parts, [F.col(first).desc_nulls_last()], "__n").alias("__ahead")
-    )
-    if others:
-        inner = _before([*parts, first], [F.col(o).desc_nulls_last() for o in others], "__n")
-        level = cells.select(*parts, *tag, inner.alias("__beside"))
-        placed = _null_safe_join(level, leaders, [*parts, first])
-        better = F.col("__ahead") + F.col("__beside")
-    else:
-        placed, better = leaders, F.col("__ahead")
-    ranks = placed.select(*(F.col(c).alias(f"__r_{c}") for c in (*parts, *tag)), (better + 1).cast("int").alias(out))
-    on = [F.col(p).eqNullSafe(F.col(f"__r_{p}")) for p in parts]
-    on += [F.col(c).eqNullSafe(F.col(f"__r_{t}")) for c, t in zip(best_first, tag)]
-    return df.join(ranks, reduce(Column.__and__, on)).select(*df.columns, out)
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Inner join on equal columns where NULL equals NULL; keeps the left copies."""
-    renamed = right.select([F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns])
-    condition = F.lit(True)
-    for c in on:
-        condition = condition & left[c].eqNullSafe(renamed[f"__r_{c}"])
-    return left.join(renamed, condition).drop(*(f"__r_{c}" for c in on))
+def _first_number(rows: DataFrame, by: Sequence[str], out: str) -> DataFrame:
+    """``rows`` with the least row number among rows that are equal in ``by`` (NULL equals NULL)."""
+    least = rows.groupBy(*(F.col(c).alias(f"__{out}{i}") for i, c in enumerate(by))).agg(F.min("__number").alias(out))
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"__{out}{i}")) for i, c in enumerate(by)))
+    return rows.join(least, same).drop(*(f"__{out}{i}" for i in range(len(by))))
+
+
+def _spread(df: DataFrame) -> Column:
+    """A hash over the plain columns, to deal out equal sort values."""
+    plain = [f"`{c}`" for c, kind in df.dtypes if not kind.startswith(("map", "array", "struct", "variant"))]
+    return F.xxhash64(*plain)
+
+
+def partition_rank(df: DataFrame, parts: Sequence[str], best_first: Sequence[str], out: str = "rank") -> DataFrame:
+    """``RANK()`` over (partition by ``parts`` order by every ``best_first`` column descending). NULL sort values are ranked last."""
+    order = [*(F.col(p).asc_nulls_first() for p in parts), *(F.col(c).desc_nulls_last() for c in best_first)]
+    rows = numbered(df.withColumn("__spread", _spread(df)), [*order, F.col("__spread").asc()])
+    rows = _first_number(_first_number(rows, [*parts, *best_first], "__tied"), parts, "__start")
+    return rows.select(*df.columns, (F.col("__tied") - F.col("__start") + 1).cast("int").alias(out))
 
 
 def global_rank(
@@ -72,65 +60,22 @@ def global_rank(
     ident: str,
     rank_col: str = "rank",
     percent_col: str = "rank_percentile",
-    step: float = 1.0,
     digits: int | None = 2,
 ) -> DataFrame:
     """Row number and ``percent_rank`` over the whole table, best score first.
 
-    Equal scores are ordered by ``md5(ident)`` and then ``ident``: any total order is a valid answer,
-    and this one can be cut into even ranges whatever the ids look like. ``step`` is the width of the
-    coarse score buckets of the first prefix sum, so that the only window without a partition runs
-    over ``(max - min) / step`` rows. NULL scores rank last. The percentile is 0 for the best row.
+    Equal scores are ordered by ``md5(ident)`` and then ``ident``: any total order is a valid answer, and this one can be cut into
+    even ranges whatever the ids look like. NULL scores rank last. The percentile is 0 for the best row.
     """
     digest = F.coalesce(F.md5(F.col(ident).cast("string")), F.lit(""))
-    lowest = F.lit(float("-inf"))
-    rows = df.select(
-        "*",
-        digest.alias("__md5"),
-        F.substring(digest, 1, _PREFIX_DIGITS).alias("__pfx"),
-        # A plain value instead of NULL, so that the window and the join share one shuffle.
-        F.coalesce(F.col(score).cast("double"), lowest).alias("__sort"),
-    )
-
-    bounded = F.least(F.greatest(F.col("__score") / step, F.lit(-1e15)), F.lit(1e15))
-    cells = (
-        rows.groupBy(F.col("__sort").alias("__score"), F.col("__pfx").alias("__cell"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__coarse", F.floor(bounded))
-    )
-    coarse = cells.groupBy("__coarse").agg(F.sum("__n").alias("__n"))
-    everything = Window.partitionBy()
-    coarse = coarse.select(
-        F.col("__coarse").alias("__c"),
-        _before([], [F.col("__coarse").desc()], "__n").alias("__ahead"),
-        F.sum("__n").over(everything).alias("__total"),
-    )
-    by_score = cells.groupBy("__coarse", "__score").agg(F.sum("__n").alias("__n"))
-    by_score = by_score.select(
-        F.col("__score").alias("__sc"),
-        _before(["__coarse"], [F.col("__score").desc()], "__n").alias("__better"),
-    )
-    by_cell = cells.select(
-        "__coarse", "__score", "__cell", _before(["__coarse", "__score"], [F.col("__cell").asc()], "__n").alias("__tied")
-    )
-    offsets = (
-        by_cell.join(by_score, F.col("__score") == F.col("__sc"))
-        .join(coarse, F.col("__coarse") == F.col("__c"))
-        .select(
-            F.col("__score").alias("__o_score"),
-            F.col("__cell").alias("__o_cell"),
-            (F.col("__ahead") + F.col("__better")).alias("__best"),
-            "__tied",
-            "__total",
-        )
-    )
-    local = Window.partitionBy("__sort", "__pfx").orderBy("__md5", F.col(ident).asc_nulls_last())
-    placed = rows.withColumn("__rn", F.row_number().over(local)).join(
-        offsets, (F.col("__sort") == F.col("__o_score")) & (F.col("__pfx") == F.col("__o_cell"))
-    )
-    share = F.when(F.col("__total") > 1, F.col("__best") / (F.col("__total") - 1)).otherwise(F.lit(0.0))
-    return placed.select(
+    # A plain value instead of NULL, so that ties are joined on a number.
+    rows = df.select("*", digest.alias("__md5"), F.coalesce(F.col(score).cast("double"), F.lit(float("-inf"))).alias("__sort"))
+    rows = numbered(rows, [F.col("__sort").desc(), F.col("__md5").asc(), F.col(ident).asc_nulls_last()])
+    total = rows.count()
+    rows = _first_number(rows, ["__sort"], "__best")
+    share = F.col("__best") / F.lit(float(total - 1)) if total > 1 else F.lit(0.0)
+    return rows.select(
         *(F.col(c) for c in df.columns),
-        (F.col("__best") + F.col("__tied") + F.col("__rn")).cast("bigint").alias(rank_col),
+        (F.col("__number") + 1).cast("bigint").alias(rank_col),
         (F.round(share, digits) if digits is not None else share).alias(percent_col),
     )

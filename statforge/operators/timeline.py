@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-# At most this many keys can each hold more than a thousandth of all rows.
-_MOST_HOT_KEYS = 1000
 
-
-def long_timelines(df: DataFrame, key: str, limit: int) -> list[tuple[object, int]]:
-    """Keys with more than ``limit`` rows, among the 1000 largest.
-
-    One job over the key column with map-side combine. The result is bounded: a key outside the 1000
-    largest holds under a thousandth of the rows and needs no splitting.
-    """
-    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    top = sizes.orderBy(F.desc("__n"), F.asc(key)).limit(_MOST_HOT_KEYS).collect()
-    return [(row[0], row["__n"]) for row in top if row["__n"] > limit]
+def period_of(df: DataFrame, order: str) -> Column:
+    """A coarser value that grows with ``order``: the year of dates and times, the leading four characters of text, spans of numbers."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.year(order)
+    if isinstance(kind, T.StringType):
+        return F.substring(order, 1, 4)
+    return F.floor(F.col(order) / 365)
 
 
 def with_neighbours(
@@ -29,71 +26,29 @@ def with_neighbours(
     tie: str | None = None,
     previous: str = "prev_value",
     following: str = "next_value",
-    rows_per_slice: int = 5_000_000,
-    most_slices: int = 1024,
+    period: Column | None = None,
 ) -> DataFrame:
     """``lag(value)`` and ``lead(value)`` per ``key`` ordered by ``order`` (then ``tie``).
 
-    Timelines of up to ``rows_per_slice`` rows take the plain window. Longer ones are cut into slices
-    at quantiles of ``order``; each slice is windowed on its own and the slice edges, one row per
-    slice, hand the values across.
+    A timeline is cut into slices by ``period``, any value that never falls along ``order``. Each slice is
+    windowed on its own; a second window, over one row per slice, hands the values across the edges.
     """
     sort = [F.col(order).asc_nulls_first()] + ([F.col(tie).asc_nulls_first()] if tie else [])
-    hot = long_timelines(df, key, rows_per_slice)
-    if not hot:
-        window = Window.partitionBy(key).orderBy(*sort)
-        return df.withColumns(
-            {previous: F.lag(value).over(window), following: F.lead(value).over(window)}
-        )
-
-    spark = df.sparkSession
-    key_type = df.schema[key].dataType.simpleString()
-    slices = max(2, min(most_slices, -(-max(n for _, n in hot) // rows_per_slice)))
-    steps = F.array(*(F.lit(i / slices) for i in range(1, slices)))
-    hot_keys = spark.createDataFrame([(k,) for k, _ in hot], f"__hot {key_type}")
-    cuts = (
-        df.join(F.broadcast(hot_keys), F.col(key) == F.col("__hot"), "left_semi")
-        .groupBy(F.col(key).alias("__hot"))
-        .agg(F.array_distinct(F.percentile_approx(order, steps, F.lit(10_000))).alias("__cuts"))
-    )
-    # At most 1000 keys, one short array each.
-    cut_rows = [(r["__hot"], r["__cuts"]) for r in cuts.collect()]
-    cut_type = df.schema[order].dataType.simpleString()
-    cuts = spark.createDataFrame(cut_rows, f"__hot {key_type}, __cuts array<{cut_type}>")
-
-    sliced = (
-        df.join(F.broadcast(cuts), F.col(key) == F.col("__hot"), "left")
-        .withColumn(
-            "__slice",
-            F.when(
-                F.col("__cuts").isNotNull(),
-                F.size(F.filter("__cuts", lambda cut: cut <= F.col(order))),
-            ).otherwise(F.lit(0)),
-        )
-    )
-    edges = (
-        sliced.where(F.col("__cuts").isNotNull())
-        .groupBy(F.col(key).alias("__ekey"), F.col("__slice").alias("__eslice"))
-        .agg(
-            F.min_by(F.struct(value), F.struct(order, *([tie] if tie else []))).alias("__first"),
-            F.max_by(F.struct(value), F.struct(order, *([tie] if tie else []))).alias("__last"),
-        )
+    sliced = df.withColumn("__slice", period_of(df, order) if period is None else period)
+    inside = Window.partitionBy(key, "__slice").orderBy(*sort)
+    # Structs tell a missing neighbour from one whose value is NULL.
+    placed = sliced.withColumns({"__lag": F.lag(F.struct(value)).over(inside), "__lead": F.lead(F.struct(value)).over(inside)})
+    ends = placed.where(F.col("__lag").isNull() | F.col("__lead").isNull())
+    edges = ends.groupBy(F.col(key).alias("__ekey"), F.col("__slice").alias("__eslice")).agg(
+        F.max(F.when(F.col("__lag").isNull(), F.struct(value))).alias("__first"),
+        F.max(F.when(F.col("__lead").isNull(), F.struct(value))).alias("__last"),
     )
-    across = Window.partitionBy("__ekey").orderBy("__eslice")
+    across = Window.partitionBy("__ekey").orderBy(F.col("__eslice").asc_nulls_first())
     edges = edges.select(
-        "__ekey",
-        "__eslice",
-        F.lag("__last").over(across)[value].alias("__before"),
-        F.lead("__first").over(across)[value].alias("__after"),
+        "__ekey", "__eslice", F.lag("__last").over(across)[value].alias("__before"), F.lead("__first").over(across)[value].alias("__after")
     )
-    inside = Window.partitionBy(key, "__slice").orderBy(*sort)
-    placed = sliced.withColumns(
-        {
-            "__lag": F.lag(F.struct(value)).over(inside),
-            "__lead": F.lead(F.struct(value)).over(inside),
-        }
-    ).join(edges, (F.col(key) == F.col("__ekey")) & (F.col("__slice") == F.col("__eslice")), "left")
-    return placed.select(
+    same = F.col(key).eqNullSafe(F.col("__ekey")) & F.col("__slice").eqNullSafe(F.col("__eslice"))
+    return placed.join(edges, same, "left").select(
         *df.columns,
         F.when(F.col("__lag").isNull(), F.col("__before")).otherwise(F.col("__lag")[value]).alias(previous),
         F.when(F.col("__lead").isNull(), F.col("__after")).otherwise(F.col("__lead")[value]).alias(following),

@@ -63,9 +63,9 @@ def form_metrics(performances: DataFrame, audit: bool = True) -> DataFrame:
     )
 
 
-def value_timeline(values: DataFrame, tie: str | None = None, **slicing) -> DataFrame:
+def value_timeline(values: DataFrame, tie: str | None = None, period: Column | None = None) -> DataFrame:
     """Every valuation with its neighbours, change, percentage change and direction."""
-    rows = with_neighbours(values, KEY, "date_unix", "value", tie, **slicing)
+    rows = with_neighbours(values, KEY, "date_unix", "value", tie, period=period)
     change = F.col("value") - F.col("prev_value")
     return rows.select(
         "*",

@@ -7,7 +7,7 @@ from pyspark.sql.window import Window
 from conftest import rows
 from statforge.operators.dedup import drop_repeats, first_by_key, latest_by_key
 from statforge.operators.ranking import global_rank, partition_rank
-from statforge.operators.timeline import long_timelines, with_neighbours
+from statforge.operators.timeline import with_neighbours
 
 
 def plan(df):
@@ -59,10 +59,16 @@ def test_global_rank_keeps_rows_without_id(spark):
 
 def test_global_rank_never_sorts_rows_in_one_task(spark):
     df = spark.range(1000).select("id", (F.col("id") % 100).cast("double").alias("s"))
-    text = plan(global_rank(df, "s", "id"))
-    assert text.count("Exchange SinglePartition") == 1  # the coarse histogram
-    coarse = text[text.index("Exchange SinglePartition") :]
-    assert "HashAggregate" in coarse.split("Exchange hashpartitioning")[0]
+    assert "SinglePartition" not in plan(global_rank(df, "s", "id"))
+    money = spark.range(1000).select("id", (F.col("id") * 1e9).alias("s"))
+    assert "SinglePartition" not in plan(global_rank(money, "s", "id"))
+
+
+def test_a_hot_partition_is_not_windowed(spark):
+    df = spark.range(1000).select(F.lit("all").alias("p"), (F.col("id") * 0.5).alias("x"), "id")
+    ranked = partition_rank(df, ["p"], ["x"])
+    assert "Window" not in plan(ranked)
+    assert rows(ranked.select("id", "rank"), "id") == [(i, 1000 - i) for i in range(1000)]
 
 
 def test_partition_rank_equals_rank(spark):
@@ -83,9 +89,12 @@ def test_long_timelines_match_the_plain_window(spark, tie):
     data = [("hot", d, i, rng.choice([None, 1, 2, 3])) for i, d in enumerate(days)]
     data += [(f"k{i % 40}", i, i, i) for i in range(200)] + [("single", 1, 1, 9), ("hot", None, 9999, 5)]
     df = spark.createDataFrame(data, "k string, d int, t int, v int").repartition(4)
-    assert long_timelines(df, "k", 100) == [("hot", 601)]
     window = Window.partitionBy("k").orderBy("d", *([tie] if tie else []))
     plain = df.withColumns({"prev_value": F.lag("v").over(window), "next_value": F.lead("v").over(window)})
-    sliced = with_neighbours(df, "k", "d", "v", tie, rows_per_slice=100)
-    assert rows(sliced, "k", "d", "t") == rows(plain, "k", "d", "t")
     assert rows(with_neighbours(df, "k", "d", "v", tie), "k", "d", "t") == rows(plain, "k", "d", "t")
+    assert rows(with_neighbours(df, "k", "d", "v", tie, period=F.floor(F.col("d") / 7)), "k", "d", "t") == rows(plain, "k", "d", "t")
+    # The same timeline with text dates, and with NULL keys.
+    text = df.select(F.when(F.col("k") != "single", F.col("k")).alias("k"), F.date_add(F.lit("1990-01-01").cast("date"), "d").cast("string").alias("d"), "t", "v")
+    window = Window.partitionBy("k").orderBy("d", *([tie] if tie else []))
+    plain = text.withColumns({"prev_value": F.lag("v").over(window), "next_value": F.lead("v").over(window)})
+    assert rows(with_neighbours(text, "k", "d", "v", tie), "k", "d", "t") == rows(plain, "k", "d", "t")
