@@ -23,12 +23,24 @@ class Rule:
 
     name: str
     build: Callable[[T.StructType], Column]
+    # Typed before duplicates are looked for: '01' and '1' are one id.
+    early: bool = False
 
 
 def keep(*names: str) -> list[Rule]:
     return [Rule(n, lambda _, n=n: F.col(n)) for n in names]
 
 
+def ident(*names: str) -> list[Rule]:
+    """Whole-number ids; unreadable ones are NULL."""
+    return [Rule(n, lambda s, n=n: F.col(n) if isinstance(s[n].dataType, T.LongType) else F.col(n).try_cast("bigint"), True) for n in names]
+
+
+def key_day(*names: str) -> list[Rule]:
+    """Dates that are part of a key."""
+    return [Rule(n, lambda s, n=n: E.lenient_date(n, s[n].dataType), True) for n in names]
+
+
 def text(*names: str, to: str | None = None, default: str | None = None, upper: bool = False) -> list[Rule]:
     return [Rule(to or n, lambda _, n=n: E.text(n, default, upper)) for n in names]
 
@@ -73,6 +85,8 @@ def spec(*groups: Iterable[Rule], **options) -> CleanSpec:
 
 def clean(raw: DataFrame, table: CleanSpec, audit: bool = True) -> DataFrame:
     """Apply ``table`` to ``raw``. With ``audit``, carry the ingest time and add the cleaning time."""
+    typed = {rule.name: rule.build(raw.schema) for rule in table.rules if rule.early}
+    raw = raw.withColumns(typed) if typed else raw
     schema = raw.schema
     built = {rule.name: rule.build(schema) for rule in table.rules}
     rows = raw

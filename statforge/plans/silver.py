@@ -11,7 +11,9 @@ from statforge.operators.cleaning import (
     count,
     day,
     first_of,
+    ident,
     keep,
+    key_day,
     number,
     spec,
     text,
@@ -20,7 +22,7 @@ from statforge.operators.cleaning import (
 # Output columns, their order, defaults and required keys of each cleaned table.
 SILVER: dict[str, CleanSpec] = {
     "player_profiles": spec(
-        keep("player_id"),
+        ident("player_id"),
         text("player_slug"),
         first_of("player_name", "player_name", "player_slug"),
         keep("player_image_url"),
@@ -39,7 +41,7 @@ SILVER: dict[str, CleanSpec] = {
         unique=("player_id",),
     ),
     "player_performances": spec(
-        keep("player_id"),
+        ident("player_id"),
         text("season_name", "competition_id", "competition_name", "team_id", "team_name"),
         count("nb_in_group", "nb_on_pitch", "goals", "own_goals", "assists", "subed_in", "subed_out"),
         count("yellow_cards", "second_yellow_cards", "direct_red_cards", "penalty_goals"),
@@ -47,27 +49,28 @@ SILVER: dict[str, CleanSpec] = {
         required=("player_id", "season_name"),
     ),
     "player_market_value": spec(
-        keep("player_id", "date_unix"),
+        ident("player_id"),
+        key_day("date_unix"),
         count("value"),
         required=("player_id",),
         unique=("player_id", "date_unix"),
     ),
     "player_injuries": spec(
-        keep("player_id"),
+        ident("player_id"),
         text("season_name", "injury_reason"),
         day("from_date", "end_date"),
         count("days_missed", "games_missed"),
         required=("player_id",),
     ),
     "player_national_performances": spec(
-        keep("player_id"),
+        ident("player_id"),
         text("team_id"),
         day("debut", to="first_game_date"),
         count("matches", "goals"),
         required=("player_id",),
     ),
     "player_teammates_played_with": spec(
-        keep("player_id"),
+        ident("player_id"),
         text("teammate_player_id"),
         text("teammate_player_name", to="player_with_name"),
         number("ppg_played_with", default=0.0),
@@ -75,7 +78,7 @@ SILVER: dict[str, CleanSpec] = {
         required=("player_id", "teammate_player_id"),
     ),
     "transfer_history": spec(
-        keep("player_id"),
+        ident("player_id"),
         text("season_name", to="season"),
         day("transfer_date", to="date"),
         text("from_team_id", "from_team_name", "to_team_id", "to_team_name"),

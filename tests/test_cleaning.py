@@ -29,14 +29,14 @@ def test_profiles(spark):
         PROFILE,
     )
     out = {r["player_id"]: r for r in clean_table("player_profiles", raw).collect()}
-    assert set(out) == {"1", "2", "3"}
-    first = out["1"]
+    assert set(out) == {1, 2, 3}
+    first = out[1]
     assert (first.player_name, first.date_of_birth, first.height, first.foot) == ("slug", dt.date(2000, 1, 2), 185, "RIGHT")
     assert (first.citizenship, first.citizenship_country, first.place_of_birth, first.position) == (" X ", "X", "Unknown", "Unknown")
-    second = out["2"]
+    second = out[2]
     assert (second.player_name, second.date_of_birth, second.height, second.foot) == ("N", None, None, "UNKNOWN")
     assert (second.position, second.joined) == ("", None)
-    assert out["3"].player_name == "a"
+    assert out[3].player_name == "a"
     assert clean_table("player_profiles", raw).columns[-1] == "silver_processed_timestamp"
 
 
@@ -83,23 +83,29 @@ def test_values_one_row_per_player_and_date(spark):
         {"player_id": "1", "date_unix": None, "value": "3000000000"},
         {"player_id": None, "date_unix": "2020-01-01", "value": "1"},
     )
-    assert rows(clean_table("player_market_value", raw, audit=False), "value") == [("1", None, 0), ("1", "2020-01-01", 5)]
+    assert rows(clean_table("player_market_value", raw, audit=False), "value") == [(1, None, 0), (1, dt.date(2020, 1, 1), 5)]
+
+
+def test_ids_are_numbers_before_duplicates_are_looked_for(spark):
+    raw = _all_text(spark, "player_market_value", *({"player_id": i, "date_unix": d, "value": "7"} for i, d in (("01", "2020-01-01"), ("1", "2020-01-01"), ("x", "2020-01-01"), ("2", "soon"))))
+    out = clean_table("player_market_value", raw, audit=False)
+    assert rows(out, "player_id") == [(1, dt.date(2020, 1, 1), 7), (2, None, 7)]
 
 
 def test_injuries_transfers_national_teammates(spark):
     raw = _all_text(spark, "player_injuries", {"player_id": "1", "season_name": " s", "injury_reason": "r ", "from_date": "2020-01-01", "end_date": "x", "days_missed": "-", "games_missed": "4"})
-    assert rows(clean_table("player_injuries", raw, audit=False)) == [("1", "s", "r", dt.date(2020, 1, 1), None, 0, 4)]
+    assert rows(clean_table("player_injuries", raw, audit=False)) == [(1, "s", "r", dt.date(2020, 1, 1), None, 0, 4)]
     raw = _all_text(spark, "transfer_history", {"player_id": "1", "season_name": "20 ", "transfer_date": "2020-07-01", "from_team_id": "a ", "from_team_name": "A", "to_team_id": "b", "to_team_name": "B", "value_at_transfer": None, "transfer_fee": " free transfer "})
-    assert rows(clean_table("transfer_history", raw, audit=False)) == [("1", "20", dt.date(2020, 7, 1), "a", "A", "b", "B", 0, "free transfer")]
+    assert rows(clean_table("transfer_history", raw, audit=False)) == [(1, "20", dt.date(2020, 7, 1), "a", "A", "b", "B", 0, "free transfer")]
     raw = _all_text(spark, "player_national_performances", {"player_id": "1", "team_id": " t", "debut": "2001-01-01", "matches": "x", "goals": "3.0"})
-    assert rows(clean_table("player_national_performances", raw, audit=False)) == [("1", "t", dt.date(2001, 1, 1), 0, 3)]
+    assert rows(clean_table("player_national_performances", raw, audit=False)) == [(1, "t", dt.date(2001, 1, 1), 0, 3)]
     raw = _all_text(
         spark,
         "player_teammates_played_with",
         {"player_id": "1", "teammate_player_id": " 2", "teammate_player_name": "N ", "ppg_played_with": "?", "joint_goal_participation": "1", "minutes_played_with": "90.5"},
         {"player_id": "1", "teammate_player_id": None},
     )
-    assert rows(clean_table("player_teammates_played_with", raw, audit=False)) == [("1", "2", "N", 0.0, 1, 90)]
+    assert rows(clean_table("player_teammates_played_with", raw, audit=False)) == [(1, "2", "N", 0.0, 1, 90)]
 
 
 def test_teams(spark):
