@@ -42,6 +42,8 @@ STANDINGS = (
     f"season {_SEASON}, "
     f"standings ARRAY<STRUCT<stage: STRING, type: STRING, `group`: STRING, `table`: ARRAY<{_TABLE_ROW}>>>"
 )
+# As above, but with table rows as text by key: only so an explicit null differs from an absent key.
+STANDINGS_FILE = STANDINGS.replace(_TABLE_ROW, _TEXT_MAP)
 COMPETITIONS_FILE = f"competitions ARRAY<STRUCT<{COMPETITION}>>"
 
 
@@ -225,6 +227,21 @@ def flatten_competition(parsed: DataFrame, carry: tuple[str, ...] = (), audit: b
     return _required(parsed.select(*columns, *stamp, *carry), COMPETITION_REQUIRED)
 
 
+# Statistics that are 0 where their key is absent.
+_STATISTICS = ("playedGames", "won", "draw", "lost", "points", "goalsFor", "goalsAgainst", "goalDifference")
+STATISTIC_COLUMNS = ("played_games", "won", "draw", "lost", "points", "goals_for", "goals_against", "goal_difference")
+
+
+def typed_standings(standings: Column) -> Column:
+    """``STANDINGS_FILE`` tables with typed rows: an absent statistic is 0, an explicit null stays NULL."""
+
+    def typed(row: Column) -> Column:
+        numbers = [F.when(F.map_contains_key(row, F.lit(k)), row[k].try_cast("int")).otherwise(0).alias(k) for k in _STATISTICS]
+        return F.struct(row["position"].try_cast("int").alias("position"), F.from_json(row["team"], _TEAM).alias("team"), row["form"].alias("form"), *numbers)
+
+    return F.transform(standings, lambda standing: standing.withField("table", F.transform(standing["table"], typed)))
+
+
 def flatten_standings(
     parsed: DataFrame,
     carry: tuple[str, ...] = (),

@@ -6,7 +6,6 @@ The library never creates a session on import; production callers bring their ow
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +25,11 @@ def local_session(cpus: int | str = 8, app: str = "statforge", **conf: str) -> S
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("STATFORGE_DRIVER_MEMORY", "8g"))
     )
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
+    settings = {key.replace("__", "."): value for key, value in conf.items()}
+    # One machine: its own folder is shared by all its tasks.
+    settings.setdefault("spark.checkpoint.dir", f"/tmp/{app}-{uuid.uuid4().hex}")
+    for key, value in settings.items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -36,7 +38,7 @@ def local_session(cpus: int | str = 8, app: str = "statforge", **conf: str) -> S
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (a laptop, a unit test) is a local folder made and set.
+    There is no default: a folder of one machine would hide the files from the others.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -44,9 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    local = tempfile.mkdtemp(prefix="statforge-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -17,13 +17,10 @@ def text_schema(columns: list[str] | tuple[str, ...]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _files_with_open_quotes(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Files holding a line with an odd number of quotes, the only ones that can have a field with a
-    line break. Reads the text in parallel splits; the result is at most one name per input file."""
-    lines = spark.read.text(paths)
+def _has_open_quotes(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether a line has an odd number of quotes: only then can a field hold a line break. Stops at the first such line."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    odd = lines.where(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("path"))
-    return [row["path"] for row in odd.distinct().collect()]
+    return not spark.read.text(paths).where(quotes % 2 == 1).isEmpty()
 
 
 def scan_csv(
@@ -36,34 +33,21 @@ def scan_csv(
 ) -> DataFrame:
     """CSV with a header, ``""`` as quote escape and quoted fields that may span lines.
 
-    A file read with ``multi_line`` cannot be split among tasks. By default (None) only the files that
-    need it are read that way, found by a parallel look at the text; all others are split. Without
-    ``schema`` every header column is text, or inferred if ``infer``. ``lineage`` adds the ingest time
-    and the file each row came from.
+    With ``multi_line`` a file is read by one task, without it in splits. By default (None) a parallel look at the text
+    decides for the whole table; pass False for large tables known to have no line breaks in fields. Without
+    ``schema`` every header column is text, or inferred if ``infer``. Files whose header differs are refused when read.
+    ``lineage`` adds the ingest time and the file each row came from.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if schema is None and not infer:
         schema = text_schema(spark.read.options(**_CSV).csv(paths).columns)
     elif schema is None:
         schema = spark.read.options(**_CSV, inferSchema="true", multiLine="true").csv(paths).schema
-
-    def read(files: list[str], whole: bool) -> DataFrame:
-        rows = spark.read.options(**_CSV, multiLine=str(whole).lower()).schema(schema).csv(files)
-        if not lineage:
-            return rows
-        return rows.select(
-            "*", F.current_timestamp().alias(INGESTED_AT), F.col("_metadata.file_path").alias(SOURCE_FILE)
-        )
-
-    if multi_line is not None:
-        return read(paths, multi_line)
-    spanning = _files_with_open_quotes(spark, paths)
-    if not spanning:
-        return read(paths, False)
-    every = {r["path"] for r in spark.read.format("binaryFile").load(paths).select("path").collect()}
-    plain = sorted(every - set(spanning))
-    rows = read(sorted(spanning), True)
-    return rows.unionByName(read(plain, False)) if plain else rows
+    whole = _has_open_quotes(spark, paths) if multi_line is None else multi_line
+    rows = spark.read.options(**_CSV, enforceSchema="false", multiLine=str(whole).lower()).schema(schema).csv(paths)
+    if not lineage:
+        return rows
+    return rows.select("*", F.current_timestamp().alias(INGESTED_AT), F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 def read_layer(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -82,7 +66,8 @@ def verify_layer(spark: SparkSession, root: str, tables: list[str] | tuple[str,
             df = read_layer(spark, root, table)
             report.append({"table": table, "status": "OK", "rows": df.count(), "columns": len(df.columns)})
         except Exception as error:  # noqa: BLE001 - any failure is a finding here
-            report.append({"table": table, "status": "MISSING", "error": str(error).splitlines()[0][:200]})
+            missing = getattr(error, "getCondition", lambda: None)() == "PATH_NOT_FOUND"
+            report.append({"table": table, "status": "MISSING" if missing else "UNREADABLE", "error": str(error)})
     return report
 
 
@@ -116,13 +101,14 @@ def competitions_file(spark: SparkSession, path: str) -> DataFrame:
 def standings_dir(spark: SparkSession, path: str) -> DataFrame:
     """Flat standings of a directory with one message per file, with the file each row came from.
 
-    Unlike the stream, a missing stage, type or current matchday stays NULL, and only a missing
-    team id drops a row. Files are later applied in name order (see ``upsert_standings_files``).
+    Unlike the stream, a missing stage, type or current matchday stays NULL, so does a statistic that is null in
+    the file (an absent one is 0), and only a missing team id drops a row. Files are later applied in name order (see
+    ``load_standings_files``).
     """
-    reader = spark.read.schema(M.STANDINGS).option("multiLine", True).option("pathGlobFilter", "*.json")
+    reader = spark.read.schema(M.STANDINGS_FILE).option("multiLine", True).option("pathGlobFilter", "*.json")
     whole = reader.json(path).select(
-        F.struct("filters", "area", "competition", "season", "standings").alias("data"),
+        F.struct("filters", "area", "competition", "season", M.typed_standings(F.col("standings")).alias("standings")).alias("data"),
         F.col("_metadata.file_path").alias(SOURCE_FILE),
     )
-    stays_null = ("stage", "standing_type", "current_matchday")
+    stays_null = ("stage", "standing_type", "current_matchday", *M.STATISTIC_COLUMNS)
     return M.flatten_standings(whole, carry=(SOURCE_FILE,), keep_null=stays_null, required=("team_id",))

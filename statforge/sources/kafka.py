@@ -39,5 +39,7 @@ def stream_topic(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
 
 
 def batch_topic(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
-    """The same rows as a bounded scan (``startingOffsets`` must not be ``latest``)."""
-    return spark.read.format("kafka").options(**{**options, "startingOffsets": options.get("startingOffsets", "earliest").replace("latest", "earliest")}).load()
+    """The same rows as a bounded scan; a start at ``latest`` would be empty and is refused."""
+    if options.get("startingOffsets", "earliest") == "latest":
+        raise ValueError("a bounded scan can't start at the latest offsets")
+    return spark.read.format("kafka").options(**{"startingOffsets": "earliest", **options}).load()

@@ -93,11 +93,30 @@ def start_upserts(
 
 
 def run_until_done(queries: Sequence[StreamingQuery]) -> None:
-    """Wait for bounded (available-now) queries; the first error is raised."""
-    for query in queries:
+    """Wait for bounded (available-now) queries; the first error is raised, whichever query it hits."""
+    for query in await_first_failure(queries):
         query.awaitTermination()
 
 
+def await_first_failure(queries: Sequence[StreamingQuery], poll_seconds: float = 1.0) -> list[StreamingQuery]:
+    """Wait until all queries have ended or one has failed; the failed one's error is raised and the others are stopped.
+
+    Works for unbounded queries, too: none is waited for while another has already failed.
+    """
+    running = list(queries)
+    while running:
+        for query in list(running):
+            try:
+                ended = query.awaitTermination(poll_seconds / len(running))
+            except Exception:
+                for other in queries:
+                    other.stop()
+                raise
+            if ended:
+                running.remove(query)
+    return list(queries)
+
+
 def load_standings_files(state: DataFrame | None, files: DataFrame, path_column: str) -> DataFrame:
     """State after loading standings files in name order onto ``state``.
 

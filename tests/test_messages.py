@@ -111,3 +111,11 @@ def test_standings_files_update_some_columns_in_name_order(spark, folder):
     state = loaded.withColumn("points", loaded.points + 100)
     again = load_standings_files(state, files, "bronze_source_file")
     assert rows(again.select("team_id", "points", "competition_name"), "team_id") == [(1, 2, "L"), (2, 5, "L")]
+
+
+def test_standings_files_tell_null_from_absent(spark, folder):
+    row = {"position": 1, "team": {"id": 5, "name": "T"}, "points": None, "won": 3}
+    with open(f"{folder}/a.json", "w") as out:
+        json.dump({"competition": {"id": 1}, "season": {"id": 2}, "standings": [{"table": [row]}]}, out, indent=1)
+    found = one(standings_dir(spark, folder))
+    assert (found["points"], found["won"], found["draw"], found["team_name"]) == (None, 3, 0, "T")
