@@ -453,7 +453,7 @@ _Q["union_counts"] = "\nUNION ALL\n".join(
     f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}"
     for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 )
-_Q["load_by_size"] = f"SELECT *, CASE WHEN row_count < 5000 THEN 'LOAD' ELSE 'SKIP' END AS route FROM ({_Q['union_counts']})"
+_Q["load_report"] = f"SELECT *, 'SUCCESS' AS status FROM ({_Q['union_counts']})"
 _Q["top_players"] = """
 SELECT player_id, player_name, age, player_main_position, overall_player_score, performance_score, market_score, health_score,
   player_rank, peak_market_value, latest_market_value, CAST(latest_valuation_timestamp AS VARCHAR) AS latest_valuation_timestamp,
@@ -502,7 +502,7 @@ FROM standings h JOIN standings a ON h.competition_id = a.competition_id AND h.s
 JOIN competitions c ON h.competition_id = c.competition_id AND h.season_id = c.current_season_id
 WHERE h.standing_type = 'HOME' AND a.standing_type = 'AWAY'"""
 _Q["competition_rankings"] = "SELECT * FROM rankings"
-_Q["snapshot_refresh"] = "SELECT competition_id, season_id, team_id, overall_rank, points_per_game FROM rankings"
+_Q["snapshot_refresh"] = "SELECT * FROM rankings"
 _Q["standings_filters"] = """
 SELECT season_id, group_name, position, team_name, played_games, points, goal_difference FROM standings
 WHERE standing_type = 'TOTAL' AND competition_code = 'AS' AND group_name = 'Group A'"""
@@ -553,6 +553,7 @@ SELECT c_custkey AS competition_id, c_name AS competition_name, 'C' || c_nationk
   CASE WHEN c_custkey % 7 = 0 THEN c_custkey % 50 ELSE 0 END AS number_of_available_seasons,
   '2024-01-02 03:04:05.000000' AS last_updated
 FROM customer WHERE c_custkey % 11 <> 0"""
+_Q["competitions_load"] = _Q["json_competition"]
 _Q["json_standings"] = "SELECT * FROM flat_standings"
 _Q["live_match_line"] = """
 SELECT match_id, home_team_name || ' ' || ft_home_goals || '-' || ft_away_goals || ' ' || away_team_name AS match, competition_name, status

@@ -63,7 +63,7 @@ def _each(spark: SparkSession, names: Sequence[str], work: Callable[[str], int],
             rows = work(name)
             return {"table": name, "status": "SUCCESS", "rows": rows, "seconds": time.monotonic() - started}
         except Exception as error:  # noqa: BLE001 - reported per table
-            return {"table": name, "status": "FAILED", "error": str(error)[:300]}
+            return {"table": name, "status": "FAILED", "error": str(error)}
 
     with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
         return list(pool.map(inheritable_thread_target(spark)(one), names))

@@ -25,8 +25,8 @@ from statforge.plans.bindings import Tables
 from statforge.plans.pipeline import ingest, raise_failures, run_pipeline
 from statforge.session import scratch, stored
 from statforge.sinks.files import Snapshot, delete_expired, retained, write_parquet
-from statforge.sinks.jdbc import split_by_size
-from statforge.sources.files import read_layer, source_inventory, verify_layer
+from statforge.sinks.jdbc import JdbcTarget, load_tables
+from statforge.sources.files import competitions_file, read_layer, verify_layer
 from statforge.streaming.jobs import MATCHES, load_standings_files, run_until_done, start_upserts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -368,9 +368,9 @@ def snapshot_refresh(t):
     """Refresh a snapshot twice; readers see the second version."""
     stored = Snapshot(t.spark, scratch(t.spark, "snapshots"), "mv_competition_rankings")
     ranked = views.competition_rankings(_leaderboards(t), B.competitions(t), audit=False)
-    stored.refresh(ranked.limit(1))
+    stored.refresh(ranked.withColumn("overall_rank", -F.col("overall_rank")))
     stored.refresh(ranked)
-    return stored.read().select("competition_id", "season_id", "team_id", "overall_rank", "points_per_game")
+    return stored.read()
 
 
 # ---- live events ---------------------------------------------------------------------------------------------
@@ -442,6 +442,16 @@ def json_competition(t):
     return M.flatten_competition(M.parse(B.competition_messages(t), M.COMPETITION), audit=False)
 
 
+@query
+def competitions_load(t):
+    """The competition messages as files of many each, loaded as files."""
+    root = scratch(t.spark, "competitions")
+    whole = B.competition_messages(t).groupBy(F.pmod(F.xxhash64("value"), F.lit(16)).alias("file")).agg(F.array_join(F.collect_list("value"), ",").alias("all"))
+    # One row and so one file per folder: a file of this kind holds one object.
+    whole.select("file", F.concat(F.lit('{"competitions": ['), "all", F.lit("]}")).alias("value")).write.partitionBy("file").text(root)
+    return competitions_file(t.spark, root).drop("processed_at")
+
+
 @query
 def json_standings(t):
     return M.flatten_standings(M.parse(B.standings_messages(t), M.STANDINGS), audit=False)
@@ -592,18 +602,12 @@ def quality_verdict(t):
 
 
 @query
-def source_files(t):
-    return source_inventory(t.spark, t.root, "*.parquet", ["orders.parquet", "nothere.parquet"]).select(
-        "file_name", "bytes", "present"
-    )
-
-
-@query
-def load_by_size(t):
+def load_report(t):
+    """What a load of all tables reports: every one with its rows, whatever its size."""
     names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-    small, large = split_by_size({n: getattr(t, n) for n in names}, max_rows=5_000)
-    rows = [(n, c, "LOAD") for n, c in small.items()] + [(n, c, "SKIP") for n, c in large.items()]
-    return t.spark.createDataFrame(rows, "table_name string, row_count bigint, route string")
+    target = JdbcTarget("jdbc:none")
+    report = load_tables({n: getattr(t, n) for n in names}, target, None, write=lambda df, *_: df.write.format("noop").mode("overwrite").save())
+    return t.spark.createDataFrame([(r["table"], r["rows"], r["status"]) for r in report], "table_name string, row_count bigint, status string")
 
 
 @query
@@ -612,10 +616,4 @@ def pipeline_run(t):
     root = scratch(t.spark, "pipeline")
     write_raw(t, f"{root}/raw", B.RAW)
     run_pipeline(t.spark, f"{root}/raw", f"{root}/out", B.AS_OF)
-    profile = read_layer(t.spark, f"{root}/out/gold", "player_analytics_360").drop("gold_processed_timestamp")
-    return profile.withColumns(
-        {
-            "player_id": F.col("player_id").cast("bigint"),
-            "latest_valuation_timestamp": F.col("latest_valuation_timestamp").cast("date"),
-        }
-    )
+    return read_layer(t.spark, f"{root}/out/gold", "player_analytics_360").drop("gold_processed_timestamp")

@@ -12,9 +12,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-# The small dimension tables that are loaded by default, and the size limit.
+# The small dimension tables that are loaded by default.
 RECOMMENDED = ("team_details", "team_children", "team_competitions_seasons")
-SMALL_TABLE_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -64,21 +63,5 @@ def load_tables(
                 {"table": name, "status": "SUCCESS", "rows": rows, "seconds": time.monotonic() - started}
             )
         except Exception as error:  # noqa: BLE001 - one table must not stop the others
-            report.append({"table": name, "status": "FAILED", "error": str(error)[:200]})
+            report.append({"table": name, "status": "FAILED", "error": str(error)})
     return report
-
-
-def split_by_size(tables: Mapping[str, DataFrame], max_rows: int = SMALL_TABLE_ROWS) -> tuple[dict[str, int], dict[str, int]]:
-    """Row counts of the tables below ``max_rows`` and of the others (from footers for Parquet)."""
-    sizes = {name: df.count() for name, df in tables.items()}
-    small = {n: c for n, c in sizes.items() if c < max_rows}
-    return small, {n: c for n, c in sizes.items() if n not in small}
-
-
-def load_small_tables(
-    tables: Mapping[str, DataFrame], target: JdbcTarget, max_rows: int = SMALL_TABLE_ROWS, **kw
-) -> list[dict]:
-    """Load every table below ``max_rows``; larger ones are reported as skipped."""
-    small, large = split_by_size(tables, max_rows)
-    report = load_tables(tables, target, names=sorted(small), counts=small, **kw)
-    return report + [{"table": n, "status": "SKIPPED", "rows": c} for n, c in sorted(large.items())]
