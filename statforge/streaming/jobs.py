@@ -27,6 +27,8 @@ class Topic:
     newest: str | None
     trigger: str
     blank_null: tuple[str, ...] = ()
+    # A field that every readable message has.
+    probe: str = "id"
 
     def rows(self, messages: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         """Parsed and flattened rows, for a batch or a stream."""
@@ -42,7 +44,7 @@ COMPETITIONS = Topic(
     "competitions", M.COMPETITION, M.flatten_competition, ("competition_id",), "last_updated", "60 seconds"
 )
 STANDINGS = Topic(
-    "standings", M.STANDINGS, M.flatten_standings, STANDING_KEY, "processed_at", "60 seconds", ("group_name",)
+    "standings", M.STANDINGS, M.flatten_standings, STANDING_KEY, "processed_at", "60 seconds", ("group_name",), "competition.id"
 )
 # Columns of the message source that break ties inside a batch: the later message wins.
 ARRIVAL = ("timestamp", "partition", "offset")
@@ -58,13 +60,18 @@ def upsert_batches(
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: flatten, keep the newest change per key, record.
 
-    Errors are not caught: a failed batch fails the query and is run again after a restart. The batch
-    is read once, by the write itself; an empty batch writes an empty change set.
+    Errors are not caught: a failed batch fails the query and is run again after a restart. Messages are parsed
+    once; those that can't be read are stored beside the log. An empty batch writes an empty change set.
     """
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         carry = [c for c in ARRIVAL if c in batch.columns]
-        table.apply(topic.rows(batch, carry), run, batch_id, arrival=carry)
+        parsed = M.parse(batch, topic.schema, tuple(carry)).persist()
+        try:
+            table.apply(topic.flatten(parsed, carry=tuple(carry)), run, batch_id, arrival=carry)
+            table.quarantine(M.unreadable(parsed, topic.probe), run, batch_id)
+        finally:
+            parsed.unpersist()
         if compact_every and batch_id and batch_id % compact_every == 0:
             table.compact()
 

@@ -3,6 +3,7 @@
 Layout below the table's root::
 
     log/seq=<n>/writer=<digest>/batch=<id>/     the changes of one micro-batch, one per key
+    unreadable/writer=<digest>/batch=<id>/      messages of a micro-batch that could not be read
     cover/seq=<n>/                              how far each writer's batches are in the base of that number
     base/seq=<n>/_bucket=<k>/                   state after change n, by hash bucket of the key
 
@@ -87,6 +88,16 @@ class UpsertTable:
         stamped = changes.withColumns({_SEQ: F.lit(number).cast("bigint"), U.PARTIAL: F.lit(partial)})
         return write_parquet(stamped, f"{self.root}/log/seq={number:012d}/writer={run}/batch={int(batch_id):012d}")
 
+    def quarantine(self, messages: DataFrame, run: str, batch_id: int) -> None:
+        """Store the unreadable messages of a batch, if any; a replay replaces them."""
+        if not messages.isEmpty():
+            write_parquet(messages, f"{self.root}/unreadable/writer={run}/batch={int(batch_id):012d}")
+
+    def unreadable(self) -> DataFrame | None:
+        """All messages in quarantine with their writer and batch, None if there never were any."""
+        path = f"{self.root}/unreadable"
+        return self.spark.read.parquet(path) if child_dirs(self.spark, path, committed=False) else None
+
     def _number(self, run: str, batch_id: int) -> int:
         """The batch's number if it is committed, else the next one; numbers of lost writes are not used again."""
         for entry in self._log_dirs():

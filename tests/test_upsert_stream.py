@@ -207,6 +207,7 @@ def test_stream_equals_batch_and_survives_a_restart(spark, folder):
     # The later of two equally new messages wins.
     assert shown() == [(1, "FINISHED"), (2, "TIMED")]
     assert "offset" not in table.current().columns
+    assert rows(table.unreadable().select("raw_json")) == [("broken",)]
     run()  # nothing new
     drop_file(spark, folder, "in", [match(1, 2, "PAUSED"), match(3, 1)])
     run()
@@ -238,7 +239,7 @@ def test_two_topics_in_one_session(spark, folder):
         tables[path] = topic.table(spark, f"{folder}/{path}-table")
         queries.append(start_upserts(stream(spark, f"{folder}/{path}"), topic, tables[path], f"{folder}/{path}-cp", available_now=True))
     run_until_done(queries)
-    assert tables["c"].current().count() == 1
+    assert tables["c"].current().count() == 1 and tables["c"].unreadable() is None and tables["s"].unreadable() is None
     assert rows(tables["s"].current().select("team_id", "points")) == [(5, 4)]
 
 
