@@ -18,6 +18,7 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from itertools import groupby
 
 import numpy as np
@@ -32,7 +33,7 @@ from statforge.llm.shared import PRIME, WordHashes, arrow_schema, checkpointed,
 WINDOW, GRAM = 35, 5
 BUCKET_BYTES = 16 << 20
 _MOST_FREQUENT = 1 << 16
-_FLUSH_BYTES = 24 << 20
+_FLUSH_BYTES = 32 << 20
 _NO_ID = -(2**63)
 _PASSED_OVER = np.uint64(2**64 - 1)
 _PACKED = "bucket int, strings binary, keys binary, again binary, counts binary, ids binary, hashes binary, starts binary"
@@ -107,35 +108,43 @@ def profile(texts: DataFrame, gram: int, share: float) -> DataFrame:
 
 
 class Sender:
-    """Collects super-k-mers by bucket and packs them."""
-
-    def __init__(self, buckets: int):
-        self.buckets, self.size = buckets, 0
-        self.held: dict[int, dict[tuple[int, bool, bytes], list[tuple[int, int, int]]]] = {}
-
-    def add(self, key: int, again: bool, string: bytes, place: tuple[int, int, int]) -> None:
-        places = self.held.setdefault(key % self.buckets, {}).setdefault((key, again, string), [])
-        if not places:
-            self.size += len(string)
-        self.size += 16
-        places.append(place)
+    """Collects super-k-mers by bucket and packs them. Equal strings are held once, with all their places."""
+
+    def __init__(self):
+        self.size = 0
+        self.held: defaultdict[int, dict[bytes, list[int]]] = defaultdict(dict)
+
+    def add(self, line: bytes, doc_id: int, text_hash: int, spans) -> None:
+        """Super-k-mers (bucket, key, again, first word, begin, end) of a document, the last two as bytes of ``line``."""
+        size = 0
+        for bucket, key, again, first, begin, end in spans:
+            own = self.held[bucket]
+            string = line[begin:end]
+            entry = own.get(string)
+            if entry is None:
+                own[string] = [key, again, doc_id, text_hash, first]
+                size += end - begin + 300
+            else:
+                entry[1] |= again
+                entry += (doc_id, text_hash, first)
+                size += 24
+        self.size += size
 
     def packed(self, target: pa.Schema) -> pa.RecordBatch:
-        pack = zstandard.ZstdCompressor(level=3).compress
+        pack = zstandard.ZstdCompressor(level=1).compress
         rows = []
         for bucket, found in self.held.items():
-            places = np.array([p for own in found.values() for p in own], "int64")
-            rows.append(
-                (
-                    bucket,
-                    pack(b"\n".join(string for _, _, string in found)),
-                    pack(np.array([key for key, _, _ in found], "uint64").tobytes()),
-                    pack(np.array([again for _, again, _ in found], "uint8").tobytes()),
-                    pack(np.array([len(own) for own in found.values()], "int32").tobytes()),
-                    *(pack(np.ascontiguousarray(places[:, i]).astype(kind).tobytes()) for i, kind in ((0, "int64"), (1, "int64"), (2, "int32"))),
-                )
+            entries = list(found.values())
+            places = np.array([x for e in entries for x in e[2:]], "int64").reshape(-1, 3)
+            columns = (
+                np.array([e[0] for e in entries], "uint64"),
+                np.array([e[1] for e in entries], "uint8"),
+                np.array([len(e) // 3 for e in entries], "int32"),
+                *(np.ascontiguousarray(places[:, i]).astype(kind) for i, kind in ((0, "int64"), (1, "int64"), (2, "int32"))),
             )
-        self.held, self.size = {}, 0
+            rows.append((bucket, pack(b"\n".join(found)), *(pack(c.tobytes()) for c in columns)))
+        self.size = 0
+        self.held.clear()
         return pa.RecordBatch.from_arrays([pa.array(column, f.type) for column, f in zip(zip(*rows, strict=True), target, strict=True)], schema=target)
 
 
@@ -145,7 +154,7 @@ def super_kmers(texts: DataFrame, window: int, gram: int, buckets: int, frequent
     shared = texts.sparkSession.sparkContext.broadcast(frequent)  # at most 65,536 numbers
 
     def run(batches):
-        hashes, sender = WordHashes(), Sender(buckets)
+        hashes, sender = WordHashes(), Sender()
         for batch in batches:
             for doc_id, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 words = text.as_py().split()
@@ -161,8 +170,8 @@ def super_kmers(texts: DataFrame, window: int, gram: int, buckets: int, frequent
                 line = b" ".join(words)
                 starts = np.zeros(len(words) + 1, "int64")
                 np.cumsum(np.fromiter(map(len, words), "int64", len(words)) + 1, out=starts[1:])
-                for key, more, first, begin, end in zip(keys.tolist(), again.tolist(), firsts.tolist(), starts[firsts].tolist(), (starts[lasts] - 1).tolist(), strict=True):
-                    sender.add(key, more, line[begin:end], (doc_id, text_hash, first))
+                columns = (keys % np.uint64(buckets), keys, again.astype("uint8"), firsts, starts[firsts], starts[lasts] - 1)
+                sender.add(line, doc_id, text_hash, zip(*(c.tolist() for c in columns), strict=True))
                 if sender.size > _FLUSH_BYTES:
                     yield sender.packed(target)
         if sender.held:
@@ -182,22 +191,24 @@ def _windows(string: bytes, window: int) -> list[bytes]:
 def repeats_in_bucket(part: pd.DataFrame, window: int) -> pd.DataFrame:
     """Word intervals covered by the windows that a bucket holds more than once."""
     unpack = zstandard.ZstdDecompressor().decompress
+    rows = list(part.itertuples(index=False))
+    columns = [tuple(np.frombuffer(unpack(x), kind) for x, kind in ((r.keys, "uint64"), (r.again, "uint8"), (r.counts, "int32"))) for r in rows]
+    every = np.concatenate([keys for keys, _, _ in columns])
     held: dict[tuple[int, bytes], list] = {}
-    repeated = set()
-    for row in part.itertuples(index=False):
+    seen, times = np.unique(every, return_counts=True)
+    for row, (keys, again, counts) in zip(rows, columns, strict=True):
+        # A string alone with its minimiser, in one place, can only repeat itself; most are such.
+        useful = np.flatnonzero((times[np.searchsorted(seen, keys)] > 1) | (again > 0) | (counts > 1))
+        if not len(useful):
+            continue
         strings = unpack(row.strings).split(b"\n")
-        keys, again, counts = (np.frombuffer(unpack(x), kind) for x, kind in ((row.keys, "uint64"), (row.again, "uint8"), (row.counts, "int32")))
         places = [np.frombuffer(unpack(x), kind) for x, kind in ((row.ids, "int64"), (row.hashes, "int64"), (row.starts, "int32"))]
-        ends = np.cumsum(counts).tolist()
-        for key, more, string, number, end in zip(keys.tolist(), again.tolist(), strings, counts.tolist(), ends, strict=True):
-            if more:
-                repeated.add(key)
-            held.setdefault((key, string), []).append((number, tuple(p[end - number : end] for p in places)))
+        ends = np.cumsum(counts)
+        for i, key, number, end in zip(useful.tolist(), keys[useful].tolist(), counts[useful].tolist(), ends[useful].tolist(), strict=True):
+            held.setdefault((key, strings[i]), []).append((number, tuple(p[end - number : end] for p in places)))
     found = []
     for key, own in groupby(sorted(held), key=lambda x: x[0]):
         strings = [string for _, string in own]
-        if len(strings) == 1 and key not in repeated and len(held[key, strings[0]]) == 1 and held[key, strings[0]][0][0] == 1:
-            continue
         counts: dict[bytes, int] = {}
         for string in strings:
             number = sum(n for n, _ in held[key, string])
