@@ -8,7 +8,9 @@ similarity 0.75 is missed with probability 6e-5, at 0.8 with 3e-7.
 Documents with equal shingle sets are one class and go on as one representative, the smallest id, so groups of copies cost nothing further.
 Candidates are tested in rounds. In a star round every document that shares a band with another component is tested against one
 centre there: at most one pair a document, however large the band. Links merge components, and whatever lies in one component needs no further tests.
-The last round tests every pair left that shares a band across two components, so that the result is that of testing all candidates.
+The last round tests every pair left that shares a band across two components, so that the result is that of testing all candidates:
+documents without a partner whose signature agrees well enough (4.5 standard deviations, a chance of 3e-6 at the threshold) drop out, and the others of a
+band meet in cells of bounded size, which compare their sets without making pairs and hand on at most one link per two components.
 Centres, labels and pairs are tables in the shared folder.
 
 Defined results: words are runs of other characters than ASCII white space, with A-Z in lower case. Fewer than five words are
@@ -19,15 +21,17 @@ Empty tables give empty results.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statforge.llm.shared import PRIME, WordHashes, arrow_schema, checkpointed, lower_ascii, map_columns, mixed
 
-SHINGLE, BANDS, BAND_VALUES, STAR_ROUNDS = 5, 50, 6, 2
+SHINGLE, BANDS, BAND_VALUES, STAR_ROUNDS, CELL_ROWS = 5, 50, 6, 2, 256
 PERCENT = 75
 
 
@@ -67,36 +71,58 @@ class MinMax:
             np.maximum(high, permuted.max(0), out=high)
         return np.stack([low, high], 1).ravel()
 
-    def keys(self, found: np.ndarray) -> list[int]:
-        """One 64-bit key per band; none for an empty set."""
-        if not len(found):
-            return []
-        rows = self.signature(found).astype("uint64").reshape(self.bands, self.values)
+    def keys(self, signature: np.ndarray) -> list[int]:
+        """One 64-bit key per band."""
+        rows = signature.astype("uint64").reshape(self.bands, self.values)
         key = np.arange(1, self.bands + 1, dtype="uint64")
         for i in range(self.values):
             key = mixed(key * PRIME + rows[:, i])
         return key.view("int64").tolist()
 
 
+def low_bits(signature: np.ndarray) -> list[int]:
+    """The two lowest bits of every value, 32 values a number."""
+    padded = np.zeros(-(-len(signature) // 32) * 32, "uint64")
+    padded[: len(signature)] = signature & 3
+    shifts = np.arange(0, 64, 2, dtype="uint64")
+    return (padded.reshape(-1, 32) << shifts).sum(1, dtype="uint64").view("int64").tolist()
+
+
+def most_disagreements(values: int, percent: int, deviations: float = 4.5) -> int:
+    """In how many of ``values`` two-bit places a pair at the threshold may disagree."""
+    similarity = percent / 100
+    agree = similarity + (1 - similarity) / 4
+    return int(values * (1 - agree) + deviations * (values * agree * (1 - agree)) ** 0.5)
+
+
+def disagreements(mine: Column, theirs: Column, numbers: int) -> Column:
+    """Number of two-bit places in which two arrays of ``low_bits`` differ."""
+    pairs = F.lit(0x5555555555555555)
+    found = [mine[i].bitwiseXOR(theirs[i]) for i in range(numbers)]
+    return reduce(Column.__add__, (F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(pairs)) for x in found))
+
+
 def sketches(docs: DataFrame, width: int = SHINGLE, bands: int = BANDS, values: int = BAND_VALUES) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands) of every row; ``digest`` stands for the whole set."""
+    """(doc_id, n_shingles, digest, bands, sketch) of every row; ``digest`` stands for the whole set."""
 
     def work(ids, texts):
         hashes, signer = WordHashes(), MinMax(bands, values)
-        out = {"doc_id": ids, "n_shingles": [], "digest": [], "bands": []}
-        last: dict[bytes, list[int]] = {}
+        out = {"doc_id": ids, "n_shingles": [], "digest": [], "bands": [], "sketch": []}
+        last: dict[bytes, tuple[list[int], list[int]]] = {}
         for text in texts:
             found = shingles(text, hashes, width)
             digest = xxhash.xxh3_128_digest(found.tobytes())
             if digest not in last:
-                last[digest] = signer.keys(found)
+                signature = signer.signature(found)
+                last[digest] = (signer.keys(signature), low_bits(signature)) if len(found) else ([], [])
             out["n_shingles"].append(len(found))
             out["digest"].append(digest)
-            out["bands"].append(last[digest])
+            out["bands"].append(last[digest][0])
+            out["sketch"].append(last[digest][1])
         return out
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), lower_ascii(F.col("text")).cast("binary").alias("text"))
-    return map_columns(texts, "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>", work)
+    return map_columns(texts, "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>", work)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
@@ -126,6 +152,71 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> D
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def cell_links(rows: list[tuple[int, int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
+    """Links (a, b) between the two blocks of a cell, or within its only block, enough to connect all labels that are linked.
+
+    Rows are (block, node, label, set). One row's common shingles with all others are counted in one pass over their sets.
+    """
+    first, last = min(r[0] for r in rows), max(r[0] for r in rows)
+    sides = [r for r in rows if r[0] == first], [r for r in rows if r[0] == last]
+    top: dict[int, int] = {}
+
+    def find(label: int) -> int:
+        while top.get(label, label) != label:
+            label = top[label]
+        return label
+
+    values, places = np.unique(np.concatenate([r[3] for r in sides[1]]), return_inverse=True)
+    sizes = np.array([len(r[3]) for r in sides[1]])
+    edges = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    labels, held, links = np.array([r[2] for r in sides[1]]), np.zeros(len(values), "int32"), []
+    for _, node, label, own in sides[0]:
+        at = np.minimum(np.searchsorted(values, own), len(values) - 1)
+        at = at[values[at] == own]
+        held[at] = 1
+        common = np.add.reduceat(held[places], edges)
+        held[at] = 0
+        for i in np.flatnonzero((100 * common >= percent * (sizes + len(own) - common)) & (labels != label)).tolist():
+            x, y = find(label), find(int(labels[i]))
+            if x != y:
+                top[max(x, y)] = min(x, y)
+                links.append((node, sides[1][i][1]))
+    return links
+
+
+def links_in_bands(split: DataFrame, texts: DataFrame, percent: int, width: int, values: int) -> DataFrame:
+    """Links (a, b) among the rows (key, node, label, sketch) of each band, between different labels."""
+    numbers, most = -(-values // 32), most_disagreements(values, percent)
+    other = split.select(F.col("key").alias("same"), F.col("label").alias("other"), F.col("sketch").alias("others"))
+    near = disagreements(F.col("sketch"), F.col("others"), numbers) <= most
+    active = split.join(other, (F.col("key") == F.col("same")) & (F.col("label") != F.col("other")) & near, "left_semi").select("key", "node", "label")
+    active = checkpointed(active, "active")
+    blocks = active.groupBy("key").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("blocks"))
+    placed = active.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("across", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = placed.select("key", F.least("own", "across").alias("i"), F.greatest("own", "across").alias("j"), "own", "node", "label")
+    cells = cells.join(texts, "node").select("key", "i", "j", "own", "node", "label", "text")
+    target = arrow_schema(split.sparkSession, "a bigint, b bigint")
+
+    def run(batches):
+        hashes, cell, held = WordHashes(), None, []
+        links: list[tuple[int, int]] = []
+        for batch in batches:
+            for *place, own, node, label, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if place != cell:
+                    if held:
+                        links += cell_links(held, percent)
+                    cell, held = place, []
+                held.append((own, node, label, shingles(text, hashes, width)))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], schema=target)
+            links = []
+        if held:
+            links = cell_links(held, percent)
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], schema=target)
+
+    return cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a bigint, b bigint")
+
+
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` (node, label) after components that ``links`` (a, b) connect take their smallest label.
 
@@ -156,10 +247,11 @@ def _apart(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return split.join(centres, "key")
 
 
-def components(docs: DataFrame, found: DataFrame, percent: int, width: int, star_rounds: int) -> tuple[DataFrame, DataFrame]:
+def components(docs: DataFrame, found: DataFrame, percent: int, width: int, values: int, star_rounds: int) -> tuple[DataFrame, DataFrame]:
     """Classes (digest, node) of equal sets, and the labels (node, label) of those that share a band with another."""
     classes = checkpointed(found.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
-    own = found.join(classes.withColumnRenamed("node", "doc_id"), ["digest", "doc_id"]).select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
+    first = found.join(classes.withColumnRenamed("node", "doc_id"), ["digest", "doc_id"]).withColumnRenamed("doc_id", "node")
+    own = first.select("node", F.explode("bands").alias("key"))
     crowded = own.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
     shared = checkpointed(own.join(crowded, "key").select("key", "node"), "shared")
     involved = shared.select("node").distinct()
@@ -167,28 +259,26 @@ def components(docs: DataFrame, found: DataFrame, percent: int, width: int, star
     texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), lower_ascii(F.col("text")).cast("binary").alias("text"))
     texts = checkpointed(texts.join(labels.select("node"), "node").dropDuplicates(["node"]), "texts")
     tested = None
-    for number in range(star_rounds + 1):
-        split = _apart(shared, labels)
-        if number < star_rounds:
-            pairs = split.where("label <> least").groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a")).select("a", "b")
-        else:
-            split = checkpointed(split, "split")
-            other = split.select("key", F.col("node").alias("b"), F.col("label").alias("other"))
-            pairs = split.withColumnRenamed("node", "a").join(other, "key").where("label < other").select("a", "b").distinct()
+    for _ in range(star_rounds):
+        pairs = _apart(shared, labels).where("label <> least").groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a")).select("a", "b")
         if tested is not None:
-            same_way = pairs.join(tested, ["a", "b"], "left_anti")
-            pairs = same_way.join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = checkpointed(pairs, "pairs")
         links = checkpointed(confirmed(pairs, texts, percent, width), "links")
         tested = pairs if tested is None else tested.union(pairs)
         labels = checkpointed(merged(labels, links), "labels")
+    split = _apart(shared, labels)
+    marks = first.join(split.select("node").distinct(), "node").dropDuplicates(["node"]).select("node", "sketch")
+    split = checkpointed(split.select("key", "node", "label").join(marks, "node"), "split")
+    links = checkpointed(links_in_bands(split, texts, percent, width, values).distinct(), "links")
+    labels = checkpointed(merged(labels, links), "labels")
     return classes, labels
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, bands: int = BANDS, values: int = BAND_VALUES, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     found = checkpointed(sketches(docs, width, bands, values), "sketches")
-    classes, labels = components(docs, found, percent, width, star_rounds)
+    classes, labels = components(docs, found, percent, width, bands * values, star_rounds)
     top = classes.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component_id"))
     linked = found.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "n_shingles", "digest").join(top, "digest")
     alone = found.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

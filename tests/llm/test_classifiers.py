@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
+from odd_rows import no_docs, odd_docs  # noqa: F401
 from statforge.llm import quality, toxicity
 from statforge.llm.linear import dual_descent, probabilities
 from statforge.llm.shared import table

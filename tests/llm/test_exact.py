@@ -2,6 +2,7 @@ import hashlib
 import random
 import string
 
+from odd_rows import no_docs, odd_docs  # noqa: F401
 from statforge.llm import exact
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)

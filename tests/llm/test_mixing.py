@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+from odd_rows import no_docs, odd_docs  # noqa: F401
 from statforge.llm import mixing
 
 

@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from odd_rows import no_docs, odd_docs  # noqa: F401
 from statforge.llm import packing
 
 

@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+from odd_rows import no_docs, odd_docs  # noqa: F401
 import corpus_pipeline
 from statforge.llm.queries import ORACLE, QUERIES
 

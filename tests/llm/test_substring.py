@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+from odd_rows import no_docs, odd_docs  # noqa: F401
 from statforge.llm import substring
 
 
