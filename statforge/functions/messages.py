@@ -73,114 +73,96 @@ class Flat:
         return col.alias(self.name)
 
 
-def _flats(table: str) -> tuple[Flat, ...]:
-    """Read a layout written one column per line: ``name path [kind] [=default]``."""
-    out = []
-    for line in filter(None, map(str.strip, table.splitlines())):
-        name, path, *rest = line.split()
-        kind = next((w for w in rest if not w.startswith("=")), "as_is")
-        default: object = next((w[1:] for w in rest if w.startswith("=")), None)
-        if isinstance(default, str) and default.isdigit():
-            default = int(default)
-        out.append(Flat(name, path, kind, default))
-    return tuple(out)
-
-
-# Fixed formats: layout of the flat rows.
-MATCH_LAYOUT = _flats(
-    """
-    match_id                id
-    utc_date                utcDate             local
-    last_updated            lastUpdated         local
-    status                  status
-    matchday                matchday            =0
-    stage                   stage               =UNKNOWN
-    area_id                 area.id             int
-    area_name               area.name
-    area_code               area.code
-    competition_id          competition.id      int
-    competition_name        competition.name
-    competition_code        competition.code
-    season_id               season.id           int
-    season_start_date       season.startDate    date
-    season_end_date         season.endDate      date
-    home_team_id            homeTeam.id         int
-    home_team_name          homeTeam.name
-    home_team_short_name    homeTeam.shortName
-    home_team_tla           homeTeam.tla
-    away_team_id            awayTeam.id         int
-    away_team_name          awayTeam.name
-    away_team_short_name    awayTeam.shortName
-    away_team_tla           awayTeam.tla
-    winner                  score.winner        =DRAW
-    duration                score.duration      =REGULAR
-    ft_home_goals           score.fullTime.home =0
-    ft_away_goals           score.fullTime.away =0
-    ht_home_goals           score.halfTime.home =0
-    ht_away_goals           score.halfTime.away =0
-    area_details            area                json
-    competition_details     competition         json
-    season_details          season              json
-    home_team_details       homeTeam            json
-    away_team_details       awayTeam            json
-    score_details           score               json
-    referees                referees            json
-    """
+
+# Layout of the flat rows.
+MATCH_LAYOUT = (
+    Flat("match_id", "id"),
+    Flat("utc_date", "utcDate", "local"),
+    Flat("last_updated", "lastUpdated", "local"),
+    Flat("status", "status"),
+    Flat("matchday", "matchday", default=0),
+    Flat("stage", "stage", default="UNKNOWN"),
+    Flat("area_id", "area.id", "int"),
+    Flat("area_name", "area.name"),
+    Flat("area_code", "area.code"),
+    Flat("competition_id", "competition.id", "int"),
+    Flat("competition_name", "competition.name"),
+    Flat("competition_code", "competition.code"),
+    Flat("season_id", "season.id", "int"),
+    Flat("season_start_date", "season.startDate", "date"),
+    Flat("season_end_date", "season.endDate", "date"),
+    Flat("home_team_id", "homeTeam.id", "int"),
+    Flat("home_team_name", "homeTeam.name"),
+    Flat("home_team_short_name", "homeTeam.shortName"),
+    Flat("home_team_tla", "homeTeam.tla"),
+    Flat("away_team_id", "awayTeam.id", "int"),
+    Flat("away_team_name", "awayTeam.name"),
+    Flat("away_team_short_name", "awayTeam.shortName"),
+    Flat("away_team_tla", "awayTeam.tla"),
+    Flat("winner", "score.winner", default="DRAW"),
+    Flat("duration", "score.duration", default="REGULAR"),
+    Flat("ft_home_goals", "score.fullTime.home", default=0),
+    Flat("ft_away_goals", "score.fullTime.away", default=0),
+    Flat("ht_home_goals", "score.halfTime.home", default=0),
+    Flat("ht_away_goals", "score.halfTime.away", default=0),
+    Flat("area_details", "area", "json"),
+    Flat("competition_details", "competition", "json"),
+    Flat("season_details", "season", "json"),
+    Flat("home_team_details", "homeTeam", "json"),
+    Flat("away_team_details", "awayTeam", "json"),
+    Flat("score_details", "score", "json"),
+    Flat("referees", "referees", "json"),
 )
-COMPETITION_LAYOUT = _flats(
-    """
-    competition_id              id
-    competition_name            name
-    competition_code            code
-    competition_type            type
-    emblem_url                  emblem
-    plan                        plan
-    area_id                     area.id
-    area_name                   area.name
-    area_code                   area.code
-    area_flag_url               area.flag
-    current_season_id           currentSeason.id
-    season_start_date           currentSeason.startDate         date
-    season_end_date             currentSeason.endDate           date
-    current_matchday            currentSeason.currentMatchday   =0
-    season_winner_id            currentSeason.winner.id
-    season_winner_name          currentSeason.winner.name
-    number_of_available_seasons numberOfAvailableSeasons        =0
-    last_updated                lastUpdated                     utc
-    """
+COMPETITION_LAYOUT = (
+    Flat("competition_id", "id"),
+    Flat("competition_name", "name"),
+    Flat("competition_code", "code"),
+    Flat("competition_type", "type"),
+    Flat("emblem_url", "emblem"),
+    Flat("plan", "plan"),
+    Flat("area_id", "area.id"),
+    Flat("area_name", "area.name"),
+    Flat("area_code", "area.code"),
+    Flat("area_flag_url", "area.flag"),
+    Flat("current_season_id", "currentSeason.id"),
+    Flat("season_start_date", "currentSeason.startDate", "date"),
+    Flat("season_end_date", "currentSeason.endDate", "date"),
+    Flat("current_matchday", "currentSeason.currentMatchday", default=0),
+    Flat("season_winner_id", "currentSeason.winner.id"),
+    Flat("season_winner_name", "currentSeason.winner.name"),
+    Flat("number_of_available_seasons", "numberOfAvailableSeasons", default=0),
+    Flat("last_updated", "lastUpdated", "utc"),
 )
-STANDING_LAYOUT = _flats(
-    """
-    competition_id      competition.id
-    competition_name    competition.name
-    competition_code    competition.code
-    competition_type    competition.type
-    season_id           season.id
-    season_start_date   season.startDate        date
-    season_end_date     season.endDate          date
-    current_matchday    season.currentMatchday  =0
-    area_id             area.id
-    area_name           area.name
-    area_code           area.code
-    stage               standing.stage          =REGULAR_SEASON
-    standing_type       standing.type           =TOTAL
-    group_name          standing.group
-    position            entry.position
-    team_id             entry.team.id
-    team_name           entry.team.name
-    team_short_name     entry.team.shortName
-    team_tla            entry.team.tla
-    team_crest_url      entry.team.crest
-    played_games        entry.playedGames       =0
-    won                 entry.won               =0
-    draw                entry.draw              =0
-    lost                entry.lost              =0
-    points              entry.points            =0
-    goals_for           entry.goalsFor          =0
-    goals_against       entry.goalsAgainst      =0
-    goal_difference     entry.goalDifference    =0
-    form                entry.form
-    """
+STANDING_LAYOUT = (
+    Flat("competition_id", "competition.id"),
+    Flat("competition_name", "competition.name"),
+    Flat("competition_code", "competition.code"),
+    Flat("competition_type", "competition.type"),
+    Flat("season_id", "season.id"),
+    Flat("season_start_date", "season.startDate", "date"),
+    Flat("season_end_date", "season.endDate", "date"),
+    Flat("current_matchday", "season.currentMatchday", default=0),
+    Flat("area_id", "area.id"),
+    Flat("area_name", "area.name"),
+    Flat("area_code", "area.code"),
+    Flat("stage", "standing.stage", default="REGULAR_SEASON"),
+    Flat("standing_type", "standing.type", default="TOTAL"),
+    Flat("group_name", "standing.group"),
+    Flat("position", "entry.position"),
+    Flat("team_id", "entry.team.id"),
+    Flat("team_name", "entry.team.name"),
+    Flat("team_short_name", "entry.team.shortName"),
+    Flat("team_tla", "entry.team.tla"),
+    Flat("team_crest_url", "entry.team.crest"),
+    Flat("played_games", "entry.playedGames", default=0),
+    Flat("won", "entry.won", default=0),
+    Flat("draw", "entry.draw", default=0),
+    Flat("lost", "entry.lost", default=0),
+    Flat("points", "entry.points", default=0),
+    Flat("goals_for", "entry.goalsFor", default=0),
+    Flat("goals_against", "entry.goalsAgainst", default=0),
+    Flat("goal_difference", "entry.goalDifference", default=0),
+    Flat("form", "entry.form"),
 )
 
 # Columns a row must have to be kept, and the zone match times are shown in.

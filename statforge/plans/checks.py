@@ -137,17 +137,17 @@ MATCH_CONSTRAINTS = [
 ]
 # NOT NULL columns and unique keys of the serving tables.
 NOT_NULL = {
-    "player_form_metrics": (
-        "player_id total_seasons total_appearances total_minutes_played total_goals total_assists goal_contributions "
-        "total_yellow_cards total_red_cards"
-    ).split(),
-    "market_value_trends": "player_id peak_market_value lowest_market_value value_volatility value_records_count".split(),
-    "injury_risk_scores": "player_id total_injuries total_days_missed total_games_missed".split(),
-    "transfer_intelligence": "player_id total_transfers".split(),
-    "player_analytics_360": "player_id player_name".split(),
-    "live_events": "match_id event_timestamp".split(),
-    "competitions": "competition_id competition_name competition_code".split(),
-    "leaderboards": "competition_id season_id position team_id team_name".split(),
+    "player_form_metrics": [
+        "player_id", "total_seasons", "total_appearances", "total_minutes_played", "total_goals",
+        "total_assists", "goal_contributions", "total_yellow_cards", "total_red_cards",
+    ],
+    "market_value_trends": ["player_id", "peak_market_value", "lowest_market_value", "value_volatility", "value_records_count"],
+    "injury_risk_scores": ["player_id", "total_injuries", "total_days_missed", "total_games_missed"],
+    "transfer_intelligence": ["player_id", "total_transfers"],
+    "player_analytics_360": ["player_id", "player_name"],
+    "live_events": ["match_id", "event_timestamp"],
+    "competitions": ["competition_id", "competition_name", "competition_code"],
+    "leaderboards": ["competition_id", "season_id", "position", "team_id", "team_name"],
 }
 UNIQUE = {
     **{t: ["player_id"] for t in CONSTRAINTS},

@@ -31,22 +31,23 @@ def _up(*names: str) -> list[Column]:
 
 def top_players(profile: DataFrame, limit: int = 100) -> DataFrame:
     """Best players by overall score."""
-    shown = (
-        "player_id player_name age player_main_position overall_player_score performance_score market_score "
-        "health_score player_rank peak_market_value latest_market_value latest_valuation_timestamp total_goals "
-        "total_assists injury_risk_level"
-    ).split()
+    shown = [
+        "player_id", "player_name", "age", "player_main_position", "overall_player_score",
+        "performance_score", "market_score", "health_score", "player_rank", "peak_market_value",
+        "latest_market_value", "latest_valuation_timestamp", "total_goals", "total_assists",
+        "injury_risk_level",
+    ]
     scored = profile.where("overall_player_score > 0").select(*shown)
     return scored.orderBy(*_down("overall_player_score"), *_up("player_id")).limit(limit)
 
 
 def high_value_low_risk(profile: DataFrame) -> DataFrame:
     """Players aged 20-30 worth over 10M at their peak whose injury risk is known to be low."""
-    shown = (
-        "player_id player_name age player_main_position peak_market_value latest_market_value "
-        "latest_valuation_timestamp avg_market_value injury_risk_level total_injuries total_goals total_assists "
-        "overall_player_score"
-    ).split()
+    shown = [
+        "player_id", "player_name", "age", "player_main_position", "peak_market_value", "latest_market_value",
+        "latest_valuation_timestamp", "avg_market_value", "injury_risk_level", "total_injuries",
+        "total_goals", "total_assists", "overall_player_score",
+    ]
     wanted = (
         (F.col("peak_market_value") > 10_000_000)
         & (F.col("injury_risk_level") == "LOW")
@@ -217,10 +218,11 @@ def _current_totals(standings: DataFrame, competitions: DataFrame, extra: Sequen
 def current_standings(standings: DataFrame, competitions: DataFrame) -> DataFrame:
     """Tables of the current seasons in competition, stage, group and position order."""
     rows = _current_totals(standings, competitions, ["current_matchday", "season_end_date"])
-    shown = (
-        "competition_name competition_code stage group_name position team_name team_tla played_games won draw lost "
-        "points goals_for goals_against goal_difference form current_matchday season_end_date"
-    ).split()
+    shown = [
+        "competition_name", "competition_code", "stage", "group_name", "position", "team_name", "team_tla",
+        "played_games", "won", "draw", "lost", "points", "goals_for", "goals_against", "goal_difference",
+        "form", "current_matchday", "season_end_date",
+    ]
     ordered = rows.orderBy(*_up("competition_id", "stage", "group_name", "position", "team_id"))
     return ordered.select(*shown)
 
@@ -265,10 +267,10 @@ def competition_summary(standings: DataFrame, competitions: DataFrame) -> DataFr
         F.min("points").alias("min_points"),
     )
     on = (F.col("competition_id") == F.col("__cid")) & (F.col("current_season_id") == F.col("__sid"))
-    shown = (
-        "competition_id competition_name competition_code competition_type area_name current_matchday "
-        "season_start_date season_end_date"
-    ).split()
+    shown = [
+        "competition_id", "competition_name", "competition_code", "competition_type", "area_name",
+        "current_matchday", "season_start_date", "season_end_date",
+    ]
     joined = competitions.join(figures, on, "left").select(
         *shown,
         F.coalesce("teams", F.lit(0)).cast("bigint").alias("total_teams"),
@@ -318,11 +320,12 @@ def competition_rankings(standings: DataFrame, competitions: DataFrame, audit: b
     ranked = partition_rank(
         rows, ["competition_id", "season_id", "stage"], ["points", "goal_difference", "goals_for"], "overall_rank"
     )
-    shown = (
-        "competition_id competition_name competition_code season_id stage group_name position team_id team_name "
-        "team_tla team_crest_url played_games won draw lost points goals_for goals_against goal_difference form "
-        "current_matchday area_name"
-    ).split()
+    shown = [
+        "competition_id", "competition_name", "competition_code", "season_id", "stage", "group_name",
+        "position", "team_id", "team_name", "team_tla", "team_crest_url", "played_games", "won", "draw",
+        "lost", "points", "goals_for", "goals_against", "goal_difference", "form", "current_matchday",
+        "area_name",
+    ]
     per_game = {
         "points_per_game": E.ratio("points", "played_games", 2),
         "goals_scored_per_game": E.ratio("goals_for", "played_games", 2),
@@ -367,10 +370,10 @@ def rankings_of(rankings: DataFrame, competition_code: str, limit: int = 20) ->
 
 def current_live(events: DataFrame) -> DataFrame:
     """Newest live event of every match with score line and leader, newest first."""
-    shown = (
-        "match_id event_timestamp competition_name home_team_name away_team_name home_score away_score total_goals "
-        "status minute venue"
-    ).split()
+    shown = [
+        "match_id", "event_timestamp", "competition_name", "home_team_name", "away_team_name", "home_score",
+        "away_score", "total_goals", "status", "minute", "venue",
+    ]
     live = events.where(F.col("is_live")).select(*shown)
     newest = latest_by_key(live, ["match_id"], "event_timestamp")
     return newest.select(
@@ -394,10 +397,10 @@ def current_live(events: DataFrame) -> DataFrame:
 
 def score_progression(events: DataFrame) -> DataFrame:
     """Every event in match and time order."""
-    shown = (
-        "match_id event_timestamp minute home_team_name away_team_name home_score away_score total_goals match_result "
-        "competition_name"
-    ).split()
+    shown = [
+        "match_id", "event_timestamp", "minute", "home_team_name", "away_team_name", "home_score",
+        "away_score", "total_goals", "match_result", "competition_name",
+    ]
     return events.select(*shown).orderBy(*_up("match_id", "event_timestamp"))
 
 

@@ -49,10 +49,11 @@ STANDINGS = Topic(
 # Columns of the message source that break ties inside a batch: the later message wins.
 ARRIVAL = ("timestamp", "partition", "offset")
 # What loading standings from files changes in a row that exists.
-FILE_UPDATES = (
-    "position team_name team_short_name team_tla team_crest_url played_games won draw lost points goals_for "
-    "goals_against goal_difference form current_matchday processed_at"
-).split()
+FILE_UPDATES = [
+    "position", "team_name", "team_short_name", "team_tla", "team_crest_url", "played_games", "won", "draw",
+    "lost", "points", "goals_for", "goals_against", "goal_difference", "form", "current_matchday",
+    "processed_at",
+]
 
 
 def upsert_batches(
