@@ -30,6 +30,7 @@ from statforge.sources.files import competitions_file, read_layer, verify_layer
 from statforge.streaming.jobs import MATCHES, load_standings_files, run_until_done, start_upserts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+FILE_MESSAGES = 1000
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -442,13 +443,21 @@ def json_competition(t):
     return M.flatten_competition(M.parse(B.competition_messages(t), M.COMPETITION), audit=False)
 
 
+def write_competition_files(messages: DataFrame, root: str) -> None:
+    """``messages`` as files of at most ``FILE_MESSAGES`` each: more messages make more files, not larger ones."""
+    # The id counts the rows of a task from a start of its own, so no task and no value can fill a group beyond the limit.
+    numbered = messages.withColumn("file", F.floor(F.monotonically_increasing_id() / FILE_MESSAGES))
+    whole = numbered.groupBy("file").agg(F.array_join(F.collect_list("value"), ",").alias("all"))
+    lines = whole.select(F.concat(F.lit('{"competitions": ['), "all", F.lit("]}")).alias("value"))
+    # One row per file: a file of this kind holds one object.
+    lines.write.option("maxRecordsPerFile", 1).text(root)
+
+
 @query
 def competitions_load(t):
     """The competition messages as files of many each, loaded as files."""
     root = scratch(t.spark, "competitions")
-    whole = B.competition_messages(t).groupBy(F.pmod(F.xxhash64("value"), F.lit(16)).alias("file")).agg(F.array_join(F.collect_list("value"), ",").alias("all"))
-    # One row and so one file per folder: a file of this kind holds one object.
-    whole.select("file", F.concat(F.lit('{"competitions": ['), "all", F.lit("]}")).alias("value")).write.partitionBy("file").text(root)
+    write_competition_files(B.competition_messages(t), root)
     return competitions_file(t.spark, root).drop("processed_at")
 
 
