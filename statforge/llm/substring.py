@@ -7,8 +7,10 @@ one minimiser are counted against each other, word by word, not by hash. What re
 
 Grams that occur very often would fill a bucket. A first pass finds them (each task reports its frequent grams, and only these) and
 they are passed over as minimisers, so that a window that holds anything rarer goes by that. Windows of frequent grams alone go to the bucket
-of their own hash. Each task merges equal strings before it sends them, so a passage in a third of all documents is one
-string a task, with a list of places. Packed strings are compressed.
+of their own hash. Each task merges equal strings before it sends them. A string with more than ``INLINE`` places at once goes to its bucket
+with the number of its places only. The places themselves bypass the bucket (one row per flush of a task, a group of its own), stay in a
+written table, and meet what the bucket found about their string by a join with one match per row. So a bucket holds a few places
+per string and flush, however many documents share a passage. Packed strings are compressed.
 
 Defined results: words are runs of other characters than ASCII white space, unchanged; NULL text has none. Shorter documents than a window keep all words.
 Rows that repeat id and text repeat each other's windows, and both lose them. A NULL id is an id like others. Extra columns are ignored.
@@ -22,7 +24,6 @@ from collections import defaultdict
 from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -32,12 +33,17 @@ from statforge.llm.shared import PRIME, WordHashes, arrow_schema, checkpointed,
 
 WINDOW, GRAM = 35, 5
 BUCKET_BYTES = 16 << 20
+_PLACES = (("ids", "int64"), ("hashes", "int64"), ("starts", "int32"))
+INLINE = 8
 _MOST_FREQUENT = 1 << 16
 _FLUSH_BYTES = 32 << 20
 _NO_ID = -(2**63)
 _PASSED_OVER = np.uint64(2**64 - 1)
-_PACKED = "bucket int, strings binary, keys binary, again binary, counts binary, ids binary, hashes binary, starts binary"
+# Rows of a bucket >= 0 hold strings; ``flush`` and ``base`` say where the places of its strings with many begin. Rows of a bucket < 0 hold such places.
+_PACKED = "bucket int, strings binary, keys binary, again binary, counts binary, ids binary, hashes binary, starts binary, flush binary, base int"
 _INTERVALS = "doc_id bigint, text_hash bigint, begin int, end int"
+# One of: an interval; with ``entry``, an interval of the string of that number in a flush, from the string's start; the places of a flush.
+_FOUND = _INTERVALS + ", flush binary, entry int, counts binary, ids binary, hashes binary, starts binary"
 
 
 def gram_hashes(words: list[bytes], hashes: WordHashes, gram: int) -> np.ndarray:
@@ -107,6 +113,11 @@ def profile(texts: DataFrame, gram: int, share: float) -> DataFrame:
     return texts.mapInArrow(run, "gram bigint, kind int, n bigint").groupBy("gram", "kind").agg(F.sum("n").alias("n"))
 
 
+def _columns_of_places(entries: list[list[int]]) -> tuple[np.ndarray, ...]:
+    places = np.array([x for e in entries for x in e[2:]], "int64").reshape(-1, 3)
+    return tuple(np.ascontiguousarray(places[:, i]).astype(kind) for i, (_, kind) in enumerate(_PLACES))
+
+
 class Sender:
     """Collects super-k-mers by bucket and packs them. Equal strings are held once, with all their places."""
 
@@ -127,22 +138,37 @@ class Sender:
             else:
                 entry[1] |= again
                 entry += (doc_id, text_hash, first)
-                size += 24
+                size += 120  # three numbers of Python
         self.size += size
 
     def packed(self, target: pa.Schema) -> pa.RecordBatch:
         pack = zstandard.ZstdCompressor(level=3).compress
-        rows = []
+        rows, many, digest = [], [], hashlib.sha256()
         for bucket, found in self.held.items():
             entries = list(found.values())
-            places = np.array([x for e in entries for x in e[2:]], "int64").reshape(-1, 3)
             columns = (
                 np.array([e[0] for e in entries], "uint64"),
                 np.array([e[1] for e in entries], "uint8"),
                 np.array([len(e) // 3 for e in entries], "int32"),
-                *(np.ascontiguousarray(places[:, i]).astype(kind) for i, kind in ((0, "int64"), (1, "int64"), (2, "int32"))),
+                *_columns_of_places([e for e in entries if len(e) // 3 <= INLINE]),
             )
-            rows.append((bucket, pack(b"\n".join(found)), *(pack(c.tobytes()) for c in columns)))
+            base = len(many)
+            for string, entry in found.items():
+                if len(entry) // 3 > INLINE:
+                    digest.update(string + b"\n")
+                    many.append(entry)
+            rows.append((bucket, pack(b"\n".join(found)), *(pack(c.tobytes()) for c in columns), base))
+        flush = None
+        if many:
+            # The name of a flush follows from what it holds, so a task that runs again gives the same one.
+            columns = [c.tobytes() for c in (np.array([len(e) // 3 for e in many], "int32"), *_columns_of_places(many))]
+            for c in columns:
+                digest.update(c)
+            flush = digest.digest()
+        ends = [row[-1] for row in rows[1:]] + [len(many)]
+        rows = [(*row[:-1], flush, row[-1]) if row[-1] < end else (*row[:-1], None, None) for row, end in zip(rows, ends, strict=True)]
+        if many:
+            rows.append((-1 - int.from_bytes(flush[:4]) // 2, None, None, None, *map(pack, columns), flush, None))
         self.size = 0
         self.held.clear()
         return pa.RecordBatch.from_arrays([pa.array(column, f.type) for column, f in zip(zip(*rows, strict=True), target, strict=True)], schema=target)
@@ -188,11 +214,13 @@ def _windows(string: bytes, window: int) -> list[bytes]:
     return [string[a : b - 1] for a, b in zip(starts[: len(words) - window + 1].tolist(), starts[window:].tolist(), strict=True)]
 
 
-def repeats_in_bucket(part: pd.DataFrame, window: int) -> pd.DataFrame:
-    """Word intervals covered by the windows that a bucket holds more than once."""
+def repeats_in_bucket(part: pa.Table, window: int, target: pa.Schema) -> pa.Table:
+    """What a bucket holds more than once, as ``_FOUND``: word intervals of the places it has, and from a string's start for places elsewhere."""
+    if part.column("bucket")[0].as_py() < 0:
+        return _table({name: part.column(name) for name in ("flush", "counts", "ids", "hashes", "starts")}, len(part), target)
     unpack = zstandard.ZstdDecompressor().decompress
-    rows = list(part.itertuples(index=False))
-    columns = [tuple(np.frombuffer(unpack(x), kind) for x, kind in ((r.keys, "uint64"), (r.again, "uint8"), (r.counts, "int32"))) for r in rows]
+    rows = part.to_pylist()
+    columns = [tuple(np.frombuffer(unpack(row[name]), kind) for name, kind in (("keys", "uint64"), ("again", "uint8"), ("counts", "int32"))) for row in rows]
     every = np.concatenate([keys for keys, _, _ in columns])
     held: dict[tuple[int, bytes], list] = {}
     seen, times = np.unique(every, return_counts=True)
@@ -201,12 +229,14 @@ def repeats_in_bucket(part: pd.DataFrame, window: int) -> pd.DataFrame:
         useful = np.flatnonzero((times[np.searchsorted(seen, keys)] > 1) | (again > 0) | (counts > 1))
         if not len(useful):
             continue
-        strings = unpack(row.strings).split(b"\n")
-        places = [np.frombuffer(unpack(x), kind) for x, kind in ((row.ids, "int64"), (row.hashes, "int64"), (row.starts, "int32"))]
-        ends = np.cumsum(counts)
+        strings = unpack(row["strings"]).split(b"\n")
+        places = [np.frombuffer(unpack(row[name]), kind) for name, kind in _PLACES]
+        here = counts <= INLINE
+        ends, after = np.cumsum(np.where(here, counts, 0)), np.cumsum(~here)
         for i, key, number, end in zip(useful.tolist(), keys[useful].tolist(), counts[useful].tolist(), ends[useful].tolist(), strict=True):
-            held.setdefault((key, strings[i]), []).append((number, tuple(p[end - number : end] for p in places)))
-    found = []
+            own = tuple(p[end - number : end] for p in places) if number <= INLINE else (row["flush"], row["base"] + int(after[i]) - 1)
+            held.setdefault((key, strings[i]), []).append((number, own))
+    found, elsewhere = [], []
     for key, own in groupby(sorted(held), key=lambda x: x[0]):
         strings = [string for _, string in own]
         counts: dict[bytes, int] = {}
@@ -220,10 +250,61 @@ def repeats_in_bucket(part: pd.DataFrame, window: int) -> pd.DataFrame:
             for mark, run in groupby(marks):
                 length = sum(1 for _ in run)
                 if mark:
-                    found.extend((ids, hashes, starts + at, starts + at + length - 1 + window) for _, (ids, hashes, starts) in held[key, string])
+                    for number, places in held[key, string]:
+                        if number <= INLINE:
+                            ids, hashes, starts = places
+                            found.append((ids, hashes, starts + at, starts + at + length - 1 + window))
+                        else:
+                            elsewhere.append((at, at + length - 1 + window, *places))
                 at += length
-    columns = zip(*found, strict=True) if found else ([], [], [], [])
-    return pd.DataFrame({name: np.concatenate(c).astype(kind) if c else np.zeros(0, kind) for (name, kind), c in zip((("doc_id", "int64"), ("text_hash", "int64"), ("begin", "int32"), ("end", "int32")), columns, strict=True)})
+    columns = zip(("doc_id", "text_hash", "begin", "end"), zip(*found, strict=True), strict=True) if found else ()
+    own = {name: np.concatenate(c) for name, c in columns}
+    more = dict(zip(("begin", "end", "flush", "entry"), zip(*elsewhere, strict=True), strict=True)) if elsewhere else {}
+    return pa.concat_tables([_table(own, len(own.get("begin", ())), target), _table(more, len(elsewhere), target)])
+
+
+def _table(columns: dict[str, object], length: int, target: pa.Schema) -> pa.Table:
+    """A table of ``target`` where columns that are not given are NULL."""
+    made = [c.cast(f.type) if isinstance(c := columns.get(f.name), pa.ChunkedArray) else pa.nulls(length, f.type) if c is None else pa.array(c, f.type) for f in target]
+    return pa.Table.from_arrays(made, schema=target)
+
+
+def merged_intervals(ids: np.ndarray, hashes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The same words of the same documents in as few intervals as they need."""
+    order = np.lexsort((begins, ids, hashes))
+    ids, hashes, begins, ends = (x[order] for x in (ids, hashes, begins, ends))
+    other = np.append(True, (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1]))
+    # Documents one behind the other on one line, so that an end never reaches into the next.
+    line = np.cumsum(other) << 32
+    reach = np.maximum.accumulate(line + ends)
+    firsts = np.flatnonzero(np.append(True, (line + begins)[1:] > reach[:-1]))
+    lasts = np.append(firsts[1:], len(ids)) - 1
+    return ids[firsts], hashes[firsts], begins[firsts], (reach[lasts] - line[lasts]).astype("int32")
+
+
+def placed(found: DataFrame) -> DataFrame:
+    """The word intervals of ``found`` (a written table of ``_FOUND``)."""
+    # One row per flush on both sides, each bounded by what a flush holds.
+    runs = found.where("entry IS NOT NULL").groupBy("flush").agg(F.sort_array(F.collect_list(F.struct("entry", "begin", "end"))).alias("runs"))
+    places = found.where("counts IS NOT NULL").select("flush", "counts", "ids", "hashes", "starts")
+    joined = places.join(runs, "flush").select("counts", "ids", "hashes", "starts", F.col("runs.entry").alias("entries"), F.col("runs.begin").alias("begins"), F.col("runs.end").alias("ends"))
+    target = arrow_schema(found.sparkSession, _INTERVALS)
+
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for row in batch.to_pylist():
+                counts, ids, hashes, starts = (np.frombuffer(unpack(row[name]), kind) for name, kind in (("counts", "int32"), *_PLACES))
+                entries = np.array(row["entries"])
+                sizes = counts[entries]
+                at = np.arange(sizes.sum()) + np.repeat(np.cumsum(counts)[entries] - np.cumsum(sizes), sizes)
+                begin, end = (starts[at] + np.repeat(np.array(row[name], "int32"), sizes) for name in ("begins", "ends"))
+                merged = merged_intervals(ids[at], hashes[at], begin, end)
+                whole = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(merged, target, strict=True)], schema=target)
+                for first in range(0, len(whole), 10_000):
+                    yield whole.slice(first, 10_000)
+
+    return found.where("doc_id IS NOT NULL").select("doc_id", "text_hash", "begin", "end").unionByName(joined.mapInArrow(run, _INTERVALS))
 
 
 def covered(n_words: int, begins: list[int] | None, ends: list[int] | None) -> np.ndarray:
@@ -247,7 +328,8 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM)
     often = totals.where((F.col("kind") == 2) & (F.col("n") >= max(2, share * sums.get(0, 0)))).select("gram").toArrow().column(0).to_numpy()
     buckets = max(partitions, -(-3 * sums.get(1, 0) // BUCKET_BYTES))
     packed = super_kmers(texts, window, gram, buckets, np.sort(often.astype("int64").view("uint64")))
-    return packed.groupBy("bucket").applyInPandas(lambda part: repeats_in_bucket(part, window), _INTERVALS)
+    target = arrow_schema(spark, _FOUND)
+    return placed(checkpointed(packed.groupBy("bucket").applyInArrow(lambda part: repeats_in_bucket(part, window, target), _FOUND), "found"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -257,7 +339,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with_text: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) for every row; ``with_text`` adds the kept words, joined by spaces."""
-    intervals = checkpointed(repeated_intervals(docs, window, gram), "intervals")
+    intervals = repeated_intervals(docs, window, gram)
     # A document has at most as many intervals as windows.
     lists = intervals.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     joined = _keyed(docs).join(lists, ["doc_id", "text_hash"], "left").select("doc_id", "text", F.col("spans.begin").alias("begins"), F.col("spans.end").alias("ends"))
