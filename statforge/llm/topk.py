@@ -138,12 +138,21 @@ class Best:
             self.ids, self.scores = ids[order], scores[order]
 
 
+def _around(distance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """float32 numbers surely below and above a distance, by far more than its rounding. One that is not finite is between 0 and infinity, so it bounds nothing."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        low, high = (distance * (1 - 2.0**-20)).astype("float32"), (distance * (1 + 2.0**-20)).astype("float32")
+    return np.where(np.isfinite(low), low, np.float32(0)), np.where(np.isnan(high), np.float32(np.inf), high)
+
+
 def search(query_block, candidate_block, best: list[Best]) -> None:
     """Offer the rows of a block to its queries, in bound order, each until no later row can enter."""
     (q_ids, queries, q_pivots), (ids, rows, pivots) = query_block, candidate_block
     width = max(queries.shape[1], rows.shape[1])
     queries, rows = _widened(queries, width), _widened(rows, width)
-    largest = np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * max(1, width)
+    # At least 1 each, as a number must fit by itself, too: infinity times 0 is none.
+    with np.errstate(over="ignore"):
+        largest = np.abs(queries).max(initial=1) * np.abs(rows).max(initial=1) * max(1, width)
     fits = "float32" if largest < 2**24 else "float64" if largest < 2**53 else None
     if fits is None:
         for i, query in enumerate(queries):
@@ -153,11 +162,13 @@ def search(query_block, candidate_block, best: list[Best]) -> None:
     exact_rows, exact_queries = rows.astype(fits), queries.astype(fits)
     bound = np.zeros((len(queries), len(rows)), "float32")
     apart = np.empty_like(bound)
-    for mine, theirs in zip(q_pivots.T.astype("float32"), pivots.T.astype("float32"), strict=True):
-        np.subtract(mine[:, None], theirs[None, :], out=apart)
-        np.abs(apart, out=apart)
+    for (my_low, my_high), (their_low, their_high) in zip(map(_around, q_pivots.T), map(_around, pivots.T), strict=True):
+        np.subtract(my_low[:, None], their_high[None, :], out=apart)
+        np.maximum(bound, apart, out=bound)
+        np.subtract(their_low[None, :], my_high[:, None], out=apart)
         np.maximum(bound, apart, out=bound)
-    norms = (queries**2).sum(1)[:, None] + (rows**2).sum(1)[None, :]
+    with np.errstate(over="ignore"):
+        norms = (queries**2).sum(1)[:, None] + (rows**2).sum(1)[None, :]
     # Rounded bounds get slack, so that they stay above the exact scores.
     upper = (norms - bound.astype("float64") ** 2) / 2 + 1e-4 * norms + 1
     upper[q_ids[:, None] == ids[None, :]] = -np.inf

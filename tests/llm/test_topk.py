@@ -1,6 +1,8 @@
 import math
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from statforge.llm import topk
@@ -36,6 +38,36 @@ def test_large_numbers_stay_exact(spark):
     assert found(spark, rows, every=10) == brute(rows, 10, 20)
 
 
+@pytest.mark.parametrize("huge", [1e6, 3e7, 5e36, 1e200])
+def test_one_huge_row_among_the_pivots_of_many_blocks(huge):
+    rng = np.random.default_rng(10)
+    rows = np.floor(rng.normal(0, 1, (8 * topk.BLOCK, 4)) * 64)
+    pivots = np.array([rows[0], [huge * 64, -huge * 32, 0, 0], rows[1]])
+    best = [topk.Best(20) for _ in range(50)]
+    query = (np.arange(50), rows[:50], topk.distances(rows[:50], pivots))
+    for at in range(0, len(rows), topk.BLOCK):
+        own = rows[at : at + topk.BLOCK]
+        topk.search(query, (np.arange(at, at + len(own)), own, topk.distances(own, pivots)), best)
+    for i, b in enumerate(best):
+        scores = (rows @ rows[i]).astype("int64")
+        order = [j for j in np.lexsort((np.arange(len(rows)), -scores)).tolist() if j != i][:20]
+        assert b.ids.tolist() == order and b.scores.tolist() == scores[order].tolist()
+
+
+def test_huge_row_in_a_table_of_many_blocks(spark):
+    rng = random.Random(11)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(3000)] + [(3001, [5e37, -1e37, 0.0, 0.0]), (3002, [0.0] * 4)]
+    df = spark.createDataFrame([(i, v, "r", "s", "t") for i, v in rows], SCHEMA).repartition(2)
+    got = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 300 == 0, 20, pivot_sample=4000).collect()))
+    assert got == [(q, n, i, max(min(s, 2**63 - 1), -(2**63))) for q, n, i, s in brute(rows, 300, 20)]
+
+
+def test_huge_query_meets_rows_of_zeros():
+    best = [topk.Best(3)]
+    topk.search((np.array([0]), np.array([[1e200]]), np.zeros((1, 0))), (np.array([1, 2]), np.zeros((2, 1)), np.zeros((2, 0))), best)
+    assert (best[0].ids.tolist(), best[0].scores.tolist()) == ([1, 2], [0, 0])
+
+
 def test_few_rows_short_vectors_and_none(spark):
     rows = [(0, [1.0, 2.0]), (1, [1.0]), (5, [-1.0, 0.25, 9.0])]
     assert found(spark, rows) == brute(rows, 5, 20)
