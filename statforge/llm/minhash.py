@@ -3,13 +3,13 @@
 Each permutation of the shingle hashes gives two signature values, its minimum and its maximum: half as many hash evaluations as for minima
 alone, each value still agrees with probability equal to the Jaccard similarity, and the two vary against each other, which lowers the
 variance of their mean. Signatures are cut into bands; documents that share a band are candidates. With 50 bands of 6 values a pair at
-similarity 0.75 is missed with probability 6e-5, at 0.8 with 3e-7.
+similarity 0.75 is missed with probability 6e-5, at 0.8 with 3e-7; for unions of only 4 shingles it is about 9e-4 at 0.75 (17 of 19,352 simulated).
 
 Documents with equal shingle sets are one class and go on as one representative, the smallest id, so groups of copies cost nothing further.
 Candidates are tested in rounds. In a star round every document that shares a band with another component is tested against one
 centre there: at most one pair a document, however large the band. Links merge components, and whatever lies in one component needs no further tests.
 The last round tests every pair left that shares a band across two components, so that the result is that of testing all candidates:
-documents without a partner whose signature agrees well enough (4.5 standard deviations, a chance of 3e-6 at the threshold) drop out, and the others of a
+documents without a partner whose signature agrees well enough (4.5 standard deviations, a chance of about 3e-6 at the threshold if values were independent) drop out, and the others of a
 band meet in cells of bounded size, which compare their sets without making pairs and hand on at most one link per two components.
 Centres, labels and pairs are tables in the shared folder.
 
@@ -81,9 +81,13 @@ class MinMax:
 
 
 def low_bits(signature: np.ndarray) -> list[int]:
-    """The two lowest bits of every value, 32 values a number."""
+    """Two bits of a hash of every value and its place, 32 values a number.
+
+    Not bits of the value: a permutation is an odd multiple, so two shingles that agree in their low bits would do so in all permutations.
+    """
+    places = np.arange(len(signature), dtype="uint64") << np.uint64(32)
     padded = np.zeros(-(-len(signature) // 32) * 32, "uint64")
-    padded[: len(signature)] = signature & 3
+    padded[: len(signature)] = mixed(mixed(signature.astype("uint64") | places)) & np.uint64(3)
     shifts = np.arange(0, 64, 2, dtype="uint64")
     return (padded.reshape(-1, 32) << shifts).sum(1, dtype="uint64").view("int64").tolist()
 

@@ -130,3 +130,17 @@ def test_a_band_larger_than_a_cell(spark, monkeypatch):
     rows = list(enumerate(family(rng, [f"w{j}" for j in range(100)], 60, 9)))
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), star_rounds=0).collect()}
     assert got == components(sets_of(rows))
+
+
+def test_filter_keeps_short_sets_at_the_threshold():
+    """Sets of three and four shingles, three of them common: without mixed bits more than 1 % were dropped."""
+    rng = np.random.default_rng(12)
+    signer, most = minhash.MinMax(minhash.BANDS, minhash.BAND_VALUES), minhash.most_disagreements(minhash.BANDS * minhash.BAND_VALUES, 75)
+
+    def bits(found):
+        return np.array(minhash.low_bits(signer.signature(found)), "int64").view("uint8")
+
+    for _ in range(2000):
+        found = rng.integers(0, 2**64, 4, dtype="uint64")
+        differ = np.unpackbits(bits(found) ^ bits(found[1:])).reshape(-1, 2)
+        assert differ.any(1).sum() <= most
