@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statforge.llm import exact, extraction, minhash, mixing, packing, quality, substring, topk, toxicity, urls
+from statforge.llm import bpe, exact, extraction, merkle, minhash, mixing, packing, quality, spelling, substring, topk, toxicity, urls
 from statforge.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,19 @@ def op10_min_max_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_part_enum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_recursive_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.check_manifest(docs, merkle.tampered(docs))
+
+
+def op13_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_naive_bayes_svm": op1_naive_bayes_svm,
     "op2_tag_path_ratios": op2_tag_path_ratios,
@@ -64,6 +77,9 @@ QUERIES: dict[str, Query] = {
     "op8_super_kmers": op8_super_kmers,
     "op9_url_vocabulary": op9_url_vocabulary,
     "op10_min_max_hashing": op10_min_max_hashing,
+    "op11_part_enum": op11_part_enum,
+    "op12_recursive_climb": op12_recursive_climb,
+    "op13_rank_array_bpe": op13_rank_array_bpe,
 }
 
 ORACLE: dict[str, str] = {
@@ -71,4 +87,6 @@ ORACLE: dict[str, str] = {
     "op5_poisson_mixing": mixing.mixing_sql(),
     "op7_pivot_top_k": topk.top_k_sql(20),
     "op9_url_vocabulary": urls.url_sql(),
+    "op11_part_enum": spelling.variants_sql(),
+    "op12_recursive_climb": merkle.manifest_sql(),
 }
