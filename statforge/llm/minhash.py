@@ -8,15 +8,16 @@ similarity 0.75 is missed with probability 6e-5, at 0.8 with 3e-7; for unions of
 Documents with equal shingle sets are one class and go on as one representative, the smallest id, so groups of copies cost nothing further.
 Candidates are tested in rounds. In a star round every document that shares a band with another component is tested against one
 centre there: at most one pair a document, however large the band. Links merge components, and whatever lies in one component needs no further tests.
-The last round tests every pair left that shares a band across two components, so that the result is that of testing all candidates:
-documents without a partner whose signature agrees well enough (4.5 standard deviations, a chance of about 3e-6 at the threshold if values were independent) drop out, and the others of a
-band meet in cells of bounded size, which compare their sets without making pairs and hand on at most one link per two components.
-Centres, labels and pairs are tables in the shared folder.
+The last rounds test every pair left that shares a band across two components, so that the result is that of testing all candidates:
+documents without a partner whose signature agrees well enough (4.5 standard deviations, a chance of about 3e-6 at the threshold if values were independent;
+``deviations=None`` tests them all) drop out. The others of a band are dealt into blocks of bounded size. First the rows inside each block are compared, then blocks with each other inside spans of ``SPAN``
+blocks, then such spans inside wider ones, as in a tournament. Links merge components after each round, so a round only looks at blocks that still hold several components, and a component hands on one link, not one for
+every block it meets. Centres, labels and links are tables in the shared folder.
 
 Defined results: words are runs of other characters than ASCII white space, with A-Z in lower case. Fewer than five words are
-one shingle; NULL, empty and blank text have none and link with nothing. Rows that repeat an id are one document with several texts. Rows with a NULL id
-are linked with nothing and have no component. Extra columns are ignored by ``near_duplicates`` and kept by ``drop_near_copies``.
-Empty tables give empty results.
+one shingle; NULL, empty and blank text have none and link with nothing. Rows that repeat an id with different texts are linked each by its own text;
+a component's id is the smallest id of its rows. Rows with a NULL id are linked with nothing and have no component. Extra columns are ignored by ``near_duplicates``. ``drop_near_copies``
+keeps all columns, one row of each component, and every row that is linked with nothing for want of an id or of words. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from statforge.llm.shared import PRIME, WordHashes, arrow_schema, checkpointed, lower_ascii, map_columns, mixed
 
-SHINGLE, BANDS, BAND_VALUES, STAR_ROUNDS, CELL_ROWS = 5, 50, 6, 2, 256
+SHINGLE, BANDS, BAND_VALUES, STAR_ROUNDS, CELL_ROWS, SPAN = 5, 50, 6, 2, 256, 16
 PERCENT = 75
 
 
@@ -106,12 +107,18 @@ def disagreements(mine: Column, theirs: Column, numbers: int) -> Column:
     return reduce(Column.__add__, (F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(pairs)) for x in found))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, text): lowered bytes of the text, and a hash that tells the texts of one id apart."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), lower_ascii(F.col("text")).cast("binary").alias("text"))
+    return rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+
+
 def sketches(docs: DataFrame, width: int = SHINGLE, bands: int = BANDS, values: int = BAND_VALUES) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands, sketch) of every row; ``digest`` stands for the whole set."""
+    """(doc_id, text_key, n_shingles, digest, bands, sketch) of every row; ``digest`` stands for the whole set."""
 
-    def work(ids, texts):
+    def work(ids, keys, texts):
         hashes, signer = WordHashes(), MinMax(bands, values)
-        out = {"doc_id": ids, "n_shingles": [], "digest": [], "bands": [], "sketch": []}
+        out = {"doc_id": ids, "text_key": keys, "n_shingles": [], "digest": [], "bands": [], "sketch": []}
         last: dict[bytes, tuple[list[int], list[int]]] = {}
         for text in texts:
             found = shingles(text, hashes, width)
@@ -125,8 +132,7 @@ def sketches(docs: DataFrame, width: int = SHINGLE, bands: int = BANDS, values:
             out["sketch"].append(last[digest][1])
         return out
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), lower_ascii(F.col("text")).cast("binary").alias("text"))
-    return map_columns(texts, "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>", work)
+    return map_columns(keyed(docs), "doc_id bigint, text_key bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>", work)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
@@ -188,37 +194,72 @@ def cell_links(rows: list[tuple[int, int, int, np.ndarray]], percent: int) -> li
     return links
 
 
-def links_in_bands(split: DataFrame, texts: DataFrame, percent: int, width: int, values: int) -> DataFrame:
-    """Links (a, b) among the rows (key, node, label, sketch) of each band, between different labels."""
-    numbers, most = -(-values // 32), most_disagreements(values, percent)
+def active_rows(split: DataFrame, percent: int, values: int, deviations: float | None) -> DataFrame:
+    """The (key, node) of ``split``, rows (key, node, label, sketch), with a partner of another label whose sketch agrees well enough."""
+    if deviations is None:
+        return split.select("key", "node")
+    numbers, most = -(-values // 32), most_disagreements(values, percent, deviations)
     other = split.select(F.col("key").alias("same"), F.col("label").alias("other"), F.col("sketch").alias("others"))
     near = disagreements(F.col("sketch"), F.col("others"), numbers) <= most
-    active = split.join(other, (F.col("key") == F.col("same")) & (F.col("label") != F.col("other")) & near, "left_semi").select("key", "node", "label")
-    active = checkpointed(active, "active")
-    blocks = active.groupBy("key").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("blocks"))
-    placed = active.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("across", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = placed.select("key", F.least("own", "across").alias("i"), F.greatest("own", "across").alias("j"), "own", "node", "label")
-    cells = cells.join(texts, "node").select("key", "i", "j", "own", "node", "label", "text")
-    target = arrow_schema(split.sparkSession, "a bigint, b bigint")
+    return split.join(other, (F.col("key") == F.col("same")) & (F.col("label") != F.col("other")) & near, "left_semi").select("key", "node")
+
+
+def links_in_cells(cells: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links (a, b) between labels, each once, found inside each cell (key, i, j) of rows (own, node, label, text)."""
+    target = arrow_schema(cells.sparkSession, "a bigint, b bigint")
+
+    def found(held, hashes):
+        if len({label for _, _, label, _ in held}) < 2:
+            return []
+        label_of = {node: label for _, node, label, _ in held}
+        pairs = cell_links([(own, node, label, shingles(text, hashes, width)) for own, node, label, text in held], percent)
+        return [(min(label_of[a], label_of[b]), max(label_of[a], label_of[b])) for a, b in pairs]
 
     def run(batches):
         hashes, cell, held = WordHashes(), None, []
-        links: list[tuple[int, int]] = []
         for batch in batches:
+            links = []
             for *place, own, node, label, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if place != cell:
-                    if held:
-                        links += cell_links(held, percent)
+                    links += found(held, hashes)
                     cell, held = place, []
-                held.append((own, node, label, shingles(text, hashes, width)))
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], schema=target)
-            links = []
-        if held:
-            links = cell_links(held, percent)
+                held.append((own, node, label, text))
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], schema=target)
+        links = found(held, hashes)
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], schema=target)
+
+    return cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a bigint, b bigint").distinct()
 
-    return cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a bigint, b bigint")
+
+def cells_of_round(placed: DataFrame, labels: DataFrame, unit: int) -> DataFrame:
+    """Rows (key, i, j, own, node, label) of the cells of a round: single blocks (``unit`` 0), or the pairs of blocks of different units among ``SPAN`` units.
+
+    Blocks, or spans of units, that hold one label only are left out.
+    """
+    group = F.floor(F.col("own") / (unit * SPAN or 1))
+    rows = placed.join(labels, "node").withColumn("group", group)
+    several = rows.groupBy("key", "group").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key", "group")
+    rows = rows.join(several, ["key", "group"])
+    if not unit:
+        return rows.select("key", F.col("own").alias("i"), F.col("own").alias("j"), "own", "node", "label")
+    first = (F.col("group") * unit * SPAN).cast("int")
+    blocks = F.sequence(first, F.least(first + unit * SPAN, F.col("blocks")) - 1)
+    rows = rows.withColumn("across", F.explode(F.filter(blocks, lambda x: F.floor(x / unit) != F.floor(F.col("own") / unit))))
+    return rows.select("key", F.least("own", "across").alias("i"), F.greatest("own", "across").alias("j"), "own", "node", "label")
+
+
+def tournament(active: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """``labels`` after all links among the rows (key, node) of each band, between different labels, are merged."""
+    sizes = active.groupBy("key").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("blocks"))
+    placed = checkpointed(active.join(sizes, "key").select("key", "node", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")), "placed")
+    most, unit = placed.agg(F.max("blocks")).first()[0] or 0, 0
+    while unit < most:
+        cells = cells_of_round(placed, labels, unit).join(texts, "node").select("key", "i", "j", "own", "node", "label", "text")
+        links = checkpointed(links_in_cells(cells, percent, width), "links")
+        if not links.isEmpty():
+            labels = checkpointed(merged(labels, links), "labels")
+        unit = unit * SPAN or 1
+    return labels
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -251,17 +292,18 @@ def _apart(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return split.join(centres, "key")
 
 
-def components(docs: DataFrame, found: DataFrame, percent: int, width: int, values: int, star_rounds: int) -> tuple[DataFrame, DataFrame]:
-    """Classes (digest, node) of equal sets, and the labels (node, label) of those that share a band with another."""
-    classes = checkpointed(found.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
-    first = found.join(classes.withColumnRenamed("node", "doc_id"), ["digest", "doc_id"]).withColumnRenamed("doc_id", "node")
+def components(docs: DataFrame, found: DataFrame, percent: int, width: int, values: int, star_rounds: int, deviations: float | None) -> DataFrame:
+    """Classes of equal sets as (digest, node, component, component_id): ``node`` is one row's number, ``component`` one node's for all that are linked."""
+    usable = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    classes = checkpointed(usable.groupBy("digest").agg(F.min("doc_id").alias("least"), F.min("row").alias("node")), "classes")
+    first = found.withColumnRenamed("row", "node").join(classes.select("node"), "node")
     own = first.select("node", F.explode("bands").alias("key"))
     crowded = own.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
     shared = checkpointed(own.join(crowded, "key").select("key", "node"), "shared")
     involved = shared.select("node").distinct()
     labels = checkpointed(involved.select("node", F.col("node").alias("label")), "labels")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), lower_ascii(F.col("text")).cast("binary").alias("text"))
-    texts = checkpointed(texts.join(labels.select("node"), "node").dropDuplicates(["node"]), "texts")
+    wanted = first.select("node", "doc_id", "text_key").join(labels.select("node"), "node")
+    texts = checkpointed(keyed(docs).join(wanted, ["doc_id", "text_key"]).select("node", "text").dropDuplicates(["node"]), "texts")
     tested = None
     for _ in range(star_rounds):
         pairs = _apart(shared, labels).where("label <> least").groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a")).select("a", "b")
@@ -272,29 +314,38 @@ def components(docs: DataFrame, found: DataFrame, percent: int, width: int, valu
         tested = pairs if tested is None else tested.union(pairs)
         labels = checkpointed(merged(labels, links), "labels")
     split = _apart(shared, labels)
-    marks = first.join(split.select("node").distinct(), "node").dropDuplicates(["node"]).select("node", "sketch")
+    marks = first.join(split.select("node").distinct(), "node").select("node", "sketch")
     split = checkpointed(split.select("key", "node", "label").join(marks, "node"), "split")
-    links = checkpointed(links_in_bands(split, texts, percent, width, values).distinct(), "links")
-    labels = checkpointed(merged(labels, links), "labels")
-    return classes, labels
+    active = checkpointed(active_rows(split, percent, values, deviations), "active")
+    labels = tournament(active, labels, texts, percent, width)
+    least = labels.join(classes, "node").groupBy("label").agg(F.min("least").alias("component_id"))
+    named = labels.join(least, "label").select("node", F.col("label").alias("component"), "component_id")
+    return classes.join(named, "node", "left").select("digest", "node", F.coalesce("component", "node").alias("component"), F.coalesce("component_id", "least").alias("component_id"))
+
+
+def judged(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, bands: int = BANDS, values: int = BAND_VALUES, star_rounds: int = STAR_ROUNDS, deviations: float | None = 4.5) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component, component_id, kept) for every row of ``docs``."""
+    found = checkpointed(sketches(docs, width, bands, values).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    classes = components(docs, found, percent, width, bands * values, star_rounds, deviations).drop("node")
+    every = "doc_id", "text_key", "n_shingles", "component", "component_id"
+    linked = found.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "text_key", "n_shingles", "digest").join(classes, "digest").select(*every)
+    alone = found.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "text_key", "n_shingles", F.lit(None).cast("bigint").alias("component"), F.col("doc_id").alias("component_id"))
+    return linked.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, bands: int = BANDS, values: int = BAND_VALUES, star_rounds: int = STAR_ROUNDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
-    found = checkpointed(sketches(docs, width, bands, values), "sketches")
-    classes, labels = components(docs, found, percent, width, bands * values, star_rounds)
-    top = classes.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component_id"))
-    linked = found.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "n_shingles", "digest").join(top, "digest")
-    alone = found.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    every = linked.select("doc_id", "n_shingles", "component_id").union(alone)
-    return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+def near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``; the parameters are those of ``judged``."""
+    return judged(docs, **parameters).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def drop_near_copies(docs: DataFrame, **parameters) -> DataFrame:
-    """``docs`` with the document of the smallest id of each component; all columns unchanged."""
-    kept = near_duplicates(docs, **parameters).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
+    """One row of each component of ``docs``, of those with its smallest id, and all rows without an id or words; all columns unchanged."""
+    kept = judged(docs, **parameters).where("kept AND component IS NOT NULL").select(F.col("doc_id").alias("__kept"), F.col("text_key").alias("__text"), "component").distinct()
+    kept = kept.withColumnRenamed("component", "__component")
     columns = [f"`{c}`" for c in docs.columns]
     orderable = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
-    repeated = Window.partitionBy("__kept").orderBy(*orderable)
-    found = docs.join(kept, F.col("doc_id").cast("bigint") == F.col("__kept")).withColumn("__n", F.row_number().over(repeated)).where("__n = 1")
-    return found.select(*columns).union(docs.where(F.col("doc_id").isNull()).select(*columns))
+    repeated = Window.partitionBy("__component").orderBy(*orderable)
+    same = (F.col("doc_id").cast("bigint") == F.col("__kept")) & (F.xxhash64(lower_ascii(F.col("text")).cast("binary")) == F.col("__text"))
+    found = docs.join(kept, same).withColumn("__n", F.row_number().over(repeated)).where("__n = 1")
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return found.select(*columns).union(docs.where(F.col("doc_id").isNull() | ~has_words).select(*columns))

@@ -6,7 +6,7 @@ import numpy as np
 
 from odd_rows import no_docs, odd_docs  # noqa: F401
 from statforge.llm import minhash
-from statforge.llm.shared import WordHashes
+from statforge.llm.shared import WordHashes, mixed
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -98,7 +98,12 @@ def test_disagreements_count_differing_places(spark):
     a, b = rng.integers(0, 2**32, 300, dtype="uint32"), rng.integers(0, 2**32, 300, dtype="uint32")
     b[:200] = a[:200]
     df = spark.createDataFrame([(minhash.low_bits(a), minhash.low_bits(b))], "a array<bigint>, b array<bigint>")
-    assert df.select(minhash.disagreements(df.a, df.b, 10)).first()[0] == int(((a & 3) != (b & 3)).sum())
+
+    def bits(signature):
+        places = np.arange(300, dtype="uint64") << np.uint64(32)
+        return mixed(mixed(signature.astype("uint64") | places)) & np.uint64(3)
+
+    assert df.select(minhash.disagreements(df.a, df.b, 10)).first()[0] == int((bits(a) != bits(b)).sum())
     assert minhash.most_disagreements(300, 75) == 86
 
 
@@ -132,6 +137,51 @@ def test_a_band_larger_than_a_cell(spark, monkeypatch):
     assert got == components(sets_of(rows))
 
 
+def test_links_grow_with_the_labels_of_a_band(spark, monkeypatch):
+    """One band of mutually linked labels in many blocks: one link a label inside blocks, then one for every two blocks of a span."""
+    monkeypatch.setattr(minhash, "CELL_ROWS", 4)
+    monkeypatch.setattr(minhash, "SPAN", 4)
+    handed, merge = [], minhash.merged
+
+    def counted(labels, links):
+        handed.append(links.count())
+        return merge(labels, links)
+
+    monkeypatch.setattr(minhash, "merged", counted)
+    text = bytearray(b" ".join(b"w%d" % i for i in range(60)))
+    for number in (64,):
+        handed.clear()
+        rows = spark.createDataFrame([(1, n) for n in range(number)], "key bigint, node bigint")
+        texts = spark.createDataFrame([(n, text + b" own%d" % n) for n in range(number)], "node bigint, text binary")
+        labels = rows.select("node", rows.node.alias("label"))
+        merged = minhash.tournament(rows, labels, texts, 75, 5)
+        assert {r.label for r in merged.collect()} == {0}
+        assert sum(handed) < number + 16 * 2
+
+
+def test_an_id_with_several_texts(spark):
+    one, two = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    df = spark.createDataFrame([(1, one), (1, two), (2, two), (2, two + " c"), (3, None), (3, "")], "doc_id bigint, text string")
+    found = sorted(map(tuple, minhash.near_duplicates(df, deviations=None).collect()), key=str)
+    assert found == sorted([(1, 26, 1, True), (1, 26, 1, True), (2, 26, 1, False), (2, 27, 1, False), (3, 0, 3, True), (3, 0, 3, True)], key=str)
+    assert sorted(map(tuple, minhash.drop_near_copies(df).collect()), key=str) == sorted([(1, one), (1, two), (3, None), (3, "")], key=str)
+
+
+def test_pairs_just_above_the_threshold_are_found(spark):
+    """Pairs of similarity 0.75 to 0.77, through the whole operator with its filter."""
+    rows = []
+    for i in range(300):
+        words = [f"p{i}_{j}" for j in range(104)]
+        other = list(words)
+        other[7], other[50], other[90 if i % 2 else 101] = "x", "y", "z"  # 15 or 13 of 100 shingles change
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    sets = sets_of(rows)
+    near = [i for i in range(300) if 100 * len(sets[2 * i] & sets[2 * i + 1]) >= 75 * len(sets[2 * i] | sets[2 * i + 1])]
+    assert len(near) > 100
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), star_rounds=0).collect()}
+    assert all((got[2 * i + 1] == 2 * i) == (i in set(near)) for i in range(300))
+
+
 def test_filter_keeps_short_sets_at_the_threshold():
     """Sets of three and four shingles, three of them common: without mixed bits more than 1 % were dropped."""
     rng = np.random.default_rng(12)
