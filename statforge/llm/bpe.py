@@ -32,7 +32,7 @@ from statforge.llm.shared import map_columns
 MODEL = public_tokenizers.path("word_bpe_49k.json")
 SHORT = 96
 _NONE = 1 << 30
-_MOST_WORDS, _LONGEST_KEPT = 400_000, 64
+_MOST_WORDS, _LONGEST_KEPT, _ROWS = 100_000, 64, 512
 # Fixed values of the tokenizer file: how words are split, and the mark of a word's end.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
@@ -105,7 +105,7 @@ class Encoder:
         self.white, self.word = regex.compile(r"\s+"), regex.compile(WORD_PATTERN)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.bytes_of = {c: b for b, c in enumerate(byte_characters())}
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
     def words(self, text: str) -> Iterator[str]:
         """The words of a text without special tokens."""
@@ -124,22 +124,22 @@ class Encoder:
         return (merge_short if len(parts) <= SHORT else merge_long)(parts, self.ranks, self.made)
 
     def encode(self, text: str | None) -> np.ndarray:
-        ids: list[int] = []
+        ids: list[bytes] = []
         known = self.known
         for piece in self.cut.split(text or ""):
             if piece in self.special:
-                ids.append(self.special[piece])
+                ids.append(np.array([self.special[piece]], "<u4").tobytes())
                 continue
             for word in self.words(piece):
                 found = known.get(word)
                 if found is None:
-                    found = self.merged(word)[0]
+                    found = np.array(self.merged(word)[0], "<u4").tobytes()
                     if len(known) >= _MOST_WORDS:
                         known.clear()
                     if len(word) <= _LONGEST_KEPT:
                         known[word] = found
-                ids += found
-        return np.array(ids, "<u4")
+                ids.append(found)
+        return np.frombuffer(b"".join(ids), "<u4")
 
     def decode(self, ids: np.ndarray) -> str:
         return " ".join(self.tokens[i] for i in ids.tolist() if i in self.tokens)
@@ -151,14 +151,19 @@ def encoder(model: str) -> Encoder:
     return Encoder(model)
 
 
-def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """(doc_id, ids) for every row: ids are little-endian unsigned 32-bit numbers, one after another."""
+def encode_documents(docs: DataFrame, model: str = MODEL, with_decoded: bool = False) -> DataFrame:
+    """(doc_id, ids) for every row: ids are little-endian unsigned 32-bit numbers, one after another.
+
+    ``with_decoded`` adds the text that ``decode_documents`` gives for them, from the same workers.
+    """
 
     def work(doc_ids, texts):
         coder = encoder(model)
-        return {"doc_id": doc_ids, "ids": [coder.encode(text).tobytes() for text in texts]}
+        ids = [coder.encode(text) for text in texts]
+        decoded = {"decoded": [coder.decode(i) for i in ids]} if with_decoded else {}
+        return {"doc_id": doc_ids, "ids": [i.tobytes() for i in ids]} | decoded
 
-    return map_columns(docs.select(F.col("doc_id").cast("bigint"), "text"), "doc_id bigint, ids binary", work)
+    return map_columns(docs.select(F.col("doc_id").cast("bigint"), "text"), "doc_id bigint, ids binary" + ", decoded string" * with_decoded, work, _ROWS)
 
 
 def decode_documents(encoded: DataFrame, model: str = MODEL) -> DataFrame:
@@ -168,13 +173,12 @@ def decode_documents(encoded: DataFrame, model: str = MODEL) -> DataFrame:
         coder = encoder(model)
         return {"doc_id": doc_ids, "ids": packed, "decoded": [coder.decode(np.frombuffer(p or b"", "<u4")) for p in packed]}
 
-    return map_columns(encoded.select("doc_id", "ids"), "doc_id bigint, ids binary, decoded string", work)
+    return map_columns(encoded.select("doc_id", "ids"), "doc_id bigint, ids binary, decoded string", work, _ROWS)
 
 
 def token_digests(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of the encoded and decoded rows."""
-    there_and_back = decode_documents(encode_documents(docs, model), model)
-    return there_and_back.select(
+    return encode_documents(docs, model, with_decoded=True).select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -57,19 +57,30 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def map_columns(df: DataFrame, schema: str, work: Callable[..., dict[str, object]]) -> DataFrame:
-    """Run ``work`` over Arrow batches of ``df``: it gets each column as a list, and returns the result's columns by name."""
+def map_columns(df: DataFrame, schema: str, work: Callable[..., dict[str, object]], rows: int | None = None) -> DataFrame:
+    """Run ``work`` over Arrow batches of ``df``: it gets each column as a list, and returns the result's columns by name.
+
+    With ``rows`` it gets so many rows at once at most, where results are larger than what they come from.
+    """
     names = df.columns
     target = arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, rows)):
             columns = work(*(batch.column(i).to_pylist() for i in range(len(names))))
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in target], schema=target)
 
     return df.mapInArrow(run, schema)
 
 
+def _slices(batch: pa.RecordBatch, rows: int | None) -> Iterator[pa.RecordBatch]:
+    if rows is None:
+        yield batch
+        return
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     """The Arrow form of a DDL string."""
     from pyspark.sql.pandas.types import to_arrow_schema
