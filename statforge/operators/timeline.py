@@ -1,21 +1,14 @@
-"""Previous and next value along each entity's timeline, safe for very long timelines."""
+"""Previous and next value along each entity's timeline, however long one timeline is."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from statforge.operators.ranking import numbered
 
-def period_of(df: DataFrame, order: str) -> Column:
-    """A coarser value that grows with ``order``: the year of dates and times, the leading four characters of text, spans of numbers."""
-    kind = df.schema[order].dataType
-    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.year(order)
-    if isinstance(kind, T.StringType):
-        return F.substring(order, 1, 4)
-    return F.floor(F.col(order) / 365)
+BLOCK_ROWS = 8192
 
 
 def with_neighbours(
@@ -26,30 +19,23 @@ def with_neighbours(
     tie: str | None = None,
     previous: str = "prev_value",
     following: str = "next_value",
-    period: Column | None = None,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """``lag(value)`` and ``lead(value)`` per ``key`` ordered by ``order`` (then ``tie``).
+    """``lag(value)`` and ``lead(value)`` per ``key`` ordered by ``order`` (then ``tie``, then a hash of the value).
 
-    A timeline is cut into slices by ``period``, any value that never falls along ``order``. Each slice is
-    windowed on its own; a second window, over one row per slice, hands the values across the edges.
+    Rows are range-sorted by key and order over all tasks and numbered; their numbers are cut into blocks of ``block_rows``. A block also
+    holds the last row of the block before and the first row of the next one, so each is windowed alone, and no group depends on how many rows a key has.
     """
-    sort = [F.col(order).asc_nulls_first()] + ([F.col(tie).asc_nulls_first()] if tie else [])
-    sliced = df.withColumn("__slice", period_of(df, order) if period is None else period)
-    inside = Window.partitionBy(key, "__slice").orderBy(*sort)
-    # Structs tell a missing neighbour from one whose value is NULL.
-    placed = sliced.withColumns({"__lag": F.lag(F.struct(value)).over(inside), "__lead": F.lead(F.struct(value)).over(inside)})
-    ends = placed.where(F.col("__lag").isNull() | F.col("__lead").isNull())
-    edges = ends.groupBy(F.col(key).alias("__ekey"), F.col("__slice").alias("__eslice")).agg(
-        F.max(F.when(F.col("__lag").isNull(), F.struct(value))).alias("__first"),
-        F.max(F.when(F.col("__lead").isNull(), F.struct(value))).alias("__last"),
-    )
-    across = Window.partitionBy("__ekey").orderBy(F.col("__eslice").asc_nulls_first())
-    edges = edges.select(
-        "__ekey", "__eslice", F.lag("__last").over(across)[value].alias("__before"), F.lead("__first").over(across)[value].alias("__after")
-    )
-    same = F.col(key).eqNullSafe(F.col("__ekey")) & F.col("__slice").eqNullSafe(F.col("__eslice"))
-    return placed.join(edges, same, "left").select(
-        *df.columns,
-        F.when(F.col("__lag").isNull(), F.col("__before")).otherwise(F.col("__lag")[value]).alias(previous),
-        F.when(F.col("__lead").isNull(), F.col("__after")).otherwise(F.col("__lead")[value]).alias(following),
-    )
+    sort = [F.col(key).asc_nulls_first(), F.col(order).asc_nulls_first()] + ([F.col(tie).asc_nulls_first()] if tie else [])
+    rows = numbered(df.withColumn("__spread", F.xxhash64(value)), [*sort, F.col("__spread").asc()])
+    own, at = F.floor(F.col("__number") / block_rows), F.col("__number") % block_rows
+    beside = F.concat(F.array(own), F.when(at == 0, F.array(own - 1)).otherwise(F.array()), F.when(at == block_rows - 1, F.array(own + 1)).otherwise(F.array()))
+    dealt = rows.withColumn("__own", own).withColumn("__block", F.explode(beside))
+    inside = Window.partitionBy("__block").orderBy("__number")
+    row = F.struct(F.col(key).alias("key"), F.col(value).alias("value"))
+    placed = dealt.withColumns({"__lag": F.lag(row).over(inside), "__lead": F.lead(row).over(inside)}).where("__own = __block")
+
+    def of_same(found: str):
+        return F.when(F.col(found)["key"].eqNullSafe(F.col(key)), F.col(found)["value"])
+
+    return placed.select(*df.columns, of_same("__lag").alias(previous), of_same("__lead").alias(following))

@@ -477,8 +477,35 @@ def standings_messages(t: Tables) -> DataFrame:
     return t.lineitem.select(F.to_json(body).alias("value"))
 
 
-def event_messages(t: Tables) -> DataFrame:
-    """Events as match messages that update one match per user; later events carry later times."""
+def standings_file_messages(t: Tables) -> DataFrame:
+    """Suppliers as standings messages of two teams; messages of even keys spell missing values as null, the others leave them out."""
+    key = F.col("s_suppkey").cast("int")
+
+    def team(position: int) -> Column:
+        number = key * 2 + position
+        return F.struct(
+            F.lit(position).alias("position"),
+            F.struct(F.when(number % 7 != 0, number).alias("id"), F.concat(F.lit("T"), number.cast("string")).alias("name"), F.lit(None).cast("string").alias("tla")).alias("team"),
+            F.when(key % 3 == 0, key % 30).alias("playedGames"),
+            F.when(key % 4 == 0, key % 20).alias("won"),
+            (key % 50 + position).alias("points"),
+            F.when(key % 5 == 0, F.lit("WDL")).alias("form"),
+        )
+
+    table = F.struct(
+        F.when(key % 11 != 0, "REGULAR_SEASON").alias("stage"), F.when(key % 9 != 0, "TOTAL").alias("type"), F.when(key % 2 == 0, "G").alias("group"), F.array(team(1), team(2)).alias("table")
+    )
+    body = F.struct(
+        F.struct(F.col("s_nationkey").cast("int").alias("id"), F.lit("Area").alias("name")).alias("area"),
+        F.struct(key.alias("id"), F.col("s_name").alias("name")).alias("competition"),
+        F.struct(F.lit(2024).alias("id"), F.lit("2024-01-01").alias("startDate"), F.when(key % 6 == 0, key % 38).alias("currentMatchday")).alias("season"),
+        F.array(table).alias("standings"),
+    )
+    return t.supplier.select(F.when(key % 2 == 0, F.to_json(body, {"ignoreNullFields": "false"})).otherwise(F.to_json(body)).alias("value"))
+
+
+def event_messages(t: Tables, events: DataFrame | None = None) -> DataFrame:
+    """Events (all of them, if none are given) as match messages that update one match per user; later events carry later times."""
     user = F.col("user_id")
     updated = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("event_id"))
     body = F.struct(
@@ -491,7 +518,7 @@ def event_messages(t: Tables) -> DataFrame:
             F.struct((F.floor("value") % 5).alias("home"), F.lit(1).alias("away")).alias("fullTime"),
         ).alias("score"),
     )
-    return t.events.select(F.to_json(body).alias("value"))
+    return (t.events if events is None else events).select(F.to_json(body).alias("value"))
 
 
 def raw_latest_values(t: Tables) -> DataFrame:

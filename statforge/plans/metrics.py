@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from statforge.functions import expr as E
 from statforge.operators.dedup import first_by_key
@@ -63,9 +64,9 @@ def form_metrics(performances: DataFrame, audit: bool = True) -> DataFrame:
     )
 
 
-def value_timeline(values: DataFrame, tie: str | None = None, period: Column | None = None) -> DataFrame:
+def value_timeline(values: DataFrame, tie: str | None = None) -> DataFrame:
     """Every valuation with its neighbours, change, percentage change and direction."""
-    rows = with_neighbours(values, KEY, "date_unix", "value", tie, period=period)
+    rows = with_neighbours(values, KEY, "date_unix", "value", tie)
     change = F.col("value") - F.col("prev_value")
     return rows.select(
         "*",
@@ -75,6 +76,50 @@ def value_timeline(values: DataFrame, tie: str | None = None, period: Column | N
     )
 
 
+def value_change(values: DataFrame, as_of: str, years: tuple[int, ...] = (1, 3), audit: bool = True) -> DataFrame:
+    """The value at ``as_of`` per player, and by how much it differs from that of each number of years before.
+
+    The value at a day is the last one dated on it or earlier. A change is NULL without a value that old; a player without any value
+    at ``as_of`` has no row. Cleaned valuations are unique per player and date. One aggregation: the days are conditions in it.
+    """
+    day = F.lit(str(as_of)).cast("date")
+
+    def value_at(limit: Column) -> Column:
+        dated = F.col("date_unix") <= limit
+        return F.max_by(F.when(dated, F.col("value")), F.when(dated, F.col("date_unix"))).cast("bigint")
+
+    found = values.groupBy(KEY).agg(
+        value_at(day).alias("current_market_value"), *(value_at(F.add_months(day, -12 * n)).alias(f"value_{n}y_ago") for n in years)
+    )
+    changes = ((F.col("current_market_value") - F.col(f"value_{n}y_ago")).alias(f"value_change_{n}y") for n in years)
+    return _stamped(found.where("current_market_value IS NOT NULL").select("*", *changes), audit)
+
+
+def recent_form(performances: DataFrame, seasons: int = 3, audit: bool = True) -> DataFrame:
+    """Goals, assists, minutes and rates of each player's last season and last ``seasons`` seasons.
+
+    Rows are first summed per player and season, which splits a player of many rows; a season's place then comes from one row a season. Seasons are
+    ordered by name, the last first; a NULL season is the oldest.
+    """
+    summed = ("goals", "assists", "minutes_played")
+    by_season = performances.groupBy(KEY, "season_name").agg(*(F.sum(c).cast("bigint").alias(c) for c in summed))
+    place = F.row_number().over(Window.partitionBy(KEY).orderBy(F.col("season_name").desc_nulls_last()))
+    placed = by_season.withColumn("place", place).where(F.col("place") <= seasons)
+
+    def total(column: str, last: int) -> Column:
+        return F.sum(F.when(F.col("place") <= last, F.col(column)))
+
+    short = {"goals": "goals", "assists": "assists", "minutes_played": "minutes"}
+    spans = {"last_season": 1, f"last_{seasons}_seasons": seasons}
+    sums = [total(c, last).alias(f"{name}_{short[c]}") for name, last in spans.items() for c in summed]
+    totals = placed.groupBy(KEY).agg(F.max(F.when(F.col("place") == 1, F.col("season_name"))).alias("last_season"), F.count(F.lit(1)).alias("seasons_counted"), *sums)
+    rates = [
+        E.per_90(f"{name}_{what}", f"{name}_minutes", GOALS_PER_90_CAP).alias(f"{name}_{what}_per_90") for name in spans for what in ("goals", "assists")
+    ]
+    shares = [(F.col(f"{name}_goals") + F.col(f"{name}_assists")).alias(f"{name}_goal_participation") for name in spans]
+    return _stamped(totals.select("*", *rates, *shares), audit)
+
+
 def value_summary(values: DataFrame, tie: str | None = None, audit: bool = True) -> DataFrame:
     """Peak, lowest, average and latest value per player.
 

@@ -121,8 +121,8 @@ CTES["transfers"] = f"""
   FROM raw_transfers"""
 
 
-def _per90(x: str) -> str:
-    return _r(f"CASE WHEN total_minutes_played >= 90 THEN least({x} / (total_minutes_played / 90), 3.0::DOUBLE) END", 4)
+def _per90(x: str, minutes: str = "total_minutes_played") -> str:
+    return _r(f"CASE WHEN {minutes} >= 90 THEN least({x} / ({minutes} / 90), 3.0::DOUBLE) END", 4)
 
 
 CTES["form"] = f"""
@@ -578,11 +578,73 @@ _Q["upsert_partial"] = """
 SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice,
   CASE WHEN o_orderstatus = 'P' THEN 'NEW' ELSE o_orderpriority END AS o_orderpriority
 FROM orders"""
-_Q["stream_upsert"] = f"""
-SELECT user_id AS match_id, upper(event_type) AS status,
-  {_ts("make_timestamp(CAST((1700000000 + event_id) * 1000000 AS BIGINT)) + INTERVAL 7 HOUR")} AS last_updated,
-  'H' || (user_id % 20) AS home_team_name, CAST(floor(value) AS BIGINT) % 5 AS ft_home_goals, CAST(0 AS BIGINT) AS matchday, 'DRAW' AS winner
-FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1"""
+# The flattened newest message of every user; all columns but the time of processing.
+CTES["event_matches"] = f"""
+  SELECT user_id AS match_id, {_ts("date_trunc('second', ts) + INTERVAL 7 HOUR")} AS utc_date,
+    {_ts("make_timestamp(CAST((1700000000 + event_id) * 1000000 AS BIGINT)) + INTERVAL 7 HOUR")} AS last_updated,
+    upper(event_type) AS status, CAST(0 AS BIGINT) AS matchday, 'UNKNOWN' AS stage,
+    CAST(NULL AS BIGINT) AS area_id, CAST(NULL AS VARCHAR) AS area_name, CAST(NULL AS VARCHAR) AS area_code,
+    CAST(NULL AS BIGINT) AS competition_id, CAST(NULL AS VARCHAR) AS competition_name, CAST(NULL AS VARCHAR) AS competition_code,
+    CAST(NULL AS BIGINT) AS season_id, CAST(NULL AS VARCHAR) AS season_start_date, CAST(NULL AS VARCHAR) AS season_end_date,
+    user_id % 20 AS home_team_id, 'H' || (user_id % 20) AS home_team_name, CAST(NULL AS VARCHAR) AS home_team_short_name, CAST(NULL AS VARCHAR) AS home_team_tla,
+    CAST(NULL AS BIGINT) AS away_team_id, CAST(NULL AS VARCHAR) AS away_team_name, CAST(NULL AS VARCHAR) AS away_team_short_name, CAST(NULL AS VARCHAR) AS away_team_tla,
+    'DRAW' AS winner, 'REGULAR' AS duration, CAST(floor(value) AS BIGINT) % 5 AS ft_home_goals, CAST(1 AS BIGINT) AS ft_away_goals,
+    CAST(0 AS BIGINT) AS ht_home_goals, CAST(0 AS BIGINT) AS ht_away_goals,
+    CAST(NULL AS VARCHAR) AS area_details, CAST(NULL AS VARCHAR) AS competition_details, CAST(NULL AS VARCHAR) AS season_details,
+    '{{"id":"' || (user_id % 20) || '","name":"H' || (user_id % 20) || '"}}' AS home_team_details, CAST(NULL AS VARCHAR) AS away_team_details,
+    '{{"fullTime":{{"home":' || (CAST(floor(value) AS BIGINT) % 5) || ',"away":1}}}}' AS score_details, CAST(NULL AS VARCHAR) AS referees,
+    '{{"id":' || user_id || ',"utcDate":"' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ') || '","status":"' || upper(event_type) || '","lastUpdated":"'
+      || strftime(make_timestamp(CAST((1700000000 + event_id) * 1000000 AS BIGINT)), '%Y-%m-%dT%H:%M:%SZ') || '","homeTeam":{{"id":' || (user_id % 20)
+      || ',"name":"H' || (user_id % 20) || '"}},"score":{{"fullTime":{{"home":' || (CAST(floor(value) AS BIGINT) % 5) || ',"away":1}}}}}}' AS raw
+  FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1"""
+_Q["stream_upsert"] = "SELECT * FROM event_matches"
+_Q["stream_restart"] = "SELECT * FROM event_matches"
+_Q["merged_state"] = "SELECT * FROM event_matches CROSS JOIN (VALUES (false), (true)) AS phases(compacted)"
+_Q["stream_competitions"] = _Q["json_competition"]
+_Q["stream_standings"] = """
+SELECT * FROM flat_standings QUALIFY row_number() OVER (PARTITION BY competition_id, season_id, stage, standing_type, team_id, group_name
+  ORDER BY position, played_games, points) = 1"""
+_Q["event_windows"] = f"""
+WITH lots AS (
+  SELECT *, least(CAST(ts AS DATE) - DATE '2024-01-01', 29) // 10 + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS lot,
+    time_bucket(INTERVAL 5 MINUTE, ts) AS opened FROM events),
+seen AS (SELECT lot, max(ts) AS latest FROM lots GROUP BY lot),
+marks AS (SELECT n.lot, max(s.latest) - INTERVAL 2 DAY AS mark FROM range(5) AS n(lot) LEFT JOIN seen s ON s.lot < n.lot GROUP BY n.lot)
+SELECT {_ts("opened")} AS window_start, {_ts("opened + INTERVAL 5 MINUTE")} AS window_end, event_type, count(*) AS events, min(event_id) AS first_event
+FROM lots JOIN marks USING (lot) WHERE mark IS NULL OR opened + INTERVAL 5 MINUTE > mark
+GROUP BY opened, event_type HAVING opened + INTERVAL 5 MINUTE <= (SELECT mark FROM marks WHERE lot = 4)"""
+_Q["value_change"] = """
+SELECT *, current_market_value - value_1y_ago AS value_change_1y, current_market_value - value_3y_ago AS value_change_3y
+FROM (SELECT player_id, arg_max(value, date_unix) FILTER (date_unix <= DATE '1998-06-30') AS current_market_value,
+    arg_max(value, date_unix) FILTER (date_unix <= DATE '1997-06-30') AS value_1y_ago, arg_max(value, date_unix) FILTER (date_unix <= DATE '1995-06-30') AS value_3y_ago
+  FROM values_ GROUP BY player_id)
+WHERE current_market_value IS NOT NULL"""
+_FORM_SPANS = {"last_season": 1, "last_3_seasons": 3}
+_FORM_SUMS = ", ".join(
+    f"CAST(sum({source}) FILTER (place <= {last}) AS BIGINT) AS {span}_{name}"
+    for span, last in _FORM_SPANS.items()
+    for source, name in (("goals", "goals"), ("assists", "assists"), ("minutes_played", "minutes"))
+)
+_FORM_RATES = ", ".join(
+    f"{_per90(f'{span}_{what}', f'{span}_minutes')} AS {span}_{what}_per_90" for span in _FORM_SPANS for what in ("goals", "assists")
+)
+_Q["recent_form"] = f"""
+SELECT *, {_FORM_RATES}, {", ".join(f"{span}_goals + {span}_assists AS {span}_goal_participation" for span in _FORM_SPANS)}
+FROM (SELECT player_id, max(season_name) FILTER (place = 1) AS last_season, count(DISTINCT place) AS seasons_counted, {_FORM_SUMS}
+  FROM (SELECT *, dense_rank() OVER (PARTITION BY player_id ORDER BY season_name DESC NULLS LAST) AS place FROM performances)
+  WHERE place <= 3 GROUP BY player_id)"""
+_Q["standings_dir"] = """
+SELECT s_suppkey AS competition_id, s_name AS competition_name, CAST(NULL AS VARCHAR) AS competition_code, CAST(NULL AS VARCHAR) AS competition_type,
+  CAST(2024 AS BIGINT) AS season_id, '2024-01-01' AS season_start_date, CAST(NULL AS VARCHAR) AS season_end_date,
+  CASE WHEN s_suppkey % 6 = 0 THEN s_suppkey % 38 END AS current_matchday, s_nationkey AS area_id, 'Area' AS area_name, CAST(NULL AS VARCHAR) AS area_code,
+  CASE WHEN s_suppkey % 11 <> 0 THEN 'REGULAR_SEASON' END AS stage, CASE WHEN s_suppkey % 9 <> 0 THEN 'TOTAL' END AS standing_type,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'G' END AS group_name, place AS position, s_suppkey * 2 + place AS team_id, 'T' || (s_suppkey * 2 + place) AS team_name,
+  CAST(NULL AS VARCHAR) AS team_short_name, CAST(NULL AS VARCHAR) AS team_tla, CAST(NULL AS VARCHAR) AS team_crest_url,
+  CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey % 30 WHEN s_suppkey % 2 <> 0 THEN 0 END AS played_games,
+  CASE WHEN s_suppkey % 4 = 0 THEN s_suppkey % 20 WHEN s_suppkey % 2 <> 0 THEN 0 END AS won,
+  CAST(0 AS BIGINT) AS draw, CAST(0 AS BIGINT) AS lost, s_suppkey % 50 + place AS points, CAST(0 AS BIGINT) AS goals_for, CAST(0 AS BIGINT) AS goals_against,
+  CAST(0 AS BIGINT) AS goal_difference, CASE WHEN s_suppkey % 5 = 0 THEN 'WDL' END AS form
+FROM supplier CROSS JOIN (VALUES (CAST(1 AS BIGINT)), (CAST(2 AS BIGINT))) AS places(place) WHERE (s_suppkey * 2 + place) % 7 <> 0"""
 _Q["standings_from_files"] = """
 SELECT competition_id, season_id, stage, standing_type, team_id, group_name,
   CASE WHEN known THEN 'old' ELSE competition_name END AS competition_name, position, points, won, team_name

@@ -12,6 +12,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryException
 
 from statforge.functions import expr as E
 from statforge.functions import messages as M
@@ -26,8 +27,11 @@ from statforge.plans.pipeline import ingest, raise_failures, run_pipeline
 from statforge.session import scratch, stored
 from statforge.sinks.files import Snapshot, delete_expired, retained, write_parquet
 from statforge.sinks.jdbc import JdbcTarget, load_tables
-from statforge.sources.files import competitions_file, read_layer, verify_layer
-from statforge.streaming.jobs import MATCHES, load_standings_files, run_until_done, start_upserts
+from statforge.sources.files import SOURCE_FILE, competitions_file, read_layer, verify_layer
+from statforge.sources.files import standings_dir as read_standings
+from statforge.streaming.jobs import COMPETITIONS, MATCHES, STANDINGS, load_standings_files, run_until_done, start_upserts, upsert_batches
+from statforge.streaming.serving import merged_view
+from statforge.streaming.windows import start_windows, windowed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 FILE_MESSAGES = 1000
@@ -74,6 +78,16 @@ def value_summary(t):
     return B.metric(t, "market_value_trends")
 
 
+@query
+def value_change(t):
+    return metrics.value_change(B.silver(t, "player_market_value"), "1998-06-30", audit=False)
+
+
+@query
+def recent_form(t):
+    return metrics.recent_form(B.silver(t, "player_performances"), audit=False)
+
+
 @query
 def value_timeline(t):
     return metrics.value_timeline(B.silver(t, "player_market_value"))
@@ -443,12 +457,12 @@ def json_competition(t):
     return M.flatten_competition(M.parse(B.competition_messages(t), M.COMPETITION), audit=False)
 
 
-def write_competition_files(messages: DataFrame, root: str) -> None:
+def write_message_files(messages: DataFrame, root: str, before: str = '{"competitions": [', after: str = "]}") -> None:
     """``messages`` as files of at most ``FILE_MESSAGES`` each: more messages make more files, not larger ones."""
     # The id counts the rows of a task from a start of its own, so no task and no value can fill a group beyond the limit.
     numbered = messages.withColumn("file", F.floor(F.monotonically_increasing_id() / FILE_MESSAGES))
     whole = numbered.groupBy("file").agg(F.array_join(F.collect_list("value"), ",").alias("all"))
-    lines = whole.select(F.concat(F.lit('{"competitions": ['), "all", F.lit("]}")).alias("value"))
+    lines = whole.select(F.concat(F.lit(before), "all", F.lit(after)).alias("value"))
     # One row per file: a file of this kind holds one object.
     lines.write.option("maxRecordsPerFile", 1).text(root)
 
@@ -457,10 +471,19 @@ def write_competition_files(messages: DataFrame, root: str) -> None:
 def competitions_load(t):
     """The competition messages as files of many each, loaded as files."""
     root = scratch(t.spark, "competitions")
-    write_competition_files(B.competition_messages(t), root)
+    write_message_files(B.competition_messages(t), root)
     return competitions_file(t.spark, root).drop("processed_at")
 
 
+@query
+def standings_dir(t):
+    """Standings messages as files, some keys null and some absent, read as a directory and applied in name order."""
+    root = scratch(t.spark, "standings")
+    write_message_files(B.standings_file_messages(t), root, "[", "]")
+    rows = read_standings(t.spark, root, "*.txt")
+    return load_standings_files(None, rows, SOURCE_FILE).drop("processed_at")
+
+
 @query
 def json_standings(t):
     return M.flatten_standings(M.parse(B.standings_messages(t), M.STANDINGS), audit=False)
@@ -549,7 +572,94 @@ def stream_upsert(t):
     source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
     table = MATCHES.table(spark, f"{root}/table", U.LATEST_EVENT)
     run_until_done([start_upserts(source, MATCHES, table, f"{root}/checkpoint", available_now=True, compact_every=2)])
-    return table.current().select("match_id", "status", "last_updated", "home_team_name", "ft_home_goals", "matchday", "winner")
+    return table.current().drop("processing_ts")
+
+
+@query
+def stream_restart(t):
+    """A run that is lost after a batch is in the log and before its checkpoint; the next run replays the batch."""
+    spark = t.spark
+    root = scratch(spark, "restart")
+    B.event_messages(t).repartition(3).write.parquet(f"{root}/in")
+    source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    table = MATCHES.table(spark, f"{root}/table", U.LATEST_EVENT)
+    record = upsert_batches(MATCHES, table, table.run_for(f"{root}/checkpoint"))
+
+    def lost(batch: DataFrame, batch_id: int) -> None:
+        record(batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("lost before the checkpoint")
+
+    writer = source.writeStream.foreachBatch(lost).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    try:
+        writer.start().awaitTermination()
+    except StreamingQueryException:
+        pass
+    else:
+        raise RuntimeError("the first run should have been lost")
+    run_until_done([start_upserts(source, MATCHES, table, f"{root}/checkpoint", available_now=True)])
+    return table.current().drop("processing_ts")
+
+
+def _two_topics(t: Tables) -> dict[str, DataFrame]:
+    """Competition and standings messages streamed at the same time into two tables."""
+    spark = t.spark
+    root = scratch(spark, "topics")
+    B.competition_messages(t).repartition(3).write.parquet(f"{root}/competitions-in")
+    B.standings_messages(t).write.parquet(f"{root}/standings-in")
+    tables, running = {}, []
+    for topic, files in ((COMPETITIONS, 1), (STANDINGS, None)):
+        reader = spark.readStream.schema("value string")
+        source = (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(f"{root}/{topic.name}-in")
+        tables[topic.name] = topic.table(spark, f"{root}/{topic.name}")
+        running.append(start_upserts(source, topic, tables[topic.name], f"{root}/checkpoint-{topic.name}", available_now=True, compact_every=2))
+    run_until_done(running)
+    return {name: table.current().drop("processed_at") for name, table in tables.items()}
+
+
+@query
+def stream_competitions(t):
+    return _two_topics(t)["competitions"]
+
+
+@query
+def stream_standings(t):
+    return _two_topics(t)["standings"]
+
+
+@query
+def merged_state(t):
+    """A batch snapshot and a stream's table as one view, before and after the table is compacted."""
+    spark = t.spark
+    root = scratch(spark, "merged")
+    number = F.col("event_id") % 3
+    flat = M.flatten_match(M.parse(B.event_messages(t, t.events.where(number == 0)), M.MATCH))
+    snapshot = Snapshot(spark, root, "matches")
+    snapshot.refresh(U.newest_in_batch(flat, MATCHES.keys, MATCHES.newest))
+    B.event_messages(t, t.events.where(number > 0)).repartition(2).write.parquet(f"{root}/in")
+    source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    table = MATCHES.table(spark, f"{root}/table", U.LATEST_EVENT)
+    run_until_done([start_upserts(source, MATCHES, table, f"{root}/checkpoint", available_now=True, compact_every=0)])
+    before = stored(merged_view(snapshot.read(), table), "merged").withColumn("compacted", F.lit(False))
+    table.compact()
+    after = merged_view(snapshot.read(), table).withColumn("compacted", F.lit(True))
+    return before.unionByName(after).drop("processing_ts")
+
+
+@query
+def event_windows(t):
+    """Five-minute counts of events that arrive in four lots, some of them late; every lot is a run of its own from the same checkpoint."""
+    spark = t.spark
+    root = scratch(spark, "windows")
+    lot = F.least(F.floor(F.datediff("ts", F.lit("2024-01-01")) / 10), F.lit(2)) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    lots = stored(t.events.select("event_id", "ts", "event_type", lot.alias("lot")), "lots")
+    measures = {"events": F.count(F.lit(1)), "first_event": F.min("event_id")}
+    for number in range(4):
+        lots.where(F.col("lot") == number).drop("lot").write.mode("append").parquet(f"{root}/in")
+        source = spark.readStream.schema("event_id bigint, ts timestamp, event_type string").parquet(f"{root}/in")
+        counted = windowed(source, "ts", "5 minutes", "2 days", ["event_type"], measures)
+        run_until_done([start_windows(counted, f"{root}/out", f"{root}/checkpoint", available_now=True)])
+    return spark.read.parquet(f"{root}/out")
 
 
 # ---- layers, quality, pipeline --------------------------------------------------------------------------------------

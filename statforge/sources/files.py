@@ -98,14 +98,14 @@ def competitions_file(spark: SparkSession, path: str) -> DataFrame:
     return M.flatten_competition(whole.select(F.explode("competitions").alias("data")))
 
 
-def standings_dir(spark: SparkSession, path: str) -> DataFrame:
-    """Flat standings of a directory with one message per file, with the file each row came from.
+def standings_dir(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    """Flat standings of a directory of files that hold one message, or a list of messages, with the file each row came from.
 
     Unlike the stream, a missing stage, type or current matchday stays NULL, so does a statistic that is null in
     the file (an absent one is 0), and only a missing team id drops a row. Files are later applied in name order (see
     ``load_standings_files``).
     """
-    reader = spark.read.schema(M.STANDINGS_FILE).option("multiLine", True).option("pathGlobFilter", "*.json")
+    reader = spark.read.schema(M.STANDINGS_FILE).option("multiLine", True).option("pathGlobFilter", pattern)
     whole = reader.json(path).select(
         F.struct("filters", "area", "competition", "season", M.typed_standings(F.col("standings")).alias("standings")).alias("data"),
         F.col("_metadata.file_path").alias(SOURCE_FILE),

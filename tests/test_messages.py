@@ -4,7 +4,7 @@ import json
 from conftest import one, rows
 from statforge.functions import messages as M
 from statforge.plans import views
-from statforge.plans.queries import FILE_MESSAGES, write_competition_files
+from statforge.plans.queries import FILE_MESSAGES, write_message_files
 from statforge.sources.files import competitions_file, standings_dir
 from statforge.streaming.jobs import load_standings_files
 
@@ -102,13 +102,13 @@ def test_competitions_file(spark, folder):
 def test_more_competition_messages_make_more_files(spark, folder):
     """Equal messages too: no file and no group holds more than the limit, and all are read."""
     sent = spark.range(0, 20500, 1, 3).selectExpr("if(id < 9000, 7, id) AS id").selectExpr("to_json(struct(id, 'L' AS name)) AS value")
-    write_competition_files(sent, f"{folder}/many")
+    write_message_files(sent, f"{folder}/many")
     held = spark.read.text(f"{folder}/many", wholetext=True).selectExpr("size(split(value, '\"id\"')) - 1 AS n")
     assert sum(n for (n,) in held.collect()) == 20500
     assert held.agg({"n": "max"}).first()[0] <= FILE_MESSAGES
     found = competitions_file(spark, f"{folder}/many")
     assert (found.count(), found.where("competition_id = 7").count(), found.select("competition_id").distinct().count()) == (20500, 9000, 11501)
-    write_competition_files(sent.where("false"), f"{folder}/none")
+    write_message_files(sent.where("false"), f"{folder}/none")
     assert competitions_file(spark, f"{folder}/none").count() == 0
 
 

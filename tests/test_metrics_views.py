@@ -250,3 +250,26 @@ def test_row_counts_and_scorers(spark):
     risk = spark.createDataFrame([(1, "LOW"), (2, "LOW"), (3, "LOW")], "player_id int, injury_risk_level string")
     value = spark.createDataFrame([(1, 5), (2, 5), (3, 5)], "player_id int, peak_market_value bigint")
     assert [r.player_id for r in views.reliable_scorers(people, form, risk, value).collect()] == [1, 3]
+
+
+def test_value_change_takes_the_last_value_at_or_before_each_day(spark):
+    data = [
+        (1, "2019-01-01", 10), (1, "2021-06-01", 50), (1, "2022-05-31", 60), (1, "2024-06-30", 90), (1, "2024-07-01", 5),
+        (2, "2023-12-01", 7), (3, "2024-12-01", 8), (4, None, 9), (5, "2020-01-01", 4),
+    ]
+    df = spark.createDataFrame(data, "player_id bigint, date_unix string, value int").withColumn("date_unix", F.col("date_unix").cast("date"))
+    found = {r[0]: r[1:] for r in map(tuple, metrics.value_change(df, "2024-06-30", audit=False).collect())}
+    assert found == {1: (90, 60, 50, 30, 40), 2: (7, None, None, None, None), 5: (4, 4, 4, 0, 0)}
+    plan = metrics.value_change(df, "2024-06-30", audit=False)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("Exchange") == 1
+
+
+def test_recent_form_sums_the_last_seasons(spark):
+    data = [(1, s, g, a, m) for s, g, a, m in [("2024", 1, 0, 90), ("2024", 2, 1, 90), ("2023", 4, 0, 900), ("2022", 8, 0, 10), ("2021", 100, 0, 10), (None, 100, 0, 10)]]
+    data += [(2, "2020", 0, 0, 0)]
+    df = spark.createDataFrame(data, "player_id bigint, season_name string, goals int, assists int, minutes_played int")
+    found = {r.player_id: r for r in metrics.recent_form(df, audit=False).collect()}
+    one_ = found[1]
+    assert (one_.last_season, one_.last_season_goals, one_.last_season_assists, one_.last_season_minutes, one_.last_season_goal_participation) == ("2024", 3, 1, 180, 4)
+    assert (one_.seasons_counted, one_.last_3_seasons_goals, one_.last_3_seasons_minutes) == (3, 15, 1090)
+    assert one_.last_season_goals_per_90 == 1.5 and found[2].last_season_goals_per_90 is None

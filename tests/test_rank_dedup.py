@@ -92,9 +92,18 @@ def test_long_timelines_match_the_plain_window(spark, tie):
     window = Window.partitionBy("k").orderBy("d", *([tie] if tie else []))
     plain = df.withColumns({"prev_value": F.lag("v").over(window), "next_value": F.lead("v").over(window)})
     assert rows(with_neighbours(df, "k", "d", "v", tie), "k", "d", "t") == rows(plain, "k", "d", "t")
-    assert rows(with_neighbours(df, "k", "d", "v", tie, period=F.floor(F.col("d") / 7)), "k", "d", "t") == rows(plain, "k", "d", "t")
+    assert rows(with_neighbours(df, "k", "d", "v", tie, block_rows=7), "k", "d", "t") == rows(plain, "k", "d", "t")
     # The same timeline with text dates, and with NULL keys.
     text = df.select(F.when(F.col("k") != "single", F.col("k")).alias("k"), F.date_add(F.lit("1990-01-01").cast("date"), "d").cast("string").alias("d"), "t", "v")
     window = Window.partitionBy("k").orderBy("d", *([tie] if tie else []))
     plain = text.withColumns({"prev_value": F.lag("v").over(window), "next_value": F.lead("v").over(window)})
     assert rows(with_neighbours(text, "k", "d", "v", tie), "k", "d", "t") == rows(plain, "k", "d", "t")
+
+
+def test_neighbours_window_blocks_not_keys(spark):
+    """One key with all rows in one year: no window over the key, one shuffle for the sort and one for the blocks."""
+    df = spark.range(2000).select(F.lit("hot").alias("k"), (F.col("id") % 300).alias("d"), F.col("id").alias("t"), F.col("id").alias("v"))
+    found = with_neighbours(df, "k", "d", "v", "t", block_rows=100)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(__block" in plan
+    assert found.where("prev_value IS NULL").count() == found.where("next_value IS NULL").count() == 1
