@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from statforge.llm import urls
@@ -17,6 +19,11 @@ PAGES = [
     ("<div", "<div"),
     (None, ""),
     ("", ""),
+    ('<div class="content has-sidebar"><article><p>Real, text. Here.</p></article><div class="sidebar"><p>Side, text.</p></div></div>', "Real, text. Here."),
+    ('<div class="layout-header-fixed"><main><p>Real, text. Here.</p></main></div>', "Real, text. Here."),
+    ('<p title="a > b">One, two.</p><p title="open>Three, four.</p>', "One, two. Three, four."),
+    ("<p>One, two.</p><a href=x", "One, two. <a href=x"),
+    ("<p>One, two.</p><a <!-- gone", "One, two. <a"),
     ("<p>" + "long, text. " * 50_000, ("long, text. " * 50_000).strip()),
 ]
 
@@ -26,6 +33,16 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page",
+    ["<a" * 100_000, "<a" * 100_000 + ">", "<div>text" * 20_000, "<x><p>one, two." * 20_000, '<a "b>c" ' * 30_000, "<li>a" * 30_000, "<!x" * 50_000, "<b '\"" * 50_000 + ">", "<script>" * 20_000, "</div>" * 50_000],
+)
+def test_broken_and_deep_pages_take_linear_time(page):
+    start = time.process_time()
+    main_text(page)
+    assert time.process_time() - start < 2
+
+
 def test_pages_table(spark):
     rows = [(1, "u", "<p>é, ü.</p>", "x"), (1, "u", "<p>é, ü.</p>", "x"), (None, None, None, None)]
     out = extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string"))
