@@ -10,7 +10,8 @@ The rates are one small row per source, written before use: Spark joins them by
 the table should be too large to broadcast.
 
 Defined results: NULL is a source of its own. NULL text has size 0. A source without any text keeps rate 1. Sources without a given
-weight get none. Rows that repeat an id get the same number of copies each. A NULL id is drawn like the text 'null'. An empty table gives an empty result.
+weight get none. Rows that repeat an id get the same number of copies each. Rows without an id are drawn by a
+hash of their text. An empty table gives an empty result.
 Extra columns are kept; the operator's own come after them, in place of columns with the same name.
 """
 
@@ -63,9 +64,14 @@ def thresholds(mean: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), last), first, step, lambda state: state["all"])
 
 
+def drawn_by() -> Column:
+    """What a row's draws are hashed from: its id, or its text where there is none."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+
+
 def uniform(key: Column, seed: int, draw: Column) -> Column:
     """A number in [0, 1) from a hash."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("null")), draw.cast("string")).cast("binary"))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key, draw.cast("string")).cast("binary"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").cast("double") / F.lit(_UNIT)
 
 
@@ -85,11 +91,12 @@ def poisson_mix(docs: DataFrame, exponent: float = 0.5, epochs: float = 1.0, see
     drawn = F.aggregate(
         F.sequence(F.lit(0), F.col("__draws") - 1),
         F.lit(0),
-        lambda total, draw: total + F.size(F.filter("__steps", lambda step: step <= uniform(F.col("doc_id"), seed, draw))),
+        # A one-element array makes the number a value of its own, hashed once and not once a step.
+        lambda total, draw: total + F.transform(F.array(uniform(drawn_by(), seed, draw)), lambda u: F.size(F.filter("__steps", lambda step: step <= u)))[0],
     )
     placed = docs.join(per_source, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__copies", drawn).where("__copies > 0")
     copies = placed.select(*[f"`{c}`" for c in kept], F.col("__rate").alias("rate"), F.col("__copies").alias("copies"), F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)).alias("copy"))
-    key = F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string")).cast("binary")), 1, 16)
+    key = F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), drawn_by(), F.col("copy").cast("string")).cast("binary")), 1, 16)
     return copies.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 
@@ -108,9 +115,9 @@ def mixing_sql(exponent: float = 0.5, epochs: float = 1.0, seed: int = 17) -> st
         inverse AS (SELECT source, any_value(rate) AS rate, list(total ORDER BY k) AS totals FROM steps GROUP BY source),
         drawn AS (
             SELECT d.*, r.rate,
-                   CAST(len(list_filter(r.totals, lambda s: s <= CAST('0x' || substr(md5('{seed}:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null') || ':0'), 1, 13) AS BIGINT) / {_UNIT})) AS INTEGER) AS copies
+                   CAST(len(list_filter(r.totals, lambda s: s <= CAST('0x' || substr(md5('{seed}:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null:' || md5(coalesce(d.text, ''))) || ':0'), 1, 13) AS BIGINT) / {_UNIT})) AS INTEGER) AS copies
             FROM documents d JOIN inverse r ON d.source IS NOT DISTINCT FROM r.source),
         exploded AS (SELECT *, unnest(range(copies)) AS copy64 FROM drawn WHERE copies > 0)
         SELECT * EXCLUDE (copy64), CAST(copy64 AS INTEGER) AS copy,
-               substr(md5('{seed}:order:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || copy64), 1, 16) AS shuffle_key
+               substr(md5('{seed}:order:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, ''))) || ':' || copy64), 1, 16) AS shuffle_key
         FROM exploded"""

@@ -44,6 +44,13 @@ def test_same_seed_same_result_and_other_order(spark):
     assert ids != sorted(ids)
 
 
+def test_rows_without_ids_are_drawn_apart(spark):
+    docs = spark.createDataFrame([(None, f"text {i}", "a") for i in range(4000)], "doc_id bigint, text string, source string")
+    out = mixing.poisson_mix(docs).select("text", "shuffle_key").collect()
+    assert abs(len(out) - 4000) < 5 * 4000**0.5
+    assert len({r.shuffle_key for r in out}) == len(out) and len({r.text for r in out}) < 3000
+
+
 def test_odd_rows(odd_docs, no_docs):
     out = mixing.poisson_mix(odd_docs, epochs=3.0)
     assert out.columns == [c for c in odd_docs.columns if c != "rate"] + ["rate", "copies", "copy", "shuffle_key"]

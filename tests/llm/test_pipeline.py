@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_stages_work_on_what_is_kept(spark):
@@ -49,3 +49,11 @@ def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs):
     for docs in (odd_docs, no_docs):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, docs, SF_DIR).write.format("noop").mode("overwrite").save()
+
+
+def test_mixing_keeps_columns_named_like_its_own(spark):
+    docs = spark.createDataFrame([(i, "x" * 9, "s", f"mine{i}", 0.5, i) for i in range(200)], "doc_id bigint, text string, source string, copy string, rate double, shuffle_key int")
+    out = dict(corpus_pipeline.STAGES)["mixing"](spark, docs, SF_DIR)
+    assert out.dtypes == docs.dtypes
+    rows = out.collect()
+    assert 100 < len(rows) and all((r.copy, r.rate, r.shuffle_key) == (f"mine{r.doc_id}", 0.5, r.doc_id) for r in rows)
