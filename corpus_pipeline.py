@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from statforge.llm import exact, minhash, mixing, packing, toxicity
 from statforge.llm.shared import checkpointed, table
@@ -32,7 +33,10 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's rate says, in random order; copies are equal rows."""
-    return mixing.poisson_mix(docs).select(*[f"`{c}`" for c in docs.columns])
+    # Columns of the documents that are named like the operator's own keep their values.
+    own = {c: f"__own_{c}" for c in mixing.ADDED if c in docs.columns}
+    copies = mixing.poisson_mix(docs.withColumnsRenamed(own))
+    return copies.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
