@@ -767,6 +767,16 @@ def _constraints() -> list[str]:
         out += [_rule(cte, table, name, bad) for name, bad in others.get(table, ())]
         out += [_rule(cte, table, f"{c}_not_null", f"{c} IS NULL") for c in present[table].split()]
         out.append(_unique(cte, table, "player_id"))
+    known = "'SCHEDULED', 'TIMED', 'IN_PLAY', 'PAUSED', 'FINISHED', 'POSTPONED', 'SUSPENDED', 'CANCELLED'"
+    out.append(_rule("matches", "matches", "status_known", f"status NOT IN ({known})"))
+    serving = {
+        "live_events": ("live", "match_id event_timestamp", "match_id,event_timestamp"),
+        "competitions": ("competitions", "competition_id competition_name competition_code", "competition_id"),
+        "leaderboards": ("standings", "competition_id season_id position team_id team_name", "competition_id,season_id,stage,standing_type,team_id,group_name"),
+    }
+    for table, (cte, filled, keys) in serving.items():
+        out += [_rule(cte, table, f"{c}_not_null", f"{c} IS NULL") for c in filled.split()]
+        out.append(_unique(cte, table, keys))
     return out
 
 

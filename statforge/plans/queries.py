@@ -703,7 +703,13 @@ def dq_findings(t):
 
 @query
 def constraint_checks(t):
-    return checks.check_constraints(B.gold(t))
+    serving = {
+        "matches": stored(_matches(t), "matches"),
+        "live_events": stored(B.live_events(t), "live_events"),
+        "competitions": B.competitions(t),
+        "leaderboards": _leaderboards(t),
+    }
+    return checks.check_constraints(B.gold(t) | serving)
 
 
 @query
