@@ -18,6 +18,7 @@ import functools
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from statforge.llm.shared import map_columns
 MODEL = public_tokenizers.path("word_bpe_49k.json")
 SHORT = 96
 _NONE = 1 << 30
-_MOST_WORDS, _LONGEST_KEPT, _ROWS = 100_000, 64, 512
+_MOST_WORDS, _LONGEST_KEPT, _ROWS = 200_000, 64, 512
 # Fixed values of the tokenizer file: how words are split, and the mark of a word's end.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
@@ -47,10 +48,10 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(others)) for b in range(256)]
 
 
-def merge_short(parts: list[int], ranks: dict[tuple[int, int], int], made: list[int]) -> tuple[list[int], list[int]]:
-    """The ids that ``parts`` become, and where each begins among them."""
+def merge_short(parts: list[int], ranks: dict[int, int], made: list[int]) -> tuple[list[int], list[int]]:
+    """The ids that ``parts`` become, and where each begins among them. ``ranks`` has the rank of two ids under ``left << 32 | right``."""
     parts, bounds = list(parts), list(range(len(parts)))
-    near = [ranks.get(pair, _NONE) for pair in zip(parts[:-1], parts[1:], strict=True)]
+    near = [ranks.get(a << 32 | b, _NONE) for a, b in zip(parts[:-1], parts[1:], strict=True)]
     while near:
         least = min(near)
         if least == _NONE:
@@ -59,29 +60,29 @@ def merge_short(parts: list[int], ranks: dict[tuple[int, int], int], made: list[
         parts[at] = made[least]
         del parts[at + 1], bounds[at + 1], near[at]
         if at < len(near):
-            near[at] = ranks.get((parts[at], parts[at + 1]), _NONE)
+            near[at] = ranks.get(made[least] << 32 | parts[at + 1], _NONE)
         if at:
-            near[at - 1] = ranks.get((parts[at - 1], parts[at]), _NONE)
+            near[at - 1] = ranks.get(parts[at - 1] << 32 | made[least], _NONE)
     return parts, bounds
 
 
-def merge_long(parts: list[int], ranks: dict[tuple[int, int], int], made: list[int]) -> tuple[list[int], list[int]]:
+def merge_long(parts: list[int], ranks: dict[int, int], made: list[int]) -> tuple[list[int], list[int]]:
     """As ``merge_short``, in time n log n."""
     parts, count = list(parts), len(parts)
     after, before = list(range(1, count + 1)), list(range(-1, count - 1))
-    heap = [(rank, i) for i in range(count - 1) if (rank := ranks.get((parts[i], parts[i + 1]), _NONE)) != _NONE]
+    heap = [(rank, i) for i in range(count - 1) if (rank := ranks.get(parts[i] << 32 | parts[i + 1], _NONE)) != _NONE]
     heapq.heapify(heap)
     while heap:
         rank, at = heapq.heappop(heap)
         following = after[at] if parts[at] >= 0 else count
-        if following == count or ranks.get((parts[at], parts[following]), _NONE) != rank:
+        if following == count or ranks.get(parts[at] << 32 | parts[following], _NONE) != rank:
             continue  # one of the two has been merged since
         parts[at], parts[following] = made[rank], -1
         after[at] = after[following]
         if after[at] < count:
             before[after[at]] = at
         for left in (before[at], at):
-            if left >= 0 and after[left] < count and (fresh := ranks.get((parts[left], parts[after[left]]), _NONE)) != _NONE:
+            if left >= 0 and after[left] < count and (fresh := ranks.get(parts[left] << 32 | parts[after[left]], _NONE)) != _NONE:
                 heapq.heappush(heap, (fresh, left))
     bounds = [i for i in range(count) if parts[i] >= 0]
     return [parts[i] for i in bounds], bounds
@@ -95,17 +96,20 @@ class Encoder:
             described = json.load(file)
         vocabulary = described["model"]["vocab"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in described["model"]["merges"]]
-        self.ranks = {(vocabulary[a], vocabulary[b]): rank for rank, (a, b) in reversed(list(enumerate(pairs)))}
+        self.ranks = {vocabulary[a] << 32 | vocabulary[b]: rank for rank, (a, b) in reversed(list(enumerate(pairs)))}
         self.made = [vocabulary[a + b] for a, b in pairs]
         self.first = [vocabulary[c] for c in byte_characters()]
         self.last = [vocabulary[c + WORD_END] for c in byte_characters()]
         self.special = {token["content"]: token["id"] for token in described["added_tokens"]}
-        self.tokens = {i: token for token, i in vocabulary.items()} | {i: token for token, i in self.special.items()}
+        tokens = {i: token for token, i in vocabulary.items()} | {i: token for token, i in self.special.items()}
+        self.tokens = [tokens.get(i) for i in range(max(tokens) + 1)]
         self.rules = Tokenizer.from_file(model)
         self.white, self.word = regex.compile(r"\s+"), regex.compile(WORD_PATTERN)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.bytes_of = {c: b for b, c in enumerate(byte_characters())}
+        # Words met of late, and those met before them: frequent words are never forgotten.
         self.known: dict[str, bytes] = {}
+        self.former: dict[str, bytes] = {}
 
     def words(self, text: str) -> Iterator[str]:
         """The words of a text without special tokens."""
@@ -133,16 +137,18 @@ class Encoder:
             for word in self.words(piece):
                 found = known.get(word)
                 if found is None:
-                    found = np.array(self.merged(word)[0], "<u4").tobytes()
+                    found = self.former.get(word) or array("I", self.merged(word)[0]).tobytes()
                     if len(known) >= _MOST_WORDS:
-                        known.clear()
+                        self.former, self.known = known, {}
+                        known = self.known
                     if len(word) <= _LONGEST_KEPT:
                         known[word] = found
                 ids.append(found)
         return np.frombuffer(b"".join(ids), "<u4")
 
     def decode(self, ids: np.ndarray) -> str:
-        return " ".join(self.tokens[i] for i in ids.tolist() if i in self.tokens)
+        known = ids[ids < len(self.tokens)].tolist()
+        return " ".join(filter(None, map(self.tokens.__getitem__, known)))
 
 
 @functools.lru_cache(2)
