@@ -75,7 +75,7 @@ def resolve_partial(
     A partial change to an unknown key inserts the whole row. So the update columns come from the
     last change, the others from the last full change or, if there is none, from the first change.
     One aggregation with map-side combine. ``keep_meta`` keeps the sequence of the last change and
-    marks the result rows as full.
+    flags the keys that had no full change, as ``merge`` needs them.
     """
     meta = {*keys, *sequence, partial}
     fixed = [c for c in changes.columns if c not in meta and c not in update_columns]
@@ -92,7 +92,7 @@ def resolve_partial(
     base = F.coalesce("__full", "__first")
     picked = {c: base[c] for c in (*keys, *fixed)} | {c: F.col("__new")[c] for c in update_columns}
     if keep_meta:
-        picked |= {c: F.col("__seq")[c] for c in sequence} | {partial: F.lit(False)}
+        picked |= {c: F.col("__seq")[c] for c in sequence} | {partial: F.col("__full").isNull()}
     return reduced.select(*(picked[c].alias(c) for c in changes.columns if c in picked))
 
 
@@ -100,20 +100,39 @@ def merge(
     base: DataFrame,
     changes: DataFrame,
     keys: Sequence[str],
-    resolve_rows: Callable[[DataFrame], DataFrame],
     blank_null: Sequence[str] = (),
+    update_columns: Sequence[str] | None = None,
+    event_time: str | None = None,
+    partial: str = PARTIAL,
 ) -> DataFrame:
-    """State after ``changes`` on top of a ``base`` that has one row per key.
+    """State after ``changes`` on top of a ``base``; both have one row per key, and every change is later than the base.
 
-    Only base rows whose key occurs in the changes are resolved; the others pass through. With few
-    changed keys Spark broadcasts them (by their measured size) and the base is not shuffled.
+    A matched row is replaced; with ``event_time`` only by a change that is not older (no time is the oldest). With ``update_columns``
+    a change flagged ``partial`` alters only those columns of a matched row; a new key's change is taken whole either way. The wide
+    base is read once, in a left join; which keys are new is found from its key columns alone. With few changes Spark broadcasts them
+    (by their measured size) and the base is not shuffled; it is never grouped or sorted for the merge.
     """
     names = [f"__k{i}" for i in range(len(keys))]
-    touched = changes.select(*(c.alias(n) for c, n in zip(_key_columns(keys, blank_null), names))).distinct()
-    pairs = zip(_key_columns(keys, blank_null), names)
-    on = reduce(Column.__and__, (c.eqNullSafe(F.col(n)) for c, n in pairs))
-    affected = base.join(touched, on, "left_semi").unionByName(changes)
-    return base.join(touched, on, "left_anti").unionByName(resolve_rows(affected))
+    own_keys = _key_columns(keys, blank_null)
+    tagged = [c.alias(n) for c, n in zip(own_keys, names)]
+    fresh = changes.select(*tagged, F.struct(*(F.col(f"`{c}`") for c in base.columns)).alias("__new"))
+    new = F.col("__new")
+    on = reduce(Column.__and__, (c.eqNullSafe(F.col(n)) for c, n in zip(own_keys, names)))
+    hit = new.isNotNull()
+    if event_time is not None:
+        newer = F.col(f"`{event_time}`").isNull() | (new[event_time] >= F.col(f"`{event_time}`"))
+        hit = hit & F.coalesce(newer, F.lit(False))
+
+    def value(name: str) -> Column:
+        always = update_columns is None or name in update_columns
+        replaced = hit if always else hit & ~F.coalesce(new[partial], F.lit(False))
+        return F.when(replaced, new[name]).otherwise(F.col(f"`{name}`")).alias(name)
+
+    kept = base.join(fresh, on, "left").select(*(value(c) for c in base.columns))
+    same = reduce(Column.__and__, (F.col(n).eqNullSafe(F.col(f"__b{n}")) for n in names))
+    known = base.select(*tagged).join(fresh.select(*(F.col(n).alias(f"__b{n}") for n in names)), same, "left_semi")
+    added = fresh.join(known.select(*(F.col(n).alias(f"__b{n}") for n in names)), same, "left_anti")
+    return kept.unionByName(added.select("__new.*"))
 
 
 def bucket_of(keys: Sequence[str], buckets: int, blank_null: Sequence[str] = ()) -> Column:
@@ -132,13 +151,12 @@ def upsert(
 ) -> DataFrame:
     """``target`` after one batch: matched rows replaced (or partly updated), others inserted."""
     partial = update_columns is not None
-    incoming = newest_in_batch(batch.select(*target.columns), keys, newest, blank_null)
-    base = target.withColumns({"_seq": F.lit(0), PARTIAL: F.lit(False)})
-    changes = incoming.withColumns({"_seq": F.lit(1), PARTIAL: F.lit(partial)})
-
-    def winners(rows: DataFrame) -> DataFrame:
-        if partial:
-            return resolve_partial(rows, keys, ["_seq"], update_columns, blank_null=blank_null, keep_meta=True)
-        return resolve(rows, keys, ["_seq"], policy, newest, blank_null)
-
-    return merge(base, changes, keys, winners, blank_null).select(*target.columns)
+    if policy not in (LAST_WRITER, LATEST_EVENT):
+        raise ValueError(f"unknown policy {policy!r}")
+    guarded = policy == LATEST_EVENT and not partial
+    if guarded and newest is None:
+        raise ValueError("policy 'latest_event' needs event_time")
+    incoming = newest_in_batch(batch.select(*(F.col(f"`{c}`") for c in target.columns)), keys, newest, blank_null)
+    base = target.withColumn(PARTIAL, F.lit(False))
+    changes = incoming.withColumn(PARTIAL, F.lit(partial))
+    return merge(base, changes, keys, blank_null, update_columns, newest if guarded else None).drop(PARTIAL)

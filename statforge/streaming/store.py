@@ -160,9 +160,13 @@ class UpsertTable:
         return self.spark.read.parquet(*(entry.path for entry in log))
 
     def _merged(self, base: list[str], changes: DataFrame) -> DataFrame:
+        """State of the buckets in ``base`` after ``changes``, which are reduced to one a key before they meet the base."""
+        reduced = self._resolve(changes)
         if not base:
-            return self._resolve(changes)
-        return U.merge(self.spark.read.parquet(*base), changes, self.keys, self._resolve, self.blank_null)
+            return reduced
+        guard = self.newest if self.policy == U.LATEST_EVENT else None
+        updates = None if self.update_columns is None else [*self.update_columns, _SEQ]
+        return U.merge(self.spark.read.parquet(*base), reduced, self.keys, self.blank_null, updates, guard)
 
     def _resolve(self, changes: DataFrame) -> DataFrame:
         sequence = [_SEQ]

@@ -253,3 +253,60 @@ def test_failed_batches_fail_the_query(spark, folder):
     # Nothing was recorded, and the repaired query picks the batch up again.
     run_until_done([start_upserts(stream(spark, f"{folder}/in"), MATCHES, table, f"{folder}/cp", available_now=True)])
     assert table.current().count() == 1
+
+
+def merge_plan(spark, folder, **kw):
+    """Plan of an upsert of a few rows onto a stored table of many columns."""
+    spark.range(5000).selectExpr("id k", "id % 7 v", *(f"concat('wide ', id + {i}) w{i}" for i in range(5))).write.parquet(f"{folder}/base")
+    base = spark.read.parquet(f"{folder}/base")
+    batch = base.where("k < 3").withColumn("v", F.lit(99).cast("bigint")).unionByName(base.where("k = 4999").withColumn("k", F.col("k") + 1))
+    batch.write.parquet(f"{folder}/batch")
+    return U.upsert(base, spark.read.parquet(f"{folder}/batch"), ["k"], **kw)
+
+
+@pytest.mark.parametrize("updates", [None, ["v"]])
+def test_merge_reads_the_wide_base_once_and_never_groups_it(spark, folder, updates):
+    out = merge_plan(spark, folder, update_columns=updates)
+    got = out.collect()
+    assert len(got) == 5001 and {r.k: r.v for r in got if r.v == 99} == {0: 99, 1: 99, 2: 99}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = [line for line in plan.splitlines() if "FileScan" in line and f"{folder}/base" in line]
+    assert len(scans) == 2, plan
+    wide = [line for line in scans if "w3" in line.split("ReadSchema")[1]]
+    assert len(wide) == 1 and [line.split("ReadSchema: ")[1] for line in scans if line not in wide] == ["struct<k:bigint>"]
+    assert "SortAggregate" not in plan
+
+
+def test_merge_policies_null_keys_and_odd_names(spark):
+    schema = "k int, g string, t int, `a.b` string"
+    base = spark.createDataFrame([(1, None, 5, "old"), (2, "", None, "old"), (None, "x", 5, "old"), (4, "y", 5, "old")], schema)
+    batch = spark.createDataFrame([(1, "", 4, "late"), (2, None, None, "new"), (None, "x", 5, "tie"), (4, "y", None, "untimed"), (5, None, None, "added")], schema)
+    out = U.merge(base, batch, ["k", "g"], ["g"], event_time="t")
+    assert {r.k: r["a.b"] for r in out.collect()} == {1: "old", 2: "new", None: "tie", 4: "old", 5: "added"}
+    out = U.merge(base, batch, ["k", "g"], ["g"])
+    assert {r.k: r["a.b"] for r in out.collect()} == {1: "late", 2: "new", None: "tie", 4: "untimed", 5: "added"}
+    flagged = batch.withColumn("_partial", F.col("k") != 2)
+    out = U.merge(base.withColumn("_partial", F.lit(False)), flagged, ["k", "g"], ["g"], update_columns=["t"])
+    assert {r.k: (r.t, r["a.b"]) for r in out.collect()} == {1: (4, "old"), 2: (None, "new"), None: (5, "tie"), 4: (None, "old"), 5: (None, "added")}
+    assert U.merge(base, batch.limit(0), ["k", "g"], ["g"]).count() == 4 and U.merge(base.limit(0), batch, ["k", "g"], ["g"]).count() == 5
+    with pytest.raises(ValueError):
+        U.upsert(base, batch, ["k"], policy="other")
+    with pytest.raises(ValueError):
+        U.upsert(base, batch, ["k"], policy=U.LATEST_EVENT)
+
+
+@pytest.mark.parametrize("partial_share", [0.0, 0.6])
+def test_store_with_mixed_batches_against_a_dictionary(spark, folder, partial_share):
+    """Full and partial batches of one store, folded now and then, against a step-by-step merge."""
+    rng = random.Random(9)
+    table, state = UpsertTable(spark, f"{folder}/t", ["k"], update_columns=["b"], buckets=3), {}
+    run = table.run_for("w")
+    for batch_id in range(7):
+        partial = rng.random() < partial_share
+        batch = {rng.randrange(25): (rng.randrange(99), rng.choice([None, rng.randrange(99)])) for _ in range(12)}
+        table.apply(spark.createDataFrame([(k, a, b) for k, (a, b) in batch.items()], "k int, a int, b int"), run, batch_id, partial=partial)
+        for key, (a, b) in batch.items():
+            state[key] = (state[key][0], b) if partial and key in state else (a, b)
+        if batch_id in (2, 4):
+            table.compact()
+        assert {r.k: (r.a, r.b) for r in table.current().collect()} == state
