@@ -171,6 +171,36 @@ def expected_types(df: DataFrame, table: str, expected: Mapping[str, str]) -> Da
     return _schema_findings(df.sparkSession, table, ((f"{c} {t}", types.get(c) == t) for c, t in expected.items()), ERROR)
 
 
+# ---- what the values of a column read as, whatever its type -----------------------------------------
+
+_WHOLE = r"^\s*[+-]?\d+(\.0*)?\s*$"
+INT, FLOAT, DATE = "int", "float", "date"
+
+
+def reads_as(column: str, family: str, kind: T.DataType | None = None) -> Column:
+    """Whether a value reads as a whole number, a number or a ``yyyy-MM-dd`` date; NULL for NULL. Typed columns go by their type."""
+    col = F.col(f"`{column}`")
+    if family not in (INT, FLOAT, DATE):
+        raise ValueError(f"unknown family {family!r}")
+    if family == DATE:
+        return F.when(col.isNotNull(), E.lenient_date(col, kind).isNotNull())
+    if isinstance(kind, T.NumericType):
+        return F.when(col.isNotNull(), F.lit(True) if family == FLOAT else col == F.floor(col))
+    shown = col.cast("string")
+    return F.when(col.isNotNull(), shown.rlike(_WHOLE) if family == INT else E.lenient_double(col).isNotNull())
+
+
+def missing_share(*columns: str, over: float = 0.5, severity: str = WARNING) -> list[Rule]:
+    """Columns of which more than a share is NULL."""
+    return [Rule(f"missing({c})", F.col(f"`{c}`").isNull(), severity, over) for c in columns]
+
+
+def family_rules(df: DataFrame, families: Mapping[str, str], severity: str = WARNING) -> list[Rule]:
+    """Values that don't read as their column's declared family; columns that aren't there have no rule."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [Rule(f"{c} reads as {fam}", ~reads_as(c, fam, types[c]), severity) for c, fam in families.items() if c in types]
+
+
 # ---- profiles ----------------------------------------------------------------------------------
 
 
@@ -195,6 +225,52 @@ def column_profile(df: DataFrame, table: str, high_missing: float = 50.0) -> Dat
     return profile.withColumn("high_missing", F.coalesce(F.col("null_pct") > high_missing, F.lit(False)))
 
 
+def value_profile(df: DataFrame, table: str, families: Mapping[str, str] | None = None, high_missing: float = 50.0) -> DataFrame:
+    """One row per column: missing share, what its values read as, and the range of its numbers; one aggregate over the table.
+
+    ``misfit_rows`` are values that don't read as the declared family. Minimum, maximum and mean (two digits) are of the values that read
+    as numbers, in columns declared ``int`` or ``float``; columns without a family have NULL there. An empty table has NULL shares.
+    """
+    declared = dict(families or {})
+    fields = df.schema.fields
+    measures = [F.count(F.lit(1)).alias("__total")]
+    for i, f in enumerate(fields):
+        family, number = declared.get(f.name), E.lenient_double(F.col(f"`{f.name}`"))
+        measures.append(F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"__null{i}"))
+        if family:
+            measures.append(F.count_if(~reads_as(f.name, family, f.dataType)).alias(f"__bad{i}"))
+        if family in (INT, FLOAT):
+            value = F.col(f"`{f.name}`").cast("double") if isinstance(f.dataType, T.NumericType) else number
+            measures += [F.min(value).alias(f"__min{i}"), F.max(value).alias(f"__max{i}"), F.sum(value).alias(f"__sum{i}"), F.count(value).alias(f"__n{i}")]
+    counts, unknown = df.agg(*measures), F.lit(None).cast("double")
+    rows = []
+    for i, f in enumerate(fields):
+        family = declared.get(f.name)
+        numeric = family in (INT, FLOAT)
+        rows.append(
+            F.struct(
+                F.lit(table).alias("table_name"),
+                F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("data_type"),
+                F.lit(family).cast("string").alias("family"),
+                F.col("__total").cast("bigint").alias("total_rows"),
+                F.col(f"__null{i}").cast("bigint").alias("null_rows"),
+                E.ratio(F.col(f"__null{i}"), F.col("__total"), 2, scale=100.0).alias("null_pct"),
+                (F.col(f"__bad{i}") if family else F.lit(None)).cast("bigint").alias("misfit_rows"),
+                (F.col(f"__min{i}") if numeric else unknown).alias("min_value"),
+                (F.col(f"__max{i}") if numeric else unknown).alias("max_value"),
+                (E.ratio(F.col(f"__sum{i}"), F.col(f"__n{i}"), 2) if numeric else unknown).alias("mean_value"),
+            )
+        )
+    profile = counts.select(F.inline(F.array(*rows)))
+    return profile.withColumn("high_missing", F.coalesce(F.col("null_pct") > high_missing, F.lit(False)))
+
+
+def layer_profile(tables: Mapping[str, DataFrame], families: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
+    """``value_profile`` of every table of a layer, one scan each."""
+    return combine(value_profile(df, name, (families or {}).get(name)) for name, df in tables.items())
+
+
 def value_counts(df: DataFrame, column: str, top: int = 10) -> DataFrame:
     """The most frequent values with their counts."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))

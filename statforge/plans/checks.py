@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statforge.functions import expr as E
 from statforge.operators import quality as Q
 from statforge.operators.quality import ERROR, INFO, WARNING, Rule, holds
+from statforge.sinks.files import Snapshot
+from statforge.sources.files import verify_layer
 
 
 def _non_negative(*columns: str, severity: str = ERROR) -> list[Rule]:
@@ -59,8 +62,27 @@ def transfer_rules() -> list[Rule]:
 PROFILE_COLUMNS = ("player_id", "player_slug", "player_name")
 
 
+# What the columns of the raw tables must read as.
+_COUNTS = dict.fromkeys(("goals", "assists", "yellow_cards", "penalty_goals", "second_yellow_cards", "clean_sheets"), Q.INT)
+SOURCE_FAMILIES: dict[str, dict[str, str]] = {
+    "player_profiles": {"player_id": Q.INT, "date_of_birth": Q.DATE, "height": Q.FLOAT, "contract_expires": Q.DATE},
+    "player_performances": {"player_id": Q.INT, **_COUNTS, "nb_on_pitch": Q.INT, "minutes_played": Q.FLOAT, "goals_conceded": Q.INT},
+    "player_market_value": {"player_id": Q.INT, "date_unix": Q.DATE, "value": Q.FLOAT},
+    "player_latest_market_value": {"player_id": Q.INT, "latest_market_value": Q.FLOAT, "value_date": Q.DATE},
+    "player_injuries": {"player_id": Q.INT, "from_date": Q.DATE, "end_date": Q.DATE, "days_missed": Q.FLOAT, "games_missed": Q.INT},
+    "player_national_performances": {"player_id": Q.INT, "debut": Q.DATE, "matches": Q.INT, "goals": Q.INT},
+    "player_teammates_played_with": {"player_id": Q.INT, "ppg_played_with": Q.FLOAT, "joint_goal_participation": Q.INT, "minutes_played_with": Q.FLOAT},
+    "transfer_history": {"player_id": Q.INT, "transfer_date": Q.DATE, "value_at_transfer": Q.FLOAT, "transfer_fee": Q.FLOAT},
+    "team_competitions_seasons": {"season_draws": Q.INT, "season_wins": Q.INT, "season_losses": Q.INT, "season_points": Q.INT},
+}
+
+
 def check_sources(raw: Mapping[str, DataFrame], as_of: dt.date | str | None = None) -> DataFrame:
-    """Findings over the raw tables that are present, always on all rows."""
+    """Findings over the raw tables that are present, always on all rows.
+
+    Row rules, columns that are mostly missing and values that don't read as their column's family are counted in one scan of each table;
+    unique keys take a grouping of their own.
+    """
     found = []
     row_rules = {
         "player_profiles": profile_rules(as_of),
@@ -69,9 +91,13 @@ def check_sources(raw: Mapping[str, DataFrame], as_of: dt.date | str | None = No
         "player_injuries": injury_rules(),
         "transfer_history": transfer_rules(),
     }
-    for table, rules in row_rules.items():
-        if table in raw:
-            found.append(Q.check_rows(_numeric(raw[table], table), table, rules))
+    for table, df in raw.items():
+        # Row rules compare numbers; shares and families are of the text as it came.
+        as_text = [*Q.missing_share(*df.columns), *Q.family_rules(df, SOURCE_FAMILIES.get(table, {}))]
+        flags = {f"__text{i}": rule.condition() for i, rule in enumerate(as_text)}
+        flagged = _numeric(df.withColumns(flags), table)
+        as_text = [dataclasses.replace(rule, bad=F.col(name)) for rule, name in zip(as_text, flags)]
+        found.append(Q.check_rows(flagged, table, [*row_rules.get(table, ()), *as_text]))
     if "player_profiles" in raw:
         found.append(Q.required_columns(raw["player_profiles"], "player_profiles", PROFILE_COLUMNS))
         found.append(Q.duplicate_keys(raw["player_profiles"], "player_profiles", ["player_id"]))
@@ -80,6 +106,31 @@ def check_sources(raw: Mapping[str, DataFrame], as_of: dt.date | str | None = No
     return Q.combine(found)
 
 
+def check_snapshots(spark: SparkSession, root: str, names: Iterable[str]) -> DataFrame:
+    """Findings over stored snapshots, from the versions on disk: there is one, it has rows, and by how many rows it differs from the last.
+
+    Counts come from the Parquet footers. A snapshot without a committed version has 0 rows in all three findings.
+    """
+    found = []
+    for name in names:
+        snapshot = Snapshot(spark, root, name)
+        versions = snapshot.versions()
+        rows, *before = [snapshot.read(v).count() for v in versions[:-3:-1]] or [0]
+        changed = abs(rows - before[0]) if before else 0
+        found += [
+            (name, "stored", ERROR, int(not versions), rows),
+            (name, "has_rows", WARNING, int(rows == 0), rows),
+            (name, "rows_changed", INFO, changed, rows),
+        ]
+    return spark.createDataFrame(found, Q.FINDING)
+
+
+def check_layer(spark: SparkSession, root: str, tables: Iterable[str]) -> DataFrame:
+    """Findings over a stored layer: every table can be read, and how many rows it has."""
+    report = verify_layer(spark, root, list(tables))
+    return spark.createDataFrame([(r["table"], "readable", ERROR, int(r["status"] != "OK"), r.get("rows") or 0) for r in report], Q.FINDING)
+
+
 _NUMERIC = {
     "player_performances": (*PERFORMANCE_STATS, "penalty_goals", "second_yellow_cards"),
     "player_market_value": ("value",),

@@ -95,6 +95,9 @@ CTES["values_"] = f"""
   SELECT player_id, date_unix, {_ints('value')}
   FROM (SELECT *, row_number() OVER (PARTITION BY player_id, date_unix ORDER BY value) AS rn FROM raw_values)
   WHERE rn = 1"""
+CTES["raw_latest_values"] = """
+  SELECT o_custkey AS player_id, CAST(arg_max(CAST(floor(o_totalprice * 25 * (o_custkey % 10 + 1)) AS BIGINT), o_orderkey) AS VARCHAR) AS latest_market_value,
+    max(CAST(o_orderdate AS DATE)) AS value_date FROM orders GROUP BY o_custkey"""
 CTES["raw_injuries"] = """
   SELECT user_id AS player_id, '23/24 ' AS season_name, ' ' || json_extract_string(props, '$.k') AS injury_reason,
     CAST(CAST(ts AS DATE) AS VARCHAR) AS from_date,
@@ -213,6 +216,23 @@ _COMMON = ", ".join(
         ("avg_assists", "total_assists"),
     )
 )
+CTES["raw_teams"] = """
+  SELECT CASE WHEN pad = 1 THEN ' ' ELSE '' END || s_suppkey AS club_id, CASE WHEN s_suppkey % 3 <> 0 THEN ' First' END AS club_division
+  FROM supplier CROSS JOIN (VALUES (0), (1)) AS pads(pad) WHERE pad = 0 OR s_suppkey % 5 = 0"""
+CTES["raw_national"] = """
+  SELECT CASE WHEN o_orderkey % 100 <> 3 THEN o_custkey END AS player_id,
+    CASE WHEN o_orderkey % 4 = 0 THEN '03/05/2001' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS debut,
+    '' || (o_orderkey % 90) AS matches, CASE WHEN o_orderkey % 6 = 0 THEN 'none' ELSE '' || (o_orderkey % 30) END AS goals FROM orders"""
+CTES["raw_teammates"] = """
+  SELECT o_custkey AS player_id, CASE WHEN l_suppkey % 50 <> 7 THEN ' ' || l_suppkey END AS teammate_player_id,
+    CASE WHEN l_linenumber = 2 THEN '?' ELSE CAST(CAST(l_tax AS DECIMAL(10,2)) AS VARCHAR) END AS ppg_played_with,
+    '' || l_linenumber AS joint_goal_participation, CAST(CAST(l_quantity AS DECIMAL(10,1)) AS VARCHAR) AS minutes_played_with
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+CTES["raw_team_seasons"] = """
+  SELECT draw || '.0' AS season_draws, '' || won AS season_wins, '-' AS season_losses, '' || points AS season_points
+  FROM standings WHERE standing_type = 'TOTAL'"""
+CTES["raw_team_children"] = """
+  SELECT CASE WHEN s_suppkey % 10 <> 9 THEN ' ' || s_nationkey END AS parent_team_id FROM supplier"""
 CTES["by_position"] = f"""
   SELECT player_main_position, count(*) AS total_players, {_COMMON},
     {_avg4('goals_per_90min')} AS avg_goals_per_90min, {_avg4('assists_per_90min')} AS avg_assists_per_90min,
@@ -695,33 +715,170 @@ def _all(*parts: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-_P, _F, _V, _I, _D = "raw_profiles", "raw_performances", "raw_values", "raw_injuries", "raw_transfers"
-_Q["dq_findings"] = _all(
-    _rule(_P, "player_profiles", "height_unusual", "TRY_CAST(height AS DOUBLE) < 140", "WARNING"),
-    _rule(_P, "player_profiles", "birth_in_future", "TRY_CAST(date_of_birth AS DATE) > DATE '2024-06-30'", "WARNING"),
-    _rule(_P, "player_profiles", "birth_before_1930", "TRY_CAST(date_of_birth AS DATE) < DATE '1930-01-01'", "WARNING"),
-    *(
-        _rule(_F, "player_performances", f"{c}_negative", f"TRY_CAST({c} AS DOUBLE) < 0")
-        for c in ("goals", "assists", "minutes_played", "yellow_cards")
+# Raw tables: CTE, its columns with type and family, then columns that are never NULL and columns that are nothing else.
+_TEXT = "string"
+_LAYER: dict[str, tuple[str, str, str, str]] = {
+    "player_profiles": (
+        "raw_profiles",
+        "player_id:bigint:int player_slug player_name date_of_birth:string:date place_of_birth country_of_birth height:string:float citizenship position "
+        "foot current_club_id contract_expires:string:date main_position",
+        "joined",
+        "player_image_url social_media_url",
+    ),
+    "player_performances": (
+        "raw_performances",
+        "player_id:bigint:int season_name competition_id competition_name team_id team_name nb_in_group nb_on_pitch:string:int goals:string:int assists:string:int "
+        "yellow_cards:string:int second_yellow_cards:string:int direct_red_cards penalty_goals:string:int minutes_played:string:float "
+        "goals_conceded:string:int clean_sheets:string:int",
+        "",
+        "own_goals subed_in subed_out",
+    ),
+    "player_market_value": ("raw_values", "player_id:bigint:int date_unix:date:date value:string:float", "", ""),
+    "player_injuries": (
+        "raw_injuries",
+        "player_id:bigint:int season_name injury_reason from_date:string:date end_date:string:date days_missed:string:float games_missed:string:int",
+        "",
+        "",
+    ),
+    "player_national_performances": ("raw_national", "player_id:bigint:int debut:string:date matches:string:int goals:string:int", "team_id", ""),
+    "player_teammates_played_with": (
+        "raw_teammates",
+        "player_id:bigint:int teammate_player_id ppg_played_with:string:float joint_goal_participation:string:int minutes_played_with:string:float",
+        "teammate_player_name",
+        "",
+    ),
+    "transfer_history": (
+        "raw_transfers",
+        "player_id:bigint:int season_name transfer_date:string:date from_team_id from_team_name to_team_id to_team_name value_at_transfer:string:float "
+        "transfer_fee:string:float",
+        "",
+        "",
     ),
-    _rule(_F, "player_performances", "penalty_goals_above_goals", "TRY_CAST(penalty_goals AS DOUBLE) > TRY_CAST(goals AS DOUBLE)", "WARNING"),
-    _rule(_F, "player_performances", "second_yellow_above_yellow", "CAST(second_yellow_cards AS DOUBLE) > CAST(yellow_cards AS DOUBLE)", "WARNING"),
-    _rule(_V, "player_market_value", "value_mostly_zero", "CAST(value AS DOUBLE) = 0", "WARNING", over=0.5),
-    _rule(_V, "player_market_value", "value_negative", "CAST(value AS DOUBLE) < 0"),
-    _rule(_I, "player_injuries", "ends_before_start", "TRY_CAST(end_date AS DATE) < TRY_CAST(from_date AS DATE)"),
-    _rule(_I, "player_injuries", "days_missed_negative", "CAST(days_missed AS DOUBLE) < 0", "WARNING"),
-    _rule(_D, "transfer_history", "from_team_is_to_team", "from_team_id = to_team_id", "WARNING"),
-    _rule(_D, "transfer_history", "transfer_fee_negative", "TRY_CAST(transfer_fee AS DOUBLE) < 0", "WARNING"),
-    _rule(_D, "transfer_history", "free_transfer", "TRY_CAST(transfer_fee AS DOUBLE) = 0", "INFO"),
-    *(_schema_row("player_profiles", f"has({c})") for c in ("player_id", "player_slug", "player_name")),
-    _unique(_P, "player_profiles", "player_id"),
-    _unique(
-        "(SELECT CASE WHEN pad = 1 THEN ' ' ELSE '' END || s_suppkey AS club_id FROM supplier CROSS JOIN (VALUES (0), (1)) AS pads(pad) "
-        "WHERE pad = 0 OR s_suppkey % 5 = 0)",
-        "team_details",
-        "club_id",
+    "team_details": (
+        "raw_teams",
+        "club_id club_division",
+        "club_slug club_name country_name season_id competition_id competition_slug competition_name source_url",
+        "logo_url",
     ),
+    "team_competitions_seasons": (
+        "raw_team_seasons",
+        "season_draws:string:int season_wins:string:int season_losses:string:int season_points:string:int",
+        "club_id competition_id competition_name team_name season_season season_rank season_goals_for season_goals_against season_goal_difference extra_form",
+        "",
+    ),
+    "player_latest_market_value": ("raw_latest_values", "player_id:bigint:int latest_market_value:string:float value_date:date:date", "", ""),
+    "team_children": ("raw_team_children", "parent_team_id", "parent_team_name child_team_id child_team_name", ""),
+}
+
+
+def _layer_columns(table: str) -> list[tuple[str, str, str | None, str]]:
+    """Name, type, family and SQL of every column of a raw table."""
+    _, own, filled, empty = _LAYER[table]
+    out = []
+    for entry in own.split():
+        name, kind, family = entry.split(":") if ":" in entry else (entry, _TEXT, None)
+        out.append((name, kind, family, name))
+    out += [(name, _TEXT, None, "'x'") for name in filled.split()]
+    return out + [(name, _TEXT, None, "CAST(NULL AS VARCHAR)") for name in empty.split()]
+
+
+def _reads(column: str, family: str) -> str:
+    if family == "date":
+        return f"regexp_full_match(CAST({column} AS VARCHAR), '\\d{{4}}-\\d{{2}}-\\d{{2}}') AND TRY_CAST(CAST({column} AS VARCHAR) AS DATE) IS NOT NULL"
+    if family == "int":
+        return f"regexp_full_match(CAST({column} AS VARCHAR), '\\s*[+-]?\\d+(\\.0*)?\\s*')"
+    return f"TRY_CAST({column} AS DOUBLE) IS NOT NULL"
+
+
+def _text_rules(table: str, source: str | None = None) -> list[str]:
+    source = source or _LAYER[table][0]
+    columns = _layer_columns(table)
+    out = [_rule(source, table, f"missing({name})", f"{sql} IS NULL", "WARNING", over=0.5) for name, _, _, sql in columns]
+    return out + [
+        _rule(source, table, f"{name} reads as {family}", f"{sql} IS NOT NULL AND NOT ({_reads(sql, family)})", "WARNING")
+        for name, _, family, sql in columns
+        if family
+    ]
+
+
+def _profiled(table: str, name: str, kind: str, family: str | None, sql: str) -> str:
+    number = f"TRY_CAST({sql} AS DOUBLE)" if family in ("int", "float") else "CAST(NULL AS DOUBLE)"
+    misfit = f"count(*) FILTER (WHERE {sql} IS NOT NULL AND NOT ({_reads(sql, family)}))" if family else "CAST(NULL AS BIGINT)"
+    shown = f"'{family}'" if family else "CAST(NULL AS VARCHAR)"
+    return f"""SELECT '{table}' AS table_name, '{name}' AS column_name, '{kind}' AS data_type, {shown} AS family, count(*) AS total_rows,
+  count(*) - count({sql}) AS null_rows, {_r(f'(count(*) - count({sql})) / count(*) * 100', 2)} AS null_pct, {misfit} AS misfit_rows,
+  min({number}) AS min_value, max({number}) AS max_value, {_r(f'avg({number})', 2)} AS mean_value,
+  COALESCE((count(*) - count({sql})) / count(*) * 100 > 50, false) AS high_missing FROM {_LAYER[table][0]}"""
+
+
+_Q["layer_profile"] = _all(*(_profiled(table, *column) for table in _LAYER for column in _layer_columns(table)))
+
+
+def _source_rules(table: str, source: str | None = None) -> list[str]:
+    """All findings of one raw table, by default as it is."""
+    source = source or _LAYER[table][0]
+
+    def rule(name: str, bad: str, severity: str = "ERROR", over: float | None = None) -> str:
+        return _rule(source, table, name, bad, severity, over)
+
+    rows = {
+        "player_profiles": lambda: [
+            rule("height_unusual", "TRY_CAST(height AS DOUBLE) < 140", "WARNING"),
+            rule("birth_in_future", "TRY_CAST(date_of_birth AS DATE) > DATE '2024-06-30'", "WARNING"),
+            rule("birth_before_1930", "TRY_CAST(date_of_birth AS DATE) < DATE '1930-01-01'", "WARNING"),
+            *(_schema_row(table, f"has({c})") for c in ("player_id", "player_slug", "player_name")),
+            _unique(source, table, "player_id"),
+        ],
+        "player_performances": lambda: [
+            *(rule(f"{c}_negative", f"TRY_CAST({c} AS DOUBLE) < 0") for c in ("goals", "assists", "minutes_played", "yellow_cards")),
+            rule("penalty_goals_above_goals", "TRY_CAST(penalty_goals AS DOUBLE) > TRY_CAST(goals AS DOUBLE)", "WARNING"),
+            rule("second_yellow_above_yellow", "CAST(second_yellow_cards AS DOUBLE) > CAST(yellow_cards AS DOUBLE)", "WARNING"),
+        ],
+        "player_market_value": lambda: [
+            rule("value_mostly_zero", "CAST(value AS DOUBLE) = 0", "WARNING", 0.5),
+            rule("value_negative", "CAST(value AS DOUBLE) < 0"),
+        ],
+        "player_injuries": lambda: [
+            rule("ends_before_start", "TRY_CAST(end_date AS DATE) < TRY_CAST(from_date AS DATE)"),
+            rule("days_missed_negative", "CAST(days_missed AS DOUBLE) < 0", "WARNING"),
+        ],
+        "transfer_history": lambda: [
+            rule("from_team_is_to_team", "from_team_id = to_team_id", "WARNING"),
+            rule("transfer_fee_negative", "TRY_CAST(transfer_fee AS DOUBLE) < 0", "WARNING"),
+            rule("free_transfer", "TRY_CAST(transfer_fee AS DOUBLE) = 0", "INFO"),
+        ],
+        "team_details": lambda: [_unique(source, table, "club_id")],
+    }
+    return [*rows.get(table, list)(), *_text_rules(table, source)]
+
+
+_Q["dq_findings"] = _all(*(row for table in _LAYER for row in _source_rules(table)))
+_TEAMS_NOW, _TEAMS_THEN = "(SELECT count(*) FROM raw_teams WHERE club_division IS NOT NULL)", "(SELECT count(*) FROM raw_teams)"
+
+
+def _snapshot_rows(stored: str, changed: str) -> list[str]:
+    head = "SELECT '{}' AS table_name, '{}' AS rule, '{}' AS severity, CAST({} AS BIGINT) AS bad_rows, CAST({} AS BIGINT) AS total_rows"
+    return [
+        head.format("teams", "stored", "ERROR", 0, stored),
+        head.format("teams", "has_rows", "WARNING", 0, stored),
+        head.format("teams", "rows_changed", "INFO", changed, stored),
+        *(head.format("never_stored", rule, level, bad, 0) for rule, level, bad in (("stored", "ERROR", 1), ("has_rows", "WARNING", 1), ("rows_changed", "INFO", 0))),
+    ]
+
+
+_THEN = _all(*(r for t in ("transfer_history", "player_injuries", "player_profiles") for r in _source_rules(t)), *_snapshot_rows(_TEAMS_THEN, "0"))
+_NOW = _all(
+    *_source_rules("transfer_history", "(SELECT * FROM raw_transfers WHERE from_team_id <> to_team_id)"),
+    *_source_rules("player_injuries", "(SELECT * FROM raw_injuries WHERE COALESCE(TRY_CAST(end_date AS DATE) >= TRY_CAST(from_date AS DATE), true))"),
+    *_source_rules("player_market_value"),
+    *_snapshot_rows(_TEAMS_NOW, f"{_TEAMS_THEN} - {_TEAMS_NOW}"),
 )
+_Q["quality_report"] = f"""
+SELECT table_name, rule, COALESCE(b.severity, a.severity) AS severity, a.bad_rows AS previous_bad_rows, b.bad_rows AS bad_rows,
+  a.total_rows AS previous_total_rows, b.total_rows AS total_rows,
+  CASE WHEN a.bad_rows IS NULL THEN 'NEW' WHEN b.bad_rows IS NULL THEN 'GONE' WHEN a.bad_rows > 0 AND b.bad_rows = 0 THEN 'FIXED'
+    WHEN a.bad_rows = 0 AND b.bad_rows > 0 THEN 'BROKEN' WHEN b.bad_rows > a.bad_rows THEN 'WORSE' WHEN b.bad_rows < a.bad_rows THEN 'BETTER' ELSE 'SAME' END AS state
+FROM ({_THEN}) a FULL JOIN ({_NOW}) b USING (table_name, rule)"""
 _GOLD = {
     "player_form_metrics": "form",
     "market_value_trends": "value_trends",

@@ -14,8 +14,9 @@ from statforge.operators import quality as Q
 from statforge.plans import checks, metrics, views
 from statforge.plans.silver import SILVER, clean_table
 from statforge.sinks.files import refresh_all, write_parquet
+from statforge.sinks.findings import FindingsLog
 from statforge.sinks.jdbc import RECOMMENDED, JdbcTarget, load_tables
-from statforge.sources.files import read_layer, scan_csv, text_schema
+from statforge.sources.files import INGESTED_AT, SOURCE_FILE, read_layer, scan_csv, text_schema, verify_layer
 
 # The raw tables, each in a folder of its own name, and their columns where known.
 RAW_TABLES = (
@@ -130,6 +131,15 @@ def compute_gold(
     return _each(spark, GOLD_TABLES[:4], one) + _each(spark, GOLD_TABLES[4:], one)
 
 
+def report_sources(spark: SparkSession, bronze_root: str, log_root: str, as_of: dt.date | str | None = None) -> dict:
+    """Check the raw tables as they were ingested, keep the findings as a run of the log and return the verdict."""
+    report = verify_layer(spark, bronze_root, list(RAW_TABLES))
+    raw = {r["table"]: read_layer(spark, bronze_root, r["table"]).drop(INGESTED_AT, SOURCE_FILE) for r in report if r["status"] == "OK"}
+    log = FindingsLog(spark, log_root)
+    log.record(Q.combine([checks.check_sources(raw, as_of), checks.check_layer(spark, bronze_root, RAW_TABLES)]))
+    return Q.verdict(log.read()).first().asDict()
+
+
 def run_pipeline(
     spark: SparkSession,
     raw_root: str,
@@ -168,10 +178,15 @@ def run_pipeline(
 
     def validation() -> dict:
         named = views.build_player_views(gold())
-        found = checks.validate(gold(), silver(), named, expected_rows)
-        # One row per rule; both the stored findings and the verdict come from the stored table.
-        write_parquet(found, f"{out}/quality/findings")
-        return Q.verdict(spark.read.parquet(f"{out}/quality/findings")).first().asDict()
+        found = [
+            checks.validate(gold(), silver(), named, expected_rows),
+            checks.check_layer(spark, gold_root, GOLD_TABLES),
+            checks.check_snapshots(spark, f"{out}/snapshots", SNAPSHOT_VIEWS),
+        ]
+        # One row per rule; every run is kept, and the verdict comes from what was stored.
+        log = FindingsLog(spark, f"{out}/quality/results")
+        log.record(Q.combine(found))
+        return Q.verdict(log.read()).first().asDict()
 
     stage("bronze", lambda: ingest(spark, raw_root, bronze, tables, columns))
     stage("silver", lambda: clean_all(spark, bronze, silver_root, [t for t in SILVER if t in tables]))

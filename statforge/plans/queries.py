@@ -26,6 +26,7 @@ from statforge.plans.bindings import Tables
 from statforge.plans.pipeline import ingest, raise_failures, run_pipeline
 from statforge.session import scratch, stored
 from statforge.sinks.files import Snapshot, delete_expired, retained, write_parquet
+from statforge.sinks.findings import FindingsLog
 from statforge.sinks.jdbc import JdbcTarget, load_tables
 from statforge.sources.files import SOURCE_FILE, competitions_file, read_layer, verify_layer
 from statforge.sources.files import standings_dir as read_standings
@@ -697,8 +698,39 @@ def ingest_roundtrip(t):
 
 @query
 def dq_findings(t):
-    raw = {n: B.RAW[n](t) for n in ("player_profiles", "player_performances", "player_market_value", "player_injuries", "transfer_history", "team_details")}
-    return checks.check_sources(raw, B.AS_OF)
+    return checks.check_sources({name: build(t) for name, build in B.RAW.items()}, B.AS_OF)
+
+
+@query
+def layer_profile(t):
+    """Missing shares, families and number ranges of every column of all raw tables."""
+    return Q.layer_profile({name: build(t) for name, build in B.RAW.items()}, checks.SOURCE_FAMILIES)
+
+
+@query
+def quality_report(t):
+    """Two recorded checks of raw tables and stored snapshots, and what became of every rule between them.
+
+    By the second run transfers within a team and wrongly dated injuries are gone, valuations have come, profiles are not checked any more
+    and the snapshot of teams has lost the teams without a division.
+    """
+    root = scratch(t.spark, "quality")
+    log = FindingsLog(t.spark, f"{root}/log")
+    deals, stays, teams = (B.RAW[n](t) for n in ("transfer_history", "player_injuries", "team_details"))
+    clean = E.lenient_date("end_date") >= E.lenient_date("from_date")
+    states = (
+        {"transfer_history": deals, "player_injuries": stays, "player_profiles": B.raw_profiles(t)},
+        {
+            "transfer_history": deals.where("from_team_id <> to_team_id"),
+            "player_injuries": stays.where(F.coalesce(clean, F.lit(True))),
+            "player_market_value": B.raw_values(t),
+        },
+    )
+    for raw, shown in zip(states, (teams, teams.where("club_division IS NOT NULL"))):
+        Snapshot(t.spark, f"{root}/snapshots", "teams").refresh(shown)
+        found = [checks.check_sources(raw, B.AS_OF), checks.check_snapshots(t.spark, f"{root}/snapshots", ["teams", "never_stored"])]
+        log.record(Q.combine(found))
+    return log.changes()
 
 
 @query

@@ -68,11 +68,12 @@ class Snapshot:
             drop_dir(self.spark, f"{self.path}/{old}")
         return rows
 
-    def read(self) -> DataFrame:
+    def read(self, version: str | None = None) -> DataFrame:
+        """The newest committed version, or one that ``versions`` names."""
         versions = self.versions()
         if not versions:
             raise FileNotFoundError(f"snapshot {self.name} has no committed version below {self.path}")
-        return self.spark.read.parquet(f"{self.path}/{versions[-1]}")
+        return self.spark.read.parquet(f"{self.path}/{version or versions[-1]}")
 
 
 def refresh_all(spark: SparkSession, root: str, views: dict[str, DataFrame]) -> dict[str, int]:

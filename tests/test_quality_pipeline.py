@@ -8,8 +8,9 @@ from conftest import one, rows
 from statforge.operators import quality as Q
 from statforge.plans import bindings as B
 from statforge.plans import checks
-from statforge.plans.pipeline import GOLD_TABLES, StageFailed, ingest, raise_failures, run_pipeline
+from statforge.plans.pipeline import GOLD_TABLES, SNAPSHOT_VIEWS, StageFailed, ingest, raise_failures, report_sources, run_pipeline
 from statforge.sinks.files import Snapshot, child_dirs, delete_expired, refresh_all, retained, write_parquet
+from statforge.sinks.findings import FindingsLog
 from statforge.sinks.jdbc import JdbcTarget, load_tables
 from statforge.sources.files import read_layer, scan_csv, source_inventory, verify_layer
 from statforge.sources.kafka import kafka_options, sasl_ssl
@@ -210,6 +211,10 @@ def test_pipeline_from_csv(spark, folder):
     assert stages["views"]["report"]["mvw_position_statistics"] >= 1
     verdict = stages["validation"]["report"]
     assert verdict["errors"] == 0 and verdict["passed"]
+    log = FindingsLog(spark, f"{folder}/out/quality/results")
+    assert log.runs() == [1] and {(t, "readable") for t in GOLD_TABLES} | {(v, "stored") for v in SNAPSHOT_VIEWS} <= set(found(log.read()))
+    sources = report_sources(spark, f"{folder}/out/bronze", f"{folder}/out/quality/sources", B.AS_OF)
+    assert sources["errors"] > 0 and found(FindingsLog(spark, f"{folder}/out/quality/sources").read())["player_profiles", "unique(player_id)"] == 10
     direct = B.profile_360(t)
     stored = read_layer(spark, f"{folder}/out/gold", "player_analytics_360")
     same = ["player_rank", "overall_player_score", "total_goals", "peak_market_value", "injury_risk_level", "total_transfer_fees"]
@@ -217,3 +222,69 @@ def test_pipeline_from_csv(spark, folder):
     assert spark.table("vw_top_players").count() > 0
     with pytest.raises(StageFailed):
         run_pipeline(spark, f"{folder}/nothing", f"{folder}/out2")
+
+
+def test_value_profile_and_families(spark):
+    data = [("1", "2024-01-31", "2.50", 1.0, 7), (" 2.0 ", "2024-02-30", "x", 2.5, 8), ("1.5", None, "1e3", None, None), (None, None, None, None, 9)]
+    df = spark.createDataFrame(data, "`a.i` string, d string, f string, x double, n bigint")
+    families = {"a.i": Q.INT, "d": Q.DATE, "f": Q.FLOAT, "x": Q.INT, "gone": Q.INT}
+    out = {r.column_name: r for r in Q.value_profile(df, "t", families).collect()}
+    assert [out[c].misfit_rows for c in df.columns] == [1, 1, 1, 1, None]
+    assert [out[c].null_pct for c in df.columns] == [25.0, 50.0, 25.0, 50.0, 25.0]
+    assert (out["f"].min_value, out["f"].max_value, out["f"].mean_value) == (2.5, 1000.0, 501.25)
+    assert (out["x"].min_value, out["x"].max_value, out["x"].mean_value) == (1.0, 2.5, 1.75)
+    assert out["n"].family is None and out["n"].mean_value is None and out["d"].max_value is None
+    empty = Q.value_profile(df.limit(0), "t", families).collect()
+    assert len(empty) == 5 and all(r.total_rows == 0 and r.null_pct is None and r.mean_value is None and not r.high_missing for r in empty)
+    plan = Q.value_profile(df, "t", families)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    rules = [*Q.missing_share("a.i", "d", over=0.4), *Q.family_rules(df, families)]
+    assert set(found(Q.check_rows(df, "t", rules)).values()) == {0, 1, 2} and len(rules) == 6
+    assert {r.table_name for r in Q.layer_profile({"p": df, "q": df}).collect()} == {"p", "q"}
+    with pytest.raises(ValueError):
+        Q.reads_as("d", "colour")
+
+
+def test_source_findings_take_one_scan(spark, folder):
+    spark.createDataFrame([("1", "s", None, "139", "2030-01-01")] * 3, "player_id string, player_slug string, player_name string, height string, date_of_birth string").write.parquet(f"{folder}/p")
+    rest = {"team_children": spark.createDataFrame([(None,), ("1",), (None,)], "parent_team_id string")}
+    out = found(checks.check_sources({"player_profiles": spark.read.parquet(f"{folder}/p"), **rest}, "2024-01-01"))
+    assert out["player_profiles", "missing(player_name)"] == 3 and out["player_profiles", "missing(height)"] == 0
+    assert out["team_children", "missing(parent_team_id)"] == 2 and out["player_profiles", "height reads as float"] == 0
+    plan = checks.check_sources({"player_profiles": spark.read.parquet(f"{folder}/p")})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2  # all row rules, and the unique key
+
+
+def test_findings_log(spark, folder):
+    log = FindingsLog(spark, f"{folder}/log")
+    for read in (log.read, log.history, log.changes):
+        with pytest.raises(FileNotFoundError):
+            read()
+    first = [("t", "fixed", Q.ERROR, 3, 9), ("t", "worse", Q.WARNING, 1, 9), ("t", "same", Q.INFO, 2, 9), ("t", "gone", Q.ERROR, 0, 9), ("t", "broken", Q.INFO, 0, 9), ("u", "better", Q.ERROR, 5, 9)]
+    second = [("t", "fixed", Q.ERROR, 0, 8), ("t", "worse", Q.ERROR, 2, 8), ("t", "same", Q.INFO, 2, 8), ("t", "new", Q.ERROR, 1, 8), ("t", "broken", Q.INFO, 4, 8), ("u", "better", Q.ERROR, 4, 8)]
+    assert log.record(spark.createDataFrame(first, Q.FINDING), dt.datetime(2024, 1, 1)) == 1
+    assert {r.state for r in log.changes().collect()} == {"NEW"}
+    assert log.record(spark.createDataFrame(second, Q.FINDING)) == 2
+    out = {r.rule: r for r in log.changes().collect()}
+    assert {rule: r.state for rule, r in out.items()} == {"fixed": "FIXED", "worse": "WORSE", "same": "SAME", "gone": "GONE", "broken": "BROKEN", "better": "BETTER", "new": "NEW"}
+    assert (out["worse"].severity, out["worse"].previous_bad_rows, out["worse"].total_rows) == (Q.ERROR, 1, 8) and out["gone"].bad_rows is None
+    assert log.history().groupBy("run").count().count() == 2 and log.read(1).count() == 6 and one(Q.verdict(log.read()))["errors"] == 3
+    # A run that was lost before its commit is not seen, and its number is not used again.
+    spark.createDataFrame(second, Q.FINDING).write.parquet(f"{folder}/log/run=00000003")
+    import os
+
+    os.remove(f"{folder}/log/run=00000003/_SUCCESS")
+    assert log.runs() == [1, 2] and log.record(spark.createDataFrame(first, Q.FINDING)) == 4
+    with pytest.raises(FileNotFoundError):
+        log.read(3)
+
+
+def test_stored_snapshots_and_layers_are_checked(spark, folder):
+    snap = Snapshot(spark, folder, "mv")
+    snap.refresh(spark.range(5))
+    assert found(checks.check_snapshots(spark, folder, ["mv", "none"])) == {("mv", "stored"): 0, ("mv", "has_rows"): 0, ("mv", "rows_changed"): 0, ("none", "stored"): 1, ("none", "has_rows"): 1, ("none", "rows_changed"): 0}
+    snap.refresh(spark.range(0))
+    assert found(checks.check_snapshots(spark, folder, ["mv"])) == {("mv", "stored"): 0, ("mv", "has_rows"): 1, ("mv", "rows_changed"): 5}
+    write_parquet(spark.range(4), f"{folder}/layer/a")
+    out = {r.table_name: (r.bad_rows, r.total_rows) for r in checks.check_layer(spark, f"{folder}/layer", ["a", "b"]).collect()}
+    assert out == {"a": (0, 4), "b": (1, 0)}
