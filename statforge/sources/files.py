@@ -17,10 +17,11 @@ def text_schema(columns: list[str] | tuple[str, ...]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _has_open_quotes(spark: SparkSession, paths: list[str]) -> bool:
-    """Whether a line has an odd number of quotes: only then can a field hold a line break. Stops at the first such line."""
+def _open_quoted_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Files with a line that has an odd number of quotes: only in these can a field hold a line break. One name per file."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(paths).where(quotes % 2 == 1).isEmpty()
+    found = spark.read.text(paths).where(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("path")).distinct()
+    return sorted(row["path"] for row in found.collect())
 
 
 def scan_csv(
@@ -34,7 +35,7 @@ def scan_csv(
     """CSV with a header, ``""`` as quote escape and quoted fields that may span lines.
 
     With ``multi_line`` a file is read by one task, without it in splits. By default (None) a parallel look at the text
-    decides for the whole table; pass False for large tables known to have no line breaks in fields. Without
+    decides for every file; pass False for large tables known to have no line breaks in fields. Without
     ``schema`` every header column is text, or inferred if ``infer``. Files whose header differs are refused when read.
     ``lineage`` adds the ingest time and the file each row came from.
     """
@@ -43,11 +44,21 @@ def scan_csv(
         schema = text_schema(spark.read.options(**_CSV).csv(paths).columns)
     elif schema is None:
         schema = spark.read.options(**_CSV, inferSchema="true", multiLine="true").csv(paths).schema
-    whole = _has_open_quotes(spark, paths) if multi_line is None else multi_line
-    rows = spark.read.options(**_CSV, enforceSchema="false", multiLine=str(whole).lower()).schema(schema).csv(paths)
+
+    def read(whole: bool) -> DataFrame:
+        reader = spark.read.options(**_CSV, enforceSchema="false", multiLine=str(whole).lower()).schema(schema)
+        return reader.csv(paths).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+
+    if multi_line is not None:
+        rows = read(multi_line)
+    else:
+        # The file filter is applied to the listing, so each file is read one way only.
+        whole_files = _open_quoted_files(spark, paths)
+        listed = F.col("_metadata.file_path").isin(whole_files)
+        rows = read(False) if not whole_files else read(False).where(~listed).unionByName(read(True).where(listed))
     if not lineage:
-        return rows
-    return rows.select("*", F.current_timestamp().alias(INGESTED_AT), F.col("_metadata.file_path").alias(SOURCE_FILE))
+        return rows.drop(SOURCE_FILE)
+    return rows.select(*(F.col(f"`{c}`") for c in rows.columns if c != SOURCE_FILE), F.current_timestamp().alias(INGESTED_AT), SOURCE_FILE)
 
 
 def read_layer(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -116,6 +116,24 @@ def test_csv_with_line_breaks_only_where_needed(spark, folder):
     assert rows(scan_csv(spark, f"{folder}/a.csv", "id int, note string", multi_line=True, lineage=False).where("id = 1")) == [(1, "two\nlines")]
 
 
+def test_only_files_with_line_breaks_are_read_whole(spark, folder):
+    put(f"{folder}/a b.csv", 'id,note\n1,"two\nlines"\n')
+    put(f"{folder}/plain.csv", "id,note\n" + "".join(f"{i},x{i}\n" for i in range(2, 4000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        df = scan_csv(spark, folder)
+        got = rows(df.select("id", "note", F.element_at(F.split("bronze_source_file", "/"), -1).alias("file")).where("id < 3"), "id")
+        assert got == [("1", "two\nlines", "a%20b.csv"), ("2", "x2", "plain.csv")] and df.count() == 3999
+        # One task for the small file with a line break, several for the other.
+        tasks = df.groupBy(F.spark_partition_id().alias("task")).agg(F.collect_set("bronze_source_file").alias("files")).collect()
+        assert len(tasks) > 4 and all(len(t.files) == 1 for t in tasks)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+
+
 def test_ingest_isolates_failures(spark, folder):
     import os
 
