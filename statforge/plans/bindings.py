@@ -264,6 +264,12 @@ def profile_360(t: Tables) -> DataFrame:
     return metrics.profile_360(silver(t, "player_profiles"), *parts, as_of=AS_OF, audit=False)
 
 
+def scored_profile(t: Tables) -> DataFrame:
+    """The profile without its ranks, for views that use none: nothing is sorted or stored for them."""
+    parts = (metric(t, name) for name in METRICS)
+    return metrics.scored_profile(silver(t, "player_profiles"), *parts, as_of=AS_OF)
+
+
 def gold(t: Tables) -> dict[str, DataFrame]:
     """All metric tables, each stored, as the serving views find them."""
     parts = {name: stored(metric(t, name), name) for name in METRICS}
@@ -385,6 +391,11 @@ def live_events(t: Tables) -> DataFrame:
 # ---- messages ------------------------------------------------------------------------------------------
 
 
+def _dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows spread by their key, as messages are over the partitions of a topic: a table of one small file would be one task."""
+    return df.repartition(*keys)
+
+
 def match_messages(t: Tables) -> DataFrame:
     """Orders as match messages (JSON text); every 50th is broken."""
     key = F.col("o_orderkey")
@@ -413,7 +424,7 @@ def match_messages(t: Tables) -> DataFrame:
         ).alias("score"),
     )
     text = F.to_json(body)
-    return t.orders.select(F.when(key % 50 == 0, F.substring(text, 1, 40)).otherwise(text).alias("value"))
+    return _dealt(t.orders, "o_orderkey").select(F.when(key % 50 == 0, F.substring(text, 1, 40)).otherwise(text).alias("value"))
 
 
 def competition_messages(t: Tables) -> DataFrame:
@@ -474,7 +485,7 @@ def standings_messages(t: Tables) -> DataFrame:
         F.struct(F.when(key % 9 != 0, F.lit(2024)).alias("id"), F.lit("2024-01-01").alias("startDate")).alias("season"),
         F.when(key % 13 != 0, tables).alias("standings"),
     )
-    return t.lineitem.select(F.to_json(body).alias("value"))
+    return _dealt(t.lineitem, "l_orderkey", "l_linenumber").select(F.to_json(body).alias("value"))
 
 
 def standings_file_messages(t: Tables) -> DataFrame:

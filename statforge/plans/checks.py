@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -248,6 +249,60 @@ SERVING_DECIMALS = {
 }
 
 
+# Column types of the serving database.
+SERVING_TYPES = {
+    "player_form_metrics": """
+        player_id bigint, total_seasons int, total_appearances int, total_minutes_played int, total_goals int, total_assists int,
+        goal_contributions int, avg_goals_per_season decimal(10,2), avg_assists_per_season decimal(10,2), best_goals_season int,
+        best_assists_season int, goals_per_90min decimal(10,4), assists_per_90min decimal(10,4), total_yellow_cards int,
+        total_red_cards int""",
+    "market_value_trends": """
+        player_id bigint, peak_market_value bigint, latest_market_value bigint, lowest_market_value bigint, avg_market_value bigint,
+        value_volatility bigint, value_records_count int, latest_valuation_timestamp date""",
+    "injury_risk_scores": """
+        player_id bigint, total_injuries int, total_days_missed int, total_games_missed int, avg_days_per_injury decimal(10,2),
+        avg_games_per_injury decimal(10,2), longest_injury_days int, longest_injury_games int, injury_severity_score decimal(10,2),
+        injury_risk_level varchar(20)""",
+    "transfer_intelligence": """
+        player_id bigint, total_transfers int, total_transfer_fees bigint, avg_transfer_fee bigint, highest_transfer_fee bigint,
+        avg_value_at_transfer bigint, transfer_frequency decimal(10,2), transfer_value_trend varchar(20), last_transfer_date date""",
+    "player_analytics_360": """
+        player_id bigint, player_name varchar(255), date_of_birth date, age int, player_main_position varchar(50),
+        citizenship varchar(100), current_club_id bigint, height int, foot varchar(20), total_appearances int, total_goals int,
+        total_assists int, goals_per_90min decimal(10,4), assists_per_90min decimal(10,4), goal_contributions int,
+        avg_goals_per_season decimal(10,2), avg_assists_per_season decimal(10,2), peak_market_value bigint,
+        latest_market_value bigint, avg_market_value bigint, value_volatility bigint, latest_valuation_timestamp date,
+        total_injuries int, total_days_missed int, injury_severity_score decimal(10,2), injury_risk_level varchar(20),
+        total_transfers int, total_transfer_fees bigint, avg_transfer_fee bigint, last_transfer_date date,
+        performance_score decimal(10,2), market_score decimal(10,2), health_score decimal(10,2), overall_player_score decimal(10,2),
+        player_rank int, player_rank_percentile decimal(5,2)""",
+}
+
+
+def declared(table: str) -> dict[str, str]:
+    """The declared column types of a serving table, by column."""
+    parts = re.findall(r"(\w+) (\w+(?:\([\d,]+\))?)", SERVING_TYPES[table])
+    return dict(parts)
+
+
+def check_declared(df: DataFrame, table: str) -> DataFrame:
+    """Findings of a metric table against its declared types, in one scan.
+
+    A missing column counts every row. Of the others it counts values that the declared type can't hold: numbers out of its range, text
+    that is too long or doesn't read as the type. Rounding to the declared decimals is no finding; NULL fits every type.
+    """
+    rules = []
+    for column, kind in declared(table).items():
+        if column not in df.columns:
+            rules.append(Rule(f"has({column} {kind})", F.lit(True), ERROR))
+            continue
+        limit = re.fullmatch(r"varchar\((\d+)\)", kind)
+        value = F.col(column)
+        lost = F.length(value.cast("string")) > int(limit[1]) if limit else value.isNotNull() & value.try_cast(kind).isNull()
+        rules.append(Rule(f"fits({column} {kind})", lost, ERROR))
+    return Q.check_rows(df, table, rules)
+
+
 def serving_types(df: DataFrame) -> DataFrame:
     """A metric table with the decimal types of the serving database."""
     wanted = {c: t for c, t in SERVING_DECIMALS.items() if c in df.columns}
@@ -277,10 +332,11 @@ def validate(
     views: Mapping[str, DataFrame] | None = None,
     expected_rows: Mapping[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
-    """Findings over the finished tables: types, ranges, NULLs, duplicates, references, views, and sizes where ranges are given."""
+    """Findings over the finished tables: types, values that the declared types can't hold, ranges, NULLs, duplicates, references, views, and sizes where ranges are given."""
     found = [Q.check_rows(gold[t], t, rules) for t, rules in range_rules().items() if t in gold]
     profile = gold["player_analytics_360"]
     found.append(Q.expected_types(serving_types(profile), "player_analytics_360", PRECISION))
+    found += [check_declared(df, t) for t, df in gold.items() if t in SERVING_TYPES]
     found.append(Q.duplicate_keys(profile, "player_analytics_360", ["player_id"], ERROR))
     if "player_performances" in silver:
         found.append(

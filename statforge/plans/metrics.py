@@ -8,7 +8,7 @@ aggregation partitioned by it, so the joins of ``profile_360`` need no further s
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -267,6 +267,42 @@ def join_metrics(
     return joined
 
 
+def _scored_rows(profiles: DataFrame, metrics: Sequence[DataFrame], as_of: dt.date | str | None) -> DataFrame:
+    """All players with their metrics, age and scores."""
+    wanted = [
+        KEY,
+        "player_name",
+        "date_of_birth",
+        F.col("position").alias("player_main_position"),
+        "citizenship",
+        "current_club_id",
+        "height",
+        "foot",
+    ]
+    rows = join_metrics(profiles.select(*wanted), *metrics)
+    return add_scores(rows.withColumn("age", E.age_years("date_of_birth", as_of)))
+
+
+def _shown(rows: DataFrame) -> DataFrame:
+    """Players with an id and a name, in the columns and types of the combined profile (those of its columns that ``rows`` has)."""
+    named = rows.where(F.col("player_name").isNotNull() & F.col(KEY).isNotNull())
+    return named.select(
+        *(F.col(n) if t is None else F.col(n).try_cast(t).alias(n) for n, t in PROFILE_360_COLUMNS if n in rows.columns)
+    )
+
+
+def scored_profile(
+    profiles: DataFrame,
+    form: DataFrame,
+    values: DataFrame,
+    injuries: DataFrame,
+    transfers: DataFrame,
+    as_of: dt.date | str | None = None,
+) -> DataFrame:
+    """The combined profile without rank and percentile: one plan of joins, with nothing sorted or stored, and columns pruned."""
+    return _shown(_scored_rows(profiles, (form, values, injuries, transfers), as_of))
+
+
 def profile_360(
     profiles: DataFrame,
     form: DataFrame,
@@ -282,26 +318,9 @@ def profile_360(
     Ranks are given before players without a name are dropped, so those leave gaps. Ranking reads its
     input twice (to count and to place), so the joined rows are written once with ``materialise``.
     """
-    wanted = [
-        KEY,
-        "player_name",
-        "date_of_birth",
-        F.col("position").alias("player_main_position"),
-        "citizenship",
-        "current_club_id",
-        "height",
-        "foot",
-    ]
-    rows = join_metrics(profiles.select(*wanted), form, values, injuries, transfers)
-    rows = materialise(add_scores(rows.withColumn("age", E.age_years("date_of_birth", as_of))))
+    rows = materialise(_scored_rows(profiles, (form, values, injuries, transfers), as_of))
     ranked = global_rank(rows, "overall_player_score", KEY, "player_rank", "player_rank_percentile")
-    named = ranked.where(F.col("player_name").isNotNull() & F.col(KEY).isNotNull())
-    return _stamped(
-        named.select(
-            *(F.col(n) if t is None else F.col(n).try_cast(t).alias(n) for n, t in PROFILE_360_COLUMNS)
-        ),
-        audit,
-    )
+    return _stamped(_shown(ranked), audit)
 
 
 def latest_value(values: DataFrame) -> DataFrame:

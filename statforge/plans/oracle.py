@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from statforge.plans.checks import declared
+
 CTES: dict[str, str] = {}
 
 
@@ -293,6 +295,8 @@ CTES["live"] = """
          ELSE 'DRAW' END AS match_result,
     'V' || (user_id % 5) AS venue, event_type <> 'signup' AS is_live
   FROM events"""
+_SCORE = """'{' || CASE WHEN o_orderstatus <> 'F' THEN '' WHEN o_orderkey % 2 = 0 THEN '"winner":"HOME_TEAM",' ELSE '"winner":"AWAY_TEAM",' END
+      || '"fullTime":{' || CASE WHEN o_orderkey % 6 <> 0 THEN '"home":' || (o_orderkey % 6) || ',' ELSE '' END || '"away":' || (o_orderkey % 4) || '}}'"""
 CTES["matches"] = f"""
   SELECT o_orderkey AS match_id, {_ts('o_orderdate + INTERVAL 7 HOUR')} AS utc_date, '2024-01-02 10:04:05.000000' AS last_updated,
     CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'IN_PLAY' ELSE 'SCHEDULED' END AS status,
@@ -311,7 +315,17 @@ CTES["matches"] = f"""
     '{{"id":"' || (o_orderkey % 5) || '","name":"Area"}}' AS area_details,
     '{{"id":"' || (o_orderkey % 7) || '","name":"Cup ' || (o_orderkey % 7) || '"}}' AS competition_details,
     '{{"id":"' || (o_orderkey % 20) || '","name":"Home ' || (o_orderkey % 20) || '","crest":"c/' || (o_orderkey % 20) || '"}}' AS home_team_details,
-    '{{"id":"' || o_custkey || '","name":"Away ' || o_custkey || '"}}' AS away_team_details, CAST(NULL AS VARCHAR) AS referees
+    '{{"id":"' || o_custkey || '","name":"Away ' || o_custkey || '"}}' AS away_team_details, CAST(NULL AS VARCHAR) AS referees,
+    '{{"id":"' || year(o_orderdate) || '","startDate":"' || year(o_orderdate) || '-01-01","endDate":"bad","winner":"{{\\"id\\":3}}"}}' AS season_details,
+    {_SCORE} AS score_details,
+    '{{"id":' || o_orderkey || ',"utcDate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') || '","status":"'
+      || CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'IN_PLAY' ELSE 'SCHEDULED' END || '"'
+      || CASE WHEN o_orderkey % 3 = 0 THEN ',"matchday":' || (o_orderkey % 38) ELSE '' END
+      || CASE WHEN o_orderkey % 4 = 0 THEN ',"stage":"REGULAR_SEASON"' ELSE '' END || ',"lastUpdated":"2024-01-02T03:04:05Z","area":{{"id":'
+      || (o_orderkey % 5) || ',"name":"Area"}},"competition":{{"id":' || (o_orderkey % 7) || ',"name":"Cup ' || (o_orderkey % 7) || '"}},"season":{{"id":'
+      || year(o_orderdate) || ',"startDate":"' || year(o_orderdate) || '-01-01","endDate":"bad","winner":{{"id":3}}}},"homeTeam":{{"id":' || (o_orderkey % 20)
+      || ',"name":"Home ' || (o_orderkey % 20) || '","crest":"c/' || (o_orderkey % 20) || '"}},"awayTeam":{{"id":' || o_custkey || ',"name":"Away ' || o_custkey
+      || '"}},"score":' || {_SCORE} || '}}' AS raw
   FROM orders WHERE o_orderkey % 50 <> 0 AND o_orderkey % 31 <> 0"""
 CTES["table_rows"] = """
   SELECT *, CASE WHEN l_returnflag = 'R' THEN 'TOTAL' END AS kind, 1 AS place, l_suppkey AS number, CAST(l_quantity AS BIGINT) AS pts FROM lineitem
@@ -483,6 +497,7 @@ _Q["high_value_low_risk"] = "SELECT * FROM safe ORDER BY peak_market_value DESC,
 _Q["transfer_opportunities"] = "SELECT * FROM opportunities ORDER BY opportunity_score DESC, overall_player_score DESC, player_id"
 _Q["position_stats"] = "SELECT * FROM by_position"
 _Q["positions_by_score"] = "SELECT * FROM by_position ORDER BY avg_overall_score DESC"
+_Q["positions_by_size"] = "SELECT * FROM by_position ORDER BY total_players DESC, player_main_position"
 _Q["age_groups"] = f"""
 SELECT CASE WHEN age < 21 THEN 'U21' WHEN age BETWEEN 21 AND 25 THEN '21-25' WHEN age BETWEEN 26 AND 30 THEN '26-30'
     WHEN age BETWEEN 31 AND 35 THEN '31-35' ELSE '35+' END AS age_group, count(*) AS total_players, {_COMMON},
@@ -524,13 +539,13 @@ WHERE h.standing_type = 'HOME' AND a.standing_type = 'AWAY'"""
 _Q["competition_rankings"] = "SELECT * FROM rankings"
 _Q["snapshot_refresh"] = "SELECT * FROM rankings"
 _Q["standings_filters"] = """
-SELECT season_id, group_name, position, team_name, played_games, points, goal_difference FROM standings
+SELECT * FROM standings
 WHERE standing_type = 'TOTAL' AND competition_code = 'AS' AND group_name = 'Group A'"""
 _Q["best_by_points"] = """
 SELECT team_name, competition_name, position, points, goal_difference FROM standings WHERE standing_type = 'TOTAL'
 ORDER BY points DESC, goal_difference DESC, competition_id, season_id, team_id LIMIT 10"""
 _Q["rankings_filter"] = """
-SELECT team_id, position, overall_rank, points, win_percentage FROM rankings WHERE competition_code = 'AM'
+SELECT * FROM rankings WHERE competition_code = 'AM'
 ORDER BY position, stage, group_name NULLS LAST, team_id LIMIT 20"""
 _Q["current_live"] = f"""
 SELECT match_id, competition_name, home_team_name, away_team_name, home_score, away_score, total_goals,
@@ -548,7 +563,7 @@ SELECT competition_name, competition_code, count(DISTINCT match_id) AS total_mat
   count(*) FILTER (WHERE is_live) AS currently_live
 FROM live GROUP BY competition_name, competition_code"""
 _Q["interval_filter"] = f"""
-SELECT match_id, {_ts('event_timestamp')} AS event_timestamp, status FROM live
+SELECT * REPLACE ({_ts('event_timestamp')} AS event_timestamp) FROM live
 WHERE event_timestamp > TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 6 HOUR"""
 _Q["retention"] = f"""
 SELECT event_id, {_ts('ts')} AS ts, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 7 DAY"""
@@ -576,12 +591,12 @@ FROM customer WHERE c_custkey % 11 <> 0"""
 _Q["competitions_load"] = _Q["json_competition"]
 _Q["json_standings"] = "SELECT * FROM flat_standings"
 _Q["live_match_line"] = """
-SELECT match_id, home_team_name || ' ' || ft_home_goals || '-' || ft_away_goals || ' ' || away_team_name AS match, competition_name, status
+SELECT match_id, home_team_name || ' ' || ft_home_goals || '-' || ft_away_goals || ' ' || away_team_name AS match, competition_name, status, last_updated
 FROM matches WHERE status = 'IN_PLAY'"""
 _Q["home_wins"] = """
 SELECT home_team_name, count(*) AS matches, CAST(sum(CASE WHEN winner = 'HOME_TEAM' THEN 1 ELSE 0 END) AS BIGINT) AS wins
 FROM matches GROUP BY home_team_name"""
-_Q["home_matches"] = "SELECT match_id, utc_date, winner FROM matches WHERE home_team_name = 'Home 3' AND status = 'FINISHED'"
+_Q["home_matches"] = "SELECT * FROM matches WHERE home_team_name = 'Home 3' AND status = 'FINISHED'"
 _Q["team_logos"] = "SELECT match_id, home_team_name, 'c/' || home_team_id AS logo_url FROM matches"
 _Q["upsert_last_writer"] = f"""
 SELECT user_id, {_ts('ts')} AS ts, event_id, event_type, _batch FROM event_batches
@@ -594,8 +609,8 @@ SELECT competition_id, season_id, stage, standing_type, team_id,
   CASE WHEN standing_type = 'AWAY' THEN group_name ELSE COALESCE(group_name, '') END AS group_name, position,
   points + CASE WHEN standing_type = 'AWAY' THEN 0 ELSE 1000 END AS points
 FROM standings"""
-_Q["upsert_partial"] = """
-SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice,
+_Q["upsert_partial"] = f"""
+SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice, {_ts('o_orderdate')} AS o_orderdate,
   CASE WHEN o_orderstatus = 'P' THEN 'NEW' ELSE o_orderpriority END AS o_orderpriority
 FROM orders"""
 # The flattened newest message of every user; all columns but the time of processing.
@@ -666,8 +681,7 @@ SELECT s_suppkey AS competition_id, s_name AS competition_name, CAST(NULL AS VAR
   CAST(0 AS BIGINT) AS goal_difference, CASE WHEN s_suppkey % 5 = 0 THEN 'WDL' END AS form
 FROM supplier CROSS JOIN (VALUES (CAST(1 AS BIGINT)), (CAST(2 AS BIGINT))) AS places(place) WHERE (s_suppkey * 2 + place) % 7 <> 0"""
 _Q["standings_from_files"] = """
-SELECT competition_id, season_id, stage, standing_type, team_id, group_name,
-  CASE WHEN known THEN 'old' ELSE competition_name END AS competition_name, position, points, won, team_name
+SELECT * EXCLUDE (known, rn) REPLACE (CASE WHEN known THEN 'old' ELSE competition_name END AS competition_name)
 FROM (SELECT *, bool_or(points % 2 = 0) OVER k AS known,
     row_number() OVER (PARTITION BY competition_id, season_id, stage, standing_type, team_id, group_name
       ORDER BY points % 3 DESC, position, played_games, points) AS rn
@@ -937,6 +951,16 @@ def _constraints() -> list[str]:
     return out
 
 
+def _fits() -> list[str]:
+    out = []
+    for table, cte in _GOLD.items():
+        for column, kind in declared(table).items():
+            longest = kind.removeprefix("varchar(").rstrip(")")
+            lost = f"length({column}) > {longest}" if longest.isdigit() else f"{column} IS NOT NULL AND TRY_CAST({column} AS {kind}) IS NULL"
+            out.append(_rule(cte, table, f"fits({column} {kind})", lost))
+    return out
+
+
 _Q["constraint_checks"] = _all(*_constraints())
 _Q["quality_verdict"] = f"""
 SELECT count(*) FILTER (WHERE bad_rows > 0 AND severity = 'ERROR') AS errors,
@@ -959,6 +983,7 @@ _Q["range_checks"] = _all(
         _schema_row("player_analytics_360", r)
         for r in ("goals_per_90min decimal(10,4)", "height int", "peak_market_value bigint", "performance_score decimal(10,2)")
     ),
+    *_fits(),
     _unique("profile", "player_analytics_360", "player_id"),
     _unique("performances", "player_performances", "player_id,season_name", "WARNING"),
     _rule("profile", "player_analytics_360", "references(player_id)", "player_id NOT IN (SELECT player_id FROM profiles)"),

@@ -273,12 +273,12 @@ def top_players(t):
 
 @query
 def high_value_low_risk(t):
-    return views.high_value_low_risk(B.profile_360(t))
+    return views.high_value_low_risk(B.scored_profile(t))
 
 
 @query
 def transfer_opportunities(t):
-    return views.transfer_opportunities(B.profile_360(t), B.metric(t, "transfer_intelligence"))
+    return views.transfer_opportunities(B.scored_profile(t), B.metric(t, "transfer_intelligence"))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -289,12 +289,12 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query
 def position_stats(t):
-    return _rounded(views.position_statistics(B.profile_360(t)))
+    return _rounded(views.position_statistics(B.scored_profile(t)))
 
 
 @query
 def age_groups(t):
-    return _rounded(views.age_group_analysis(B.profile_360(t)))
+    return _rounded(views.age_group_analysis(B.scored_profile(t)))
 
 
 @query
@@ -316,12 +316,17 @@ def young_opportunities(t):
 
 @query
 def valuable_safe_players(t):
-    return views.valuable_safe_players(views.high_value_low_risk(B.profile_360(t)))
+    return views.valuable_safe_players(views.high_value_low_risk(B.scored_profile(t)))
 
 
 @query
 def positions_by_score(t):
-    return _rounded(views.positions_by_score(views.position_statistics(B.profile_360(t))))
+    return _rounded(views.positions_by_score(views.position_statistics(B.scored_profile(t))))
+
+
+@query
+def positions_by_size(t):
+    return _rounded(views.positions_by_size(views.position_statistics(B.scored_profile(t))))
 
 
 # ---- standings --------------------------------------------------------------------------------------------
@@ -332,6 +337,11 @@ def _leaderboards(t: Tables) -> DataFrame:
     return stored(B.standings(t), "leaderboards")
 
 
+def _competitions(t: Tables) -> DataFrame:
+    """The competitions as a stored table, likewise."""
+    return stored(B.competitions(t), "competitions")
+
+
 @query
 def league_table(t):
     return B.standings(t)
@@ -339,33 +349,32 @@ def league_table(t):
 
 @query
 def current_standings(t):
-    return views.current_standings(_leaderboards(t), B.competitions(t))
+    return views.current_standings(_leaderboards(t), _competitions(t))
 
 
 @query
 def top_teams(t):
-    return views.top_teams(_leaderboards(t), B.competitions(t))
+    return views.top_teams(_leaderboards(t), _competitions(t))
 
 
 @query
 def conditional_left_join(t):
-    return views.competition_summary(_leaderboards(t), B.competitions(t))
+    return views.competition_summary(_leaderboards(t), _competitions(t))
 
 
 @query
 def home_away(t):
-    return views.home_away(_leaderboards(t), B.competitions(t))
+    return views.home_away(_leaderboards(t), _competitions(t))
 
 
 @query
 def competition_rankings(t):
-    return views.competition_rankings(_leaderboards(t), B.competitions(t), audit=False)
+    return views.competition_rankings(_leaderboards(t), _competitions(t), audit=False)
 
 
 @query
 def standings_filters(t):
-    rows = views.standings_of(_leaderboards(t), competition_code="AS", group_name="Group A")
-    return rows.select("season_id", "group_name", "position", "team_name", "played_games", "points", "goal_difference")
+    return views.standings_of(_leaderboards(t), competition_code="AS", group_name="Group A")
 
 
 @query
@@ -375,15 +384,15 @@ def best_by_points(t):
 
 @query
 def rankings_filter(t):
-    ranked = views.competition_rankings(_leaderboards(t), B.competitions(t), audit=False)
-    return views.rankings_of(ranked, "AM").select("team_id", "position", "overall_rank", "points", "win_percentage")
+    ranked = views.competition_rankings(_leaderboards(t), _competitions(t), audit=False)
+    return views.rankings_of(ranked, "AM")
 
 
 @query
 def snapshot_refresh(t):
     """Refresh a snapshot twice; readers see the second version."""
     stored = Snapshot(t.spark, scratch(t.spark, "snapshots"), "mv_competition_rankings")
-    ranked = views.competition_rankings(_leaderboards(t), B.competitions(t), audit=False)
+    ranked = views.competition_rankings(_leaderboards(t), _competitions(t), audit=False)
     stored.refresh(ranked.withColumn("overall_rank", -F.col("overall_rank")))
     stored.refresh(ranked)
     return stored.read()
@@ -409,9 +418,7 @@ def competition_live_summary(t):
 
 @query
 def interval_filter(t):
-    return views.recent_events(B.live_events(t), "2024-01-20 12:00:00", "6 hours").select(
-        "match_id", "event_timestamp", "status"
-    )
+    return views.recent_events(B.live_events(t), "2024-01-20 12:00:00", "6 hours")
 
 
 @query
@@ -443,8 +450,7 @@ def json_props(t):
 
 @query
 def json_match(t):
-    rows = M.flatten_match(M.parse(B.match_messages(t), M.MATCH), audit=False)
-    return rows.drop("raw", "season_details", "score_details")
+    return _matches(t)
 
 
 @query
@@ -496,7 +502,7 @@ def _matches(t: Tables) -> DataFrame:
 
 @query
 def live_match_line(t):
-    return views.live_lines(_matches(t)).select("match_id", "match", "competition_name", "status")
+    return views.live_lines(_matches(t))
 
 
 @query
@@ -506,7 +512,7 @@ def home_wins(t):
 
 @query
 def home_matches(t):
-    return views.home_matches(_matches(t), "Home 3").select("match_id", "utc_date", "winner")
+    return views.home_matches(_matches(t), "Home 3")
 
 
 @query
@@ -545,8 +551,8 @@ def upsert_null_key(t):
 
 @query
 def upsert_partial(t):
-    old = t.orders.where("o_orderstatus <> 'P'").drop("o_orderdate")
-    new = t.orders.drop("o_orderdate").withColumns(
+    old = t.orders.where("o_orderstatus <> 'P'")
+    new = t.orders.withColumns(
         {"o_totalprice": F.col("o_totalprice") + 1, "o_orderstatus": F.lit("X"), "o_orderpriority": F.lit("NEW")}
     )
     return U.upsert(old, new, ["o_orderkey"], update_columns=["o_totalprice", "o_orderstatus"])
@@ -560,8 +566,7 @@ def standings_from_files(t):
     files = rows.withColumn("file", F.concat(F.lit("f"), (F.col("points") % 3).cast("string")))
     state = rows.where("points % 2 = 0").withColumns({"competition_name": F.lit("old"), "won": F.lit(7)})
     state = U.newest_in_batch(state, views.STANDING_KEY, None, ["group_name"])
-    out = load_standings_files(state, files, "file")
-    return out.select(*views.STANDING_KEY, "competition_name", "position", "points", "won", "team_name")
+    return load_standings_files(state, files, "file").drop("processed_at")
 
 
 @query
@@ -738,7 +743,7 @@ def constraint_checks(t):
     serving = {
         "matches": stored(_matches(t), "matches"),
         "live_events": stored(B.live_events(t), "live_events"),
-        "competitions": B.competitions(t),
+        "competitions": _competitions(t),
         "leaderboards": _leaderboards(t),
     }
     return checks.check_constraints(B.gold(t) | serving)

@@ -306,3 +306,17 @@ def test_stored_snapshots_and_layers_are_checked(spark, folder):
     write_parquet(spark.range(4), f"{folder}/layer/a")
     out = {r.table_name: (r.bad_rows, r.total_rows) for r in checks.check_layer(spark, f"{folder}/layer", ["a", "b"]).collect()}
     assert out == {"a": (0, 4), "b": (1, 0)}
+
+
+def test_declared_types_count_values_that_do_not_fit(spark):
+    rows = spark.sql(
+        "SELECT * FROM VALUES (1L, 'A', 2147483648L, 1e9D), (2L, repeat('x', 256), 5L, 0.126D), (NULL, NULL, NULL, NULL)"
+        " AS t(player_id, player_name, total_goals, performance_score)"
+    )
+    found = {r["rule"]: r["bad_rows"] for r in checks.check_declared(rows, "player_analytics_360").collect()}
+    assert found["fits(player_id bigint)"] == 0
+    assert found["fits(player_name varchar(255))"] == 1
+    assert found["fits(total_goals int)"] == 1
+    assert found["fits(performance_score decimal(10,2))"] == 1
+    assert found["has(age int)"] == 3
+    assert len(found) == len(checks.declared("player_analytics_360")) == 36
