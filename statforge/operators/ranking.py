@@ -33,11 +33,15 @@ def numbered(df: DataFrame, order: Sequence[Column], out: str = "__number") -> D
     return found.withColumn(out, F.col("__before") + inside).drop("__row", "__task", "__before")
 
 
+def _same(pairs: Sequence[tuple[str, str]]) -> Column:
+    """Equality of the pairs of columns; NULL equals NULL."""
+    return reduce(Column.__and__, (F.col(a).eqNullSafe(F.col(b)) for a, b in pairs), F.lit(True))
+
+
 def _first_number(rows: DataFrame, by: Sequence[str], out: str) -> DataFrame:
     """``rows`` with the least row number among rows that are equal in ``by`` (NULL equals NULL)."""
     least = rows.groupBy(*(F.col(c).alias(f"__{out}{i}") for i, c in enumerate(by))).agg(F.min("__number").alias(out))
-    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"__{out}{i}")) for i, c in enumerate(by)))
-    return rows.join(least, same).drop(*(f"__{out}{i}" for i in range(len(by))))
+    return rows.join(least, _same([(c, f"__{out}{i}") for i, c in enumerate(by)])).drop(*(f"__{out}{i}" for i in range(len(by))))
 
 
 def _spread(df: DataFrame) -> Column:
@@ -50,8 +54,15 @@ def partition_rank(df: DataFrame, parts: Sequence[str], best_first: Sequence[str
     """``RANK()`` over (partition by ``parts`` order by every ``best_first`` column descending). NULL sort values are ranked last."""
     order = [*(F.col(p).asc_nulls_first() for p in parts), *(F.col(c).desc_nulls_last() for c in best_first)]
     rows = numbered(df.withColumn("__spread", _spread(df)), [*order, F.col("__spread").asc()])
-    rows = _first_number(_first_number(rows, [*parts, *best_first], "__tied"), parts, "__start")
-    return rows.select(*df.columns, (F.col("__tied") - F.col("__start") + 1).cast("int").alias(out))
+    keys = [*parts, *best_first]
+    # Both first numbers come from the distinct sort values, so the rows themselves are joined once.
+    tied = rows.groupBy(*(F.col(c).alias(f"__k{i}") for i, c in enumerate(keys))).agg(F.min("__number").alias("__tied"))
+    start = tied.groupBy(*(F.col(f"__k{i}").alias(f"__p{i}") for i in range(len(parts)))).agg(F.min("__tied").alias("__start"))
+    places = tied.join(start, _same([(f"__k{i}", f"__p{i}") for i in range(len(parts))])).select(
+        *(f"__k{i}" for i in range(len(keys))), (F.col("__tied") - F.col("__start") + 1).cast("int").alias("__place")
+    )
+    placed = rows.join(places, _same([(c, f"__k{i}") for i, c in enumerate(keys)]))
+    return placed.select(*df.columns, F.col("__place").alias(out))
 
 
 def global_rank(
