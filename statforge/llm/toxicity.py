@@ -8,7 +8,9 @@ in which a vote depends on the label and on one other vote. A voter that says no
 beside a related voter that spoke. The share of toxic documents is taken from the labels. The model's posterior labels then train a linear classifier on the
 documents' word features, which scores every document.
 
-The lexicons, and the voters' records that the label model starts from, come from labelled documents outside the held-out fold.
+All documents vote, with or without a label, and the label model is fitted to their votes: one scan that counts the few thousand patterns of votes. The lexicons, and
+the voters' records that the label model starts from, come from labelled documents outside the held-out fold; these records count ``anchor`` times in the
+model's later tables, beside all documents (0: they are a start only).
 
 Defined results: NULL and empty text get the score of no evidence. A label other than 0 or 1 is ignored; of several labels of a document the least counts.
 Without training rows of both labels the score is the smoothed share of toxic ones. Repeated rows are scored each.
@@ -35,6 +37,7 @@ KINDS = ("word", "start4", "start5", "end4")
 THRESHOLD = 0.5
 _SIZE = len(KINDS) << BITS
 _MOST_KEPT = 200_000
+ANCHOR = 0.1
 _MARKS = string.punctuation + "¿¡…–—„“”«»"
 
 # Common insults.
@@ -77,7 +80,8 @@ def traits(text: str) -> list[int]:
 class Voters:
     """Votes from features and traits. A lexicon is a mask over buckets; its wide form decides who is clean."""
 
-    def __init__(self, toxic: np.ndarray, clean: np.ndarray, strict: float = 3.5, wide: float = 1.5, least: float = 3):
+    def __init__(self, toxic: np.ndarray, clean: np.ndarray, strict: float = 3.5, wide: float = 1.5, least: float = 3, rare: float = 0.004):
+        self.rare = rare
         ratio = np.log((toxic + 0.1) / (toxic.sum() + 1)) - np.log((clean + 0.5) / (clean.sum() + 1))
         self.strict = (ratio >= strict) & (toxic >= least)
         self.wide = (ratio >= wide) & (toxic >= least)
@@ -85,55 +89,63 @@ class Voters:
     def votes(self, features: np.ndarray, marks: list[int]) -> list[int]:
         kinds = features >> BITS
         strict, wide = (np.bincount(kinds[mask[features]], minlength=len(KINDS)) for mask in (self.strict, self.wide))
+        sizes = np.bincount(kinds, minlength=len(KINDS))
         insults, address, threat, shout, capitals = marks
         out = []
-        for hits in strict.tolist():
-            out += [1 if hits else 0, 1 if hits > 2 else 0]
+        # One hit among hundreds of words says nothing: long texts have it by chance.
+        for hits, size in zip(strict.tolist(), sizes.tolist(), strict=True):
+            out += [1 if hits and hits >= self.rare * size else 0, 1 if hits > 2 else 0]
         out += [1 if insults else 0, 1 if insults > 1 else 0, 1 if address and insults else 0, 1 if threat else 0, 1 if shout else 0, 1 if capitals else 0]
         out += [-1 if not wide.any() else 0, -1 if not strict.any() and not insults else 0]
-        share = strict[0] / max(1, int((kinds == 0).sum()))
-        out.append(1 if share >= 0.01 else -1 if share < 0.004 else 0)
+        share = strict[0] / max(1, int(sizes[0]))
+        out.append(1 if share >= 0.01 else -1 if share < self.rare else 0)
         return out
 
 
 class LabelModel:
-    """P(label) and P(vote | label, vote of the parent voter), fitted to vote patterns; ``counts`` rows have each, ``toxic`` of them are labelled so."""
+    """P(label) and P(vote | label, vote of the parent voter), fitted to vote patterns.
 
-    def __init__(self, votes: np.ndarray, counts: np.ndarray, toxic: np.ndarray, rounds: int = 60, least_information: float = 0.02, anchor: float = 2.0):
+    ``counts`` documents have each pattern, with or without a label; ``labelled`` of them have one, and ``toxic`` of those are labelled so.
+    """
+
+    def __init__(self, votes: np.ndarray, counts: np.ndarray, labelled: np.ndarray, toxic: np.ndarray, rounds: int = 60, least_information: float = 0.02, anchor: float = ANCHOR):
         self.votes, self.counts = votes + 1, counts.astype("float64")  # 0, 1, 2
         number = votes.shape[1]
         self.parents = np.full(number, -1)
-        # It starts from the voters' records on the labels, and is held near them: they count ``anchor`` times in its tables.
-        self.share = float(toxic.sum() / counts.sum())
-        self.anchor, self.start = anchor, (toxic + self.share) / (counts + 1)
-        posterior = self._maximise(self.start, rounds)
-        self.parents = self._forest(posterior, least_information)
-        self.posterior = self._maximise(posterior, rounds)
+        self.share = float(toxic.sum() / labelled.sum())
+        # The first tables are the voters' records on the labels; later ones come from all documents, and the records count ``anchor`` times in them.
+        self.labels = np.stack([labelled - toxic, toxic]).astype("float64")
+        # The forest is found before any maximisation: without it, copies of one voter would outvote the others and draw the labels to them.
+        self.parents = self._forest(self._posterior(self._tables(self.labels)), least_information)
+        self.posterior = self._maximise(self._posterior(self._tables(self.labels)), rounds, anchor)
 
     def _above(self, j: int) -> np.ndarray:
         return self.votes[:, self.parents[j]] if self.parents[j] >= 0 else np.zeros(len(self.votes), int)
 
-    def _tables(self, posterior: np.ndarray) -> list[np.ndarray]:
-        """For each voter P(vote | label, parent's vote), smoothed."""
+    def _tables(self, weights: np.ndarray) -> list[np.ndarray]:
+        """For each voter P(vote | label, parent's vote), smoothed; ``weights`` are documents of each label by pattern."""
         out = []
         for j in range(self.votes.shape[1]):
             table = np.full((2, 3, 3), 0.5)
-            known = (posterior + self.anchor * self.start) / (1 + self.anchor)
-            for label, weight in ((0, 1 - known), (1, known)):
-                np.add.at(table[label], (self._above(j), self.votes[:, j]), weight * self.counts)
+            for label in (0, 1):
+                np.add.at(table[label], (self._above(j), self.votes[:, j]), weights[label])
             out.append(table / table.sum(2, keepdims=True))
         return out
 
-    def _maximise(self, posterior: np.ndarray, rounds: int) -> np.ndarray:
+    def _posterior(self, tables: list[np.ndarray]) -> np.ndarray:
+        """P(toxic | votes) of each pattern."""
+        odds = np.full(len(self.votes), np.log(self.share / (1 - self.share)))
+        for j, table in enumerate(tables):
+            above = self._above(j)
+            said = np.log(table[1, above, self.votes[:, j]]) - np.log(table[0, above, self.votes[:, j]])
+            # Silence tells something only next to a related voter that spoke.
+            odds += np.where((self.votes[:, j] == 1) & ((self.parents[j] < 0) | (above == 1)), 0.0, said)
+        return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
+
+    def _maximise(self, posterior: np.ndarray, rounds: int, anchor: float) -> np.ndarray:
         for _ in range(rounds):
-            tables = self._tables(posterior)
-            odds = np.full(len(self.votes), np.log(self.share / (1 - self.share)))
-            for j, table in enumerate(tables):
-                above = self._above(j)
-                said = np.log(table[1, above, self.votes[:, j]]) - np.log(table[0, above, self.votes[:, j]])
-                # Silence tells something only next to a related voter that spoke.
-                odds += np.where((self.votes[:, j] == 1) & ((self.parents[j] < 0) | (above == 1)), 0.0, said)
-            new = 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
+            weights = np.stack([1 - posterior, posterior]) * self.counts + anchor * self.labels
+            new = self._posterior(self._tables(weights))
             if np.abs(new - posterior).max() < 1e-6:
                 return new
             posterior = new
@@ -171,8 +183,18 @@ class LabelModel:
         return parents
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int, seed: int) -> Model | float:
-    """A classifier from at most ``fit_rows`` labelled documents outside the held-out fold, or a constant score."""
+def vote_patterns(docs: DataFrame, voters) -> DataFrame:
+    """(votes, count): how many of all documents vote alike. The voters tell some 20,000 patterns apart at most."""
+
+    def vote(texts):
+        evidence, own = Evidence(), voters.value
+        return {"votes": [",".join(map(str, own.votes(evidence.of(text), traits(text or "")))) for text in texts]}
+
+    return map_columns(docs.select("text"), "votes string", vote).groupBy("votes").agg(F.count("*").alias("count"))
+
+
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int, seed: int, anchor: float = ANCHOR) -> Model | float:
+    """A classifier from at most ``fit_rows`` labelled documents outside the held-out fold, or a constant score; the label model is fitted to the votes of all of ``docs``."""
 
     def work(ids, texts, targets):
         evidence = Evidence()
@@ -190,10 +212,11 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int, seed: int) -> Model
         return {"doc_id": ids, "features": features, "shard": shards, "target": targets, "votes": [",".join(map(str, v)) for v in own]}
 
     voted = checkpointed(map_columns(rows.select("doc_id", "features", "traits", "shard", "target"), "doc_id bigint, features array<int>, shard int, target double, votes string", vote), "votes")
-    # At most as many patterns as sampled rows.
-    patterns = voted.groupBy("votes").agg(F.count("*").alias("count"), F.sum("target").alias("toxic")).orderBy("votes").toArrow()
+    records = voted.groupBy("votes").agg(F.count("*").alias("labelled"), F.sum("target").alias("toxic"))
+    patterns = vote_patterns(docs, voters).join(records, "votes", "left").fillna(0).orderBy("votes").toArrow()
     names = patterns["votes"].to_pylist()
-    model = LabelModel(np.array([list(map(int, name.split(","))) for name in names]), patterns["count"].to_numpy(), patterns["toxic"].to_numpy())
+    votes = np.array([list(map(int, name.split(","))) for name in names])
+    model = LabelModel(votes, *(patterns[c].to_numpy() for c in ("count", "labelled", "toxic")), anchor=anchor)
     known = dict(zip(names, model.posterior.tolist(), strict=True))
 
     def label(ids, features, shards, votes):
@@ -207,12 +230,12 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int, seed: int) -> Model
     return fit(posterior, scale)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000, threshold: float = THRESHOLD, seed: int = 13) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000, threshold: float = THRESHOLD, seed: int = 13, anchor: float = ANCHOR) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``.
 
-    ``fit_rows`` bounds the labelled sample behind lexicons, label model and classifier; every document is scored over its whole text.
+    ``fit_rows`` bounds the labelled sample behind lexicons and classifier; every document votes for the label model and is scored, over its whole text.
     """
-    return scored(docs, train(docs, labels, fit_rows, seed), Evidence, threshold)
+    return scored(docs, train(docs, labels, fit_rows, seed, anchor), Evidence, threshold)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:

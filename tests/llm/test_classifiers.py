@@ -96,11 +96,48 @@ def test_label_model_learns_from_correlated_voters():
     poor = voter(0.6)
     votes = np.stack([voter(0.9), voter(0.85), poor, poor, poor, np.where(rng.random(4000) < 0.5, 0, voter(0.8))], 1)
     patterns, at, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
-    model = toxicity.LabelModel(patterns, counts, np.bincount(at, weights=truth & (rng.random(4000) < 0.9)))
+    model = toxicity.LabelModel(patterns, counts, counts, np.bincount(at, weights=truth & (rng.random(4000) < 0.9)))
     assert ((model.posterior[at] > 0.5) == truth).mean() > 0.9
     assert {frozenset((j, int(p))) for j, p in enumerate(model.parents) if p >= 0} <= {frozenset(e) for e in ((2, 3), (3, 4), (2, 4))}
 
 
+@pytest.mark.parametrize("anchor", [0.0, 0.1])
+def test_label_model_learns_from_documents_without_labels(anchor):
+    """A voter is silent on all labelled documents; how good it is, also where it alone speaks, follows from the others' votes."""
+    rng = np.random.default_rng(5)
+    number = 6000
+    truth, known = rng.random(number) < 0.3, np.arange(number) < 400
+
+    def voter(accuracy, silent):
+        return np.where(rng.random(number) < silent, 0, np.where(truth == (rng.random(number) < accuracy), 1, -1))
+
+    votes = np.stack([voter(0.9, 0.3), voter(0.85, 0.3), voter(0.8, 0.3), np.where(known, 0, voter(0.95, 0.1))], 1)
+    patterns, at, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    labelled, toxic = np.bincount(at, weights=known, minlength=len(counts)), np.bincount(at, weights=known & truth, minlength=len(counts))
+    model = toxicity.LabelModel(patterns, counts, labelled, toxic, anchor=anchor)
+    posterior = {tuple(p): x for p, x in zip(patterns.tolist(), model.posterior, strict=True)}
+    alone = (0, 0, 0, 1), (0, 0, 0, -1)
+    assert not any(labelled[patterns.tolist().index(list(p))] for p in alone)
+    assert posterior[alone[0]] > 0.75 and posterior[alone[1]] < 0.1
+
+
+def test_votes_of_all_documents_are_counted(spark, odd_docs, no_docs):
+    zeros = np.zeros(toxicity._SIZE)
+    voters = spark.sparkContext.broadcast(toxicity.Voters(zeros, zeros))
+    assert sum(r["count"] for r in toxicity.vote_patterns(odd_docs, voters).collect()) == odd_docs.count()
+    assert toxicity.vote_patterns(no_docs, voters).count() == 0
+
+
+def test_a_lexicon_hit_counts_by_its_share_of_the_words():
+    evidence = toxicity.Evidence()
+    toxic, clean = np.zeros(toxicity._SIZE), np.zeros(toxicity._SIZE)
+    toxic[evidence.of("zonk")], clean[evidence.of("other")] = 10, 1000
+    voters = toxicity.Voters(toxic, clean)
+    short, long = "zonk and more", "zonk " + " ".join(f"w{i}x" for i in range(1000))
+    assert voters.votes(evidence.of(short), toxicity.traits(short))[0] == 1
+    assert voters.votes(evidence.of(long), toxicity.traits(long))[0] == 0
+
+
 def test_indicators_tell_repetition_from_text():
     grams = quality.Indicators()
     plain, again = grams.of("one two three four five"), grams.of("one one one one one")
