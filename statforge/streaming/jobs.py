@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -61,18 +61,21 @@ def upsert_batches(
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: flatten, keep the newest change per key, record.
 
-    Errors are not caught: a failed batch fails the query and is run again after a restart. Messages are parsed
-    once; those that can't be read are stored beside the log. An empty batch writes an empty change set.
+    Errors are not caught: a failed batch fails the query and is run again after a restart. The parsed messages are not
+    kept: unreadable ones are counted while the changes are written, and only if there are any, the batch is read
+    again to store them beside the log. An empty batch writes an empty change set.
     """
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         carry = [c for c in ARRIVAL if c in batch.columns]
-        parsed = M.parse(batch, topic.schema, tuple(carry)).persist()
-        try:
-            table.apply(topic.flatten(parsed, carry=tuple(carry)), run, batch_id, arrival=carry)
+        parsed = M.parse(batch, topic.schema, tuple(carry))
+        broken = F.count_if(F.col(f"data.{topic.probe}").isNull()).alias("broken")
+        seen = None if table.covers(run, batch_id) else Observation()
+        counted = parsed if seen is None else parsed.observe(seen, broken)
+        table.apply(topic.flatten(counted, carry=tuple(carry)), run, batch_id, arrival=carry)
+        # A batch that the base holds is not written again, and a write of no rows may not count: then nothing is known.
+        if seen is None or seen.get.get("broken") != 0:
             table.quarantine(M.unreadable(parsed, topic.probe), run, batch_id)
-        finally:
-            parsed.unpersist()
         if compact_every and batch_id and batch_id % compact_every == 0:
             table.compact()
 

@@ -81,13 +81,17 @@ class UpsertTable:
         """
         if partial and self.update_columns is None:
             raise ValueError("a partial batch needs a table with update_columns")
-        if batch_id <= self._covered().get(run, -1):
+        if self.covers(run, batch_id):
             return 0  # a replay of what the base holds
         changes = U.newest_in_batch(batch, self.keys, self.newest, self.blank_null, arrival).drop(*arrival)
         number = self._number(run, int(batch_id))
         stamped = changes.withColumns({_SEQ: F.lit(number).cast("bigint"), U.PARTIAL: F.lit(partial)})
         return write_parquet(stamped, f"{self.root}/log/seq={number:012d}/writer={run}/batch={int(batch_id):012d}")
 
+    def covers(self, run: str, batch_id: int) -> bool:
+        """Whether the base holds this batch, so that ``apply`` passes a replay over."""
+        return batch_id <= self._covered().get(run, -1)
+
     def quarantine(self, messages: DataFrame, run: str, batch_id: int) -> None:
         """Store the unreadable messages of a batch, if any; a replay replaces them."""
         if not messages.isEmpty():

@@ -223,6 +223,30 @@ def test_stream_equals_batch_and_survives_a_restart(spark, folder):
     assert rows(other.current().select("match_id", "status"), "match_id") == shown()
 
 
+def test_batches_are_not_cached_and_lose_no_unreadable_message(spark, folder, monkeypatch):
+    """Parsed messages in the cache filled the executors' memory; without it, every unreadable one is still stored, once."""
+
+    def refused(*_):
+        raise AssertionError("a batch was cached")
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", refused)
+    monkeypatch.setattr(type(spark.range(1)), "cache", refused)
+    table = MATCHES.table(spark, f"{folder}/table")
+    apply = upsert_batches(MATCHES, table, table.run_for("x"), compact_every=0)
+    batches = [[match(1, 1)], ["broken", "no"], [match(2, 1), "half"], [], [None]]
+    for number, texts in enumerate(batches):
+        apply(spark.createDataFrame([(x,) for x in texts], "value string"), number)
+    expected = [("broken", 1), ("half", 2), ("no", 1), (None, 4)]
+    found = lambda: sorted(rows(table.unreadable().select("raw_json", "batch")), key=str)
+    assert found() == sorted(expected, key=str)
+    table.compact()
+    # Batch 2 is in the base now: a replay changes no row and stores its unreadable message again.
+    assert table.covers(table.run_for("x"), 2)
+    apply(spark.createDataFrame([(match(2, 9, "FINISHED"),), ("half",)], "value string"), 2)
+    assert found() == sorted(expected, key=str)
+    assert rows(table.current().select("match_id", "status"), "match_id") == [(1, "IN_PLAY"), (2, "IN_PLAY")]
+
+
 def test_two_topics_in_one_session(spark, folder):
     competition = json.dumps({"id": 1, "name": "L", "code": "L", "lastUpdated": "2024-01-01T00:00:00Z"})
     table_row = {"position": 1, "team": {"id": 5, "name": "T"}, "points": 3}
