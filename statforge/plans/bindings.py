@@ -427,8 +427,8 @@ def match_messages(t: Tables) -> DataFrame:
     return _dealt(t.orders, "o_orderkey").select(F.when(key % 50 == 0, F.substring(text, 1, 40)).otherwise(text).alias("value"))
 
 
-def competition_messages(t: Tables) -> DataFrame:
-    """Customers as competition messages: many small objects with optional parts."""
+def competition_messages(t: Tables, customers: DataFrame | None = None) -> DataFrame:
+    """Customers (all of them, if none are given) as competition messages: many small objects with optional parts."""
     key = F.col("c_custkey").cast("int")
     season = F.struct(
         key.alias("id"),
@@ -447,7 +447,7 @@ def competition_messages(t: Tables) -> DataFrame:
         F.when(key % 7 == 0, key % 50).alias("numberOfAvailableSeasons"),
         F.lit("2024-01-02T03:04:05Z").alias("lastUpdated"),
     )
-    return t.customer.select(F.to_json(body).alias("value"))
+    return (t.customer if customers is None else customers).select(F.to_json(body).alias("value"))
 
 
 def standings_messages(t: Tables) -> DataFrame:

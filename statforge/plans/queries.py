@@ -569,13 +569,30 @@ def standings_from_files(t):
     return load_standings_files(state, files, "file").drop("processed_at")
 
 
+def write_lots(t: Tables, make: Callable[[DataFrame], DataFrame], rows: DataFrame, keys: list[str], lots: int, path: str) -> DataFrame:
+    """The messages that ``make`` builds from ``rows``, written as files in ``lots`` writes, as a stream of that many micro-batches or more.
+
+    Rows are dealt by ``keys`` before they become text, which is many times as long: more rows make more and larger micro-batches' files, each
+    from one share of a shuffle of short rows, never a fixed number of files.
+    """
+    lot = F.pmod(F.xxhash64(*keys), F.lit(lots))
+    for number in range(lots):
+        make(rows.where(lot == number).repartition(*keys)).write.mode("append").parquet(path)
+    files = len(t.spark.read.schema("value string").parquet(path).inputFiles())
+    return t.spark.readStream.schema("value string").option("maxFilesPerTrigger", max(1, files // lots)).parquet(path)
+
+
+def _event_stream(t: Tables, events: DataFrame, lots: int, path: str) -> DataFrame:
+    """Messages of ``events`` as a stream of ``lots`` micro-batches or more."""
+    return write_lots(t, lambda rows: B.event_messages(t, rows), events, ["event_id", "user_id"], lots, path)
+
+
 @query
 def stream_upsert(t):
     """Messages written as files, read as a stream in several micro-batches, upserted and compacted."""
     spark = t.spark
     root = scratch(spark, "stream")
-    B.event_messages(t).repartition(4).write.parquet(f"{root}/in")
-    source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    source = _event_stream(t, t.events, 4, f"{root}/in")
     table = MATCHES.table(spark, f"{root}/table", U.LATEST_EVENT)
     run_until_done([start_upserts(source, MATCHES, table, f"{root}/checkpoint", available_now=True, compact_every=2)])
     return table.current().drop("processing_ts")
