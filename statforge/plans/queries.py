@@ -603,8 +603,7 @@ def stream_restart(t):
     """A run that is lost after a batch is in the log and before its checkpoint; the next run replays the batch."""
     spark = t.spark
     root = scratch(spark, "restart")
-    B.event_messages(t).repartition(3).write.parquet(f"{root}/in")
-    source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    source = _event_stream(t, t.events, 3, f"{root}/in")
     table = MATCHES.table(spark, f"{root}/table", U.LATEST_EVENT)
     record = upsert_batches(MATCHES, table, table.run_for(f"{root}/checkpoint"))
 
