@@ -627,12 +627,13 @@ def _two_topics(t: Tables) -> dict[str, DataFrame]:
     """Competition and standings messages streamed at the same time into two tables."""
     spark = t.spark
     root = scratch(spark, "topics")
-    B.competition_messages(t).repartition(3).write.parquet(f"{root}/competitions-in")
     B.standings_messages(t).write.parquet(f"{root}/standings-in")
+    sources = (
+        (COMPETITIONS, write_lots(t, lambda rows: B.competition_messages(t, rows), t.customer, ["c_custkey"], 3, f"{root}/competitions-in")),
+        (STANDINGS, spark.readStream.schema("value string").parquet(f"{root}/standings-in")),
+    )
     tables, running = {}, []
-    for topic, files in ((COMPETITIONS, 1), (STANDINGS, None)):
-        reader = spark.readStream.schema("value string")
-        source = (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(f"{root}/{topic.name}-in")
+    for topic, source in sources:
         tables[topic.name] = topic.table(spark, f"{root}/{topic.name}")
         running.append(start_upserts(source, topic, tables[topic.name], f"{root}/checkpoint-{topic.name}", available_now=True, compact_every=2))
     run_until_done(running)
@@ -658,8 +659,7 @@ def merged_state(t):
     flat = M.flatten_match(M.parse(B.event_messages(t, t.events.where(number == 0)), M.MATCH))
     snapshot = Snapshot(spark, root, "matches")
     snapshot.refresh(U.newest_in_batch(flat, MATCHES.keys, MATCHES.newest))
-    B.event_messages(t, t.events.where(number > 0)).repartition(2).write.parquet(f"{root}/in")
-    source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    source = _event_stream(t, t.events.where(number > 0), 2, f"{root}/in")
     table = MATCHES.table(spark, f"{root}/table", U.LATEST_EVENT)
     run_until_done([start_upserts(source, MATCHES, table, f"{root}/checkpoint", available_now=True, compact_every=0)])
     before = stored(merged_view(snapshot.read(), table), "merged").withColumn("compacted", F.lit(False))
