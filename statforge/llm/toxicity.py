@@ -22,6 +22,9 @@ from __future__ import annotations
 import re
 import string
 import zlib
+from array import array
+from collections.abc import Callable
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -50,6 +53,27 @@ _SHOUTS = ("!!", "!?", "?!", "??")
 TRAITS = ("insults", "address", "threat", "shout", "capitals")
 
 
+_MASK, _BEGUN = (1 << BITS) - 1, zlib.crc32(b"^")
+
+
+def buckets(word: str, crc32: Callable[..., int] = zlib.crc32) -> tuple[int, int, int, int]:
+    """The buckets of a word, its beginnings of 4 and 5 characters (after ``^``) and its end of 4 (before ``$``), one of each kind.
+
+    Texts have many words that no cache has seen, so this is most of the work: it is spelled out, and ASCII words are encoded once.
+    """
+    whole = word.encode()
+    if len(whole) == len(word):
+        start4, start5, end4 = whole[:4], whole[:5], whole[-4:]
+    else:
+        start4, start5, end4 = word[:4].encode(), word[:5].encode(), word[-4:].encode()
+    return (
+        crc32(whole) & _MASK,
+        (1 << BITS) + (crc32(start4, _BEGUN) & _MASK),
+        (2 << BITS) + (crc32(start5, _BEGUN) & _MASK),
+        (3 << BITS) + (crc32(b"$", crc32(end4)) & _MASK),
+    )
+
+
 class Evidence(dict):
     """The word features of a text, as buckets: each kind has its own range."""
 
@@ -57,8 +81,7 @@ class Evidence(dict):
         if len(self) >= _MOST_KEPT:
             self.clear()
         word = token.strip(_MARKS)
-        parts = (word, "^" + word[:4], "^" + word[:5], word[-4:] + "$") if word else ()
-        value = self[token] = tuple((kind << BITS) + (zlib.crc32(part.encode()) & (1 << BITS) - 1) for kind, part in enumerate(parts))
+        value = self[token] = buckets(word) if word else ()
         return value
 
     def of(self, text: str | None) -> np.ndarray:
@@ -80,13 +103,63 @@ class _Insults(dict):
 _is_insult = _Insults()
 
 
-def traits(text: str) -> list[int]:
-    """What the pattern voters look at: how many insults, and whether (1) there is an address beside them, a threat, a shout, mostly capitals."""
-    low = text.lower()
-    insults = sum(map(_is_insult.__getitem__, set(low.split())))
-    # By distinct character, as counting one is far faster than asking each.
-    chars = set(text)
-    uppers, letters = (sum(map(text.count, filter(kind, chars))) for kind in (str.isupper, str.isalpha))
+#: The row of a token of marks only: past all buckets.
+_NOTHING = (_SIZE,) * len(KINDS)
+
+
+class Rows(dict):
+    """The word features and insults of many texts: tokens are rows of a table, so that a text's features are looked up and told apart at once.
+
+    ``of`` gives the same set of buckets as ``Evidence``, ascending. The table is emptied between texts when it holds too many tokens.
+    """
+
+    def __init__(self):
+        self._buckets, self._insults = array("i"), bytearray()
+
+    def __missing__(self, token: str) -> int:
+        row = self[token] = len(self)
+        word = token.strip(_MARKS)
+        self._buckets.extend(buckets(word) if word else _NOTHING)
+        self._insults.append(word in INSULTS)
+        return row
+
+    def of(self, tokens: set[str]) -> tuple[np.ndarray, int]:
+        """Distinct features of a text's distinct tokens, and how many of the tokens are insults."""
+        if len(self) >= _MOST_KEPT:
+            self.clear()
+            self._buckets, self._insults = array("i"), bytearray()
+        rows = np.fromiter(map(self.__getitem__, tokens), "int32", len(tokens))
+        found = np.sort(np.frombuffer(self._buckets, "int32").reshape(-1, len(KINDS))[rows], axis=None)
+        found = found[: np.searchsorted(found, _SIZE)]
+        return found[np.diff(found, prepend=-1) != 0], int(np.frombuffer(self._insults, bool)[rows].sum())
+
+
+@cache
+def _letter_kinds() -> np.ndarray:
+    """1 for letters and 2 for capitals, summed, by code point below 65,536."""
+    return np.array([c.isalpha() + 2 * c.isupper() for c in map(chr, range(1 << 16))], "uint8")
+
+
+def _capitals(text: str) -> tuple[int, int]:
+    """How many capitals and how many letters a text has."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "uint32")
+    if len(codes) and codes.max() >> 16:
+        # By distinct character, as counting one is far faster than asking each.
+        chars = set(text)
+        uppers, letters = (sum(map(text.count, filter(kind, chars))) for kind in (str.isupper, str.isalpha))
+        return uppers, letters
+    neither, letters, marks, both = np.bincount(_letter_kinds()[codes], minlength=4).tolist()
+    return marks + both, letters + both
+
+
+def traits(text: str, low: str | None = None, insults: int | None = None) -> list[int]:
+    """What the pattern voters look at: how many insults, and whether (1) there is an address beside them, a threat, a shout, mostly capitals.
+
+    ``low`` is the text in lower case and ``insults`` the number of its distinct tokens that are insults, where the caller has them.
+    """
+    low = text.lower() if low is None else low
+    insults = sum(map(_is_insult.__getitem__, set(low.split()))) if insults is None else insults
+    uppers, letters = _capitals(text)
     return [
         insults,
         int(insults > 0 and _ADDRESS.search(low) is not None),
@@ -206,8 +279,12 @@ def vote_patterns(docs: DataFrame, voters) -> DataFrame:
     """(votes, count): how many of all documents vote alike. The voters tell some 20,000 patterns apart at most."""
 
     def vote(texts):
-        evidence, own = Evidence(), voters.value
-        return {"votes": [",".join(map(str, own.votes(evidence.of(text), traits(text or "")))) for text in texts]}
+        words, own, out = Rows(), voters.value, []
+        for text in (text or "" for text in texts):
+            low = text.lower()
+            features, insults = words.of(set(low.split()))
+            out.append(",".join(map(str, own.votes(features, traits(text, low, insults)))))
+        return {"votes": out}
 
     return map_columns(docs.select("text"), "votes string", vote).groupBy("votes").agg(F.count("*").alias("count"))
 
