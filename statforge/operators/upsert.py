@@ -12,8 +12,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from statforge.operators.dedup import first_by_key
+from statforge.operators.dedup import first_by_key, tie_break
 
 LAST_WRITER = "last_writer"
 LATEST_EVENT = "latest_event"
@@ -74,7 +75,7 @@ def resolve_partial(
 
     A partial change to an unknown key inserts the whole row. So the update columns come from the
     last change, the others from the last full change or, if there is none, from the first change.
-    One aggregation with map-side combine. ``keep_meta`` keeps the sequence of the last change and
+    One aggregation with map-side combine; a row brings its other columns once, as a full change or as a partial one. ``keep_meta`` keeps the sequence of the last change and
     flags the keys that had no full change, as ``merge`` needs them.
     """
     meta = {*keys, *sequence, partial}
@@ -86,7 +87,7 @@ def resolve_partial(
     reduced = changes.groupBy(*key_columns).agg(
         F.max_by(F.struct(*update_columns), order).alias("__new"),
         F.max_by(F.when(full, stable), F.when(full, order)).alias("__full"),
-        F.min_by(stable, order).alias("__first"),
+        F.min_by(F.when(~full, stable), F.when(~full, order)).alias("__first"),
         F.max(order).alias("__seq"),
     )
     base = F.coalesce("__full", "__first")
@@ -96,6 +97,53 @@ def resolve_partial(
     return reduced.select(*(picked[c].alias(c) for c in changes.columns if c in picked))
 
 
+def resolve_sorted(
+    changes: DataFrame,
+    keys: Sequence[str],
+    sequence: Sequence[str],
+    update_columns: Sequence[str],
+    partial: str = PARTIAL,
+    blank_null: Sequence[str] = (),
+    deal_by: Sequence[str] = (),
+    tasks: int | None = None,
+) -> DataFrame:
+    """``resolve_partial`` where changes may share key and sequence: of these the first by value counts, as in ``newest_in_batch``.
+
+    Every row crosses one shuffle and one sort, as it is. Nothing is reduced before the shuffle, so take the changes of ``crowded``
+    parts out first. Rows are dealt to ``tasks`` tasks (by default the session's) by the keys in ``deal_by`` (by default all): keys
+    that share these are alike, and alike rows side by side compress better.
+    """
+    names = [f"__k{i}" for i in range(len(keys))]
+    fixed = [c for c in changes.columns if c not in {*keys, *sequence, partial, *update_columns}]
+    dealt = _key_columns(deal_by or keys, blank_null)
+    rows = changes.repartition(tasks, *dealt) if tasks else changes.repartition(*dealt)
+    rows = rows.select("*", *(c.alias(n) for c, n in zip(_key_columns(keys, blank_null), names)))
+    newest_first = [*(F.col(c).desc_nulls_last() for c in sequence), *tie_break(changes, skip=[*sequence, partial])]
+    by_key = Window.partitionBy(*names).orderBy(*newest_first)
+    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    place, stable = F.struct(*sequence), F.struct(*fixed, *keys)
+    full = ~F.coalesce(F.col(partial), F.lit(False))
+    # The first row of each sequence stands for it.
+    rows = rows.withColumn("__stands", ~F.lag(place).over(by_key).eqNullSafe(place))
+    last_full = F.first(F.when(full, stable), ignorenulls=True).over(whole)
+    first = F.last(F.when(F.col("__stands"), stable), ignorenulls=True).over(whole)
+    rows = rows.select("*", F.row_number().over(by_key).alias("__rn"), F.coalesce(last_full, first).alias("__base")).where("__rn = 1")
+    kept = {*keys, *fixed}
+    picked = [c for c in changes.columns if c in kept or c in update_columns]
+    return rows.select(*((F.col("__base")[c] if c in kept else F.col(f"`{c}`")).alias(c) for c in picked))
+
+
+def crowded(rows: DataFrame, keys: Sequence[str], parts: int, limit: int, blank_null: Sequence[str] = ()) -> tuple[list[int], int]:
+    """Which of ``parts`` hash parts of the keys (see ``bucket_of``) hold over ``limit`` rows and four times the mean, and the number of all rows.
+
+    A key of that many rows is always in such a part. One count per part reaches the driver.
+    """
+    part = bucket_of(keys, parts, blank_null).alias("part")
+    counts = {row["part"]: row["count"] for row in rows.groupBy(part).count().collect()}
+    total = sum(counts.values())
+    return sorted(k for k, n in counts.items() if n > max(limit, 4 * total // parts)), total
+
+
 def merge(
     base: DataFrame,
     changes: DataFrame,

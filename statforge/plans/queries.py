@@ -487,7 +487,7 @@ def standings_dir(t):
     """Standings messages as files, some keys null and some absent, read as a directory and applied in name order."""
     root = scratch(t.spark, "standings")
     write_message_files(B.standings_file_messages(t), root, "[", "]")
-    rows = read_standings(t.spark, root, "*.txt")
+    rows = stored(read_standings(t.spark, root, "*.txt"), "rows")
     return load_standings_files(None, rows, SOURCE_FILE).drop("processed_at")
 
 

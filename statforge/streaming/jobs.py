@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -128,15 +128,33 @@ def await_first_failure(queries: Sequence[StreamingQuery], poll_seconds: float =
     return list(queries)
 
 
-def load_standings_files(state: DataFrame | None, files: DataFrame, path_column: str) -> DataFrame:
+# Keys by which rows of standings are dealt to tasks, parts of the key space in which rows are counted, rows of a part that may hold a hot key, rows sorted by one task.
+DEAL_BY = ("competition_id", "season_id", "team_id")
+KEY_PARTS = 4096
+CROWDED_ROWS = 100_000
+ROWS_PER_TASK = 1_000_000
+
+
+def load_standings_files(state: DataFrame | None, files: DataFrame, path_column: str, crowded_rows: int = CROWDED_ROWS) -> DataFrame:
     """State after loading standings files in name order onto ``state``.
 
     A row that exists keeps its competition, season-date and area columns. All files are applied in
-    one reduction instead of one pass per file.
+    one reduction instead of one pass per file. A count by key hash finds the parts of the key space that may hold a hot key; their
+    rows are reduced before every shuffle, all others cross a single one. So ``files`` are read twice: store them if that is dear.
     """
-    in_files = newest_in_batch(files, [*STANDING_KEY, path_column], None, ("group_name",))
-    changes = in_files.withColumnRenamed(path_column, "_seq").withColumn(U.PARTIAL, F.lit(True))
-    if state is not None:
-        old = state.withColumns({"_seq": F.lit(""), U.PARTIAL: F.lit(False)})
-        changes = old.unionByName(changes)
-    return U.resolve_partial(changes, STANDING_KEY, ["_seq"], FILE_UPDATES, blank_null=("group_name",))
+    blank, seq = ("group_name",), "_seq"
+    hot, total = U.crowded(files, DEAL_BY, KEY_PARTS, crowded_rows)
+    often = U.bucket_of(DEAL_BY, KEY_PARTS).isin(hot)
+    old = None if state is None else state.withColumns({seq: F.lit(""), U.PARTIAL: F.lit(False)})
+
+    def changes(rows: DataFrame, chosen: Column) -> DataFrame:
+        new = rows.where(chosen).withColumnRenamed(path_column, seq).withColumn(U.PARTIAL, F.lit(True))
+        return new if old is None else new.unionByName(old.where(chosen))
+
+    tasks = total // ROWS_PER_TASK
+    tasks = tasks if tasks > int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+    loaded = U.resolve_sorted(changes(files, ~often), STANDING_KEY, [seq], FILE_UPDATES, blank_null=blank, deal_by=DEAL_BY, tasks=tasks)
+    if hot:
+        reduced = newest_in_batch(files.where(often), [*STANDING_KEY, path_column], None, blank)
+        loaded = loaded.unionByName(U.resolve_partial(changes(reduced, often), STANDING_KEY, [seq], FILE_UPDATES, blank_null=blank))
+    return loaded if state is None else loaded.select(*(c for c in state.columns if c in loaded.columns))

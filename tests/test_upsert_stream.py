@@ -5,10 +5,13 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import rows
+from statforge.functions import messages as M
 from statforge.operators import upsert as U
-from statforge.streaming.jobs import COMPETITIONS, MATCHES, STANDINGS, run_until_done, start_upserts, upsert_batches
+from statforge.plans.views import STANDING_KEY
+from statforge.streaming.jobs import COMPETITIONS, FILE_UPDATES, MATCHES, STANDINGS, load_standings_files, run_until_done, start_upserts, upsert_batches
 from statforge.streaming.store import UpsertTable
 
 CHANGES = "k int, v string, t int, _run int, _batch bigint"
@@ -334,3 +337,48 @@ def test_store_with_mixed_batches_against_a_dictionary(spark, folder, partial_sh
         if batch_id in (2, 4):
             table.compact()
         assert {r.k: (r.a, r.b) for r in table.current().collect()} == state
+
+
+@pytest.mark.parametrize("crowded_rows", [10**6, 60, 0])
+def test_standings_files_cross_one_shuffle_and_match_a_pass_per_file(spark, crowded_rows):
+    """Repeated, hot and null keys, '' for a null group, several files and several rows of a key in a file; with and without a state."""
+    rng = random.Random(5)
+    columns = [flat.name for flat in M.STANDING_LAYOUT]
+    whole = ("competition_id", "season_id", "team_id", "points", "won")
+    kinds = T.StructType([T.StructField(c, T.IntegerType() if c in whole else T.StringType()) for c in columns])
+
+    def row(hot=False):
+        given = {
+            "competition_id": 1 if hot else rng.choice([1, 2, None]), "season_id": 2024, "team_id": 9 if hot else rng.randrange(40), "stage": "S", "standing_type": "TOTAL",
+            "group_name": None if hot else rng.choice([None, "", "G"]), "competition_name": rng.choice(["A", "B", None]), "area_name": rng.choice(["x", None]),
+            "team_name": rng.choice(["t", "u", None]), "points": rng.randrange(4), "won": rng.choice([None, 1, 2]), "current_matchday": rng.choice(["1", None]),
+        }
+        return tuple(given.get(c) for c in columns)
+
+    def key(r):
+        given = dict(zip(columns, r))
+        return tuple((given[c] or "") if c == "group_name" else given[c] for c in STANDING_KEY)
+
+    def first(found):
+        return min(found, key=lambda r: [(v is None, v if v is not None else 0) for v in r])
+
+    sent = [(row(), rng.choice("abc")) for _ in range(150)] + [(row(hot=True), rng.choice("abc")) for _ in range(100)]
+    held = {key(r): r for r in (row() for _ in range(40))}
+    files = spark.createDataFrame([(*r, f, "now") for r, f in sent], T.StructType([*kinds.fields, T.StructField("file", T.StringType()), T.StructField("processed_at", T.StringType())]))
+    state = spark.createDataFrame([(*r, "then") for r in held.values()], T.StructType([*kinds.fields, T.StructField("processed_at", T.StringType())]))
+    for before in ({}, held):
+        want = {k: (*r, "then") for k, r in before.items()}
+        for name in "abc":
+            in_file = {}
+            for r, f in sent:
+                if f == name:
+                    in_file.setdefault(key(r), []).append(r)
+            for k, found in in_file.items():
+                new = (*first(found), "now")
+                old = want.get(k, new)
+                want[k] = tuple(n if c in FILE_UPDATES else o for c, n, o in zip([*columns, "processed_at"], new, old))
+        loaded = load_standings_files(state if before else None, files, "file", crowded_rows)
+        assert loaded.columns == [*columns, "processed_at"]
+        if crowded_rows == 10**6:
+            assert loaded._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        assert sorted(rows(loaded), key=repr) == sorted(want.values(), key=repr)
