@@ -392,8 +392,12 @@ def live_events(t: Tables) -> DataFrame:
 
 
 def _dealt(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows spread by their key, as messages are over the partitions of a topic: a table of one small file would be one task."""
-    return df.repartition(*keys)
+    """Rows spread by their key, as messages are over the partitions of a topic: a table of one small file would be one task.
+
+    The number of tasks is the session's and given outright: tasks merged by the size of these short rows would be few, not many more than
+    cores, and some cores would wait while the text that the rows become is built and parsed.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def match_messages(t: Tables) -> DataFrame:

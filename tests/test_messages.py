@@ -3,6 +3,7 @@ import json
 
 from conftest import one, rows
 from statforge.functions import messages as M
+from statforge.plans import bindings as B
 from statforge.plans import views
 from statforge.plans.queries import FILE_MESSAGES, write_message_files
 from statforge.sources.files import competitions_file, standings_dir
@@ -133,3 +134,14 @@ def test_standings_files_tell_null_from_absent(spark, folder):
         json.dump({"competition": {"id": 1}, "season": {"id": 2}, "standings": [{"table": [row]}]}, out, indent=1)
     found = one(standings_dir(spark, folder))
     assert (found["points"], found["won"], found["draw"], found["team_name"]) == (None, 3, 0, "T")
+
+
+def test_messages_are_dealt_over_all_tasks_of_the_session(spark, folder):
+    """Short rows become long text: tasks merged by the rows' size would leave cores without work."""
+    lines = spark.range(0, 400, 1, 1).selectExpr(
+        "id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber", "5D AS l_quantity", "'R' AS l_returnflag", "'F' AS l_linestatus"
+    )
+    lines.write.parquet(f"{folder}/lineitem.parquet")
+    messages = B.standings_messages(B.Tables(spark, folder))
+    assert messages.rdd.getNumPartitions() == 4
+    assert messages.count() == 400
