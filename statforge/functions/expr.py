@@ -46,7 +46,8 @@ def first_text(*columns: ColumnLike) -> Column:
 # Casts of unreadable text raise inside Spark and are caught there, which costs microseconds per cell.
 # These patterns let only readable text reach a cast.
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?\s*$"
-_DIGITS = r"^\s*[+-]?\d+(\.\d*)?\s*$"
+# Whole parts far beyond 32 bits are refused here, too, as the cast to int would raise on each of them. Nothing is tried twice (``+``).
+_DIGITS = r"^\s*+[+-]?+0*(?:\d{1,9}+|1\d{9}+|2[01]\d{8}+)(?:\.\d*+)?+\s*+$"
 
 
 def lenient_double(column: ColumnLike) -> Column:

@@ -7,8 +7,10 @@ double.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import wraps
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -688,12 +690,16 @@ def event_windows(t):
 
 
 def write_raw(t: Tables, root: str, names) -> None:
-    """Raw tables as CSV below ``root``, one folder per table."""
-    for name in names:
+    """Raw tables as CSV below ``root``, one folder per table. Up to four are submitted together, as in the stages of the pipeline."""
+
+    def one(name: str) -> None:
         B.RAW[name](t).write.option("header", True).option("escape", '"').option(
             "ignoreLeadingWhiteSpace", False
         ).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/{name}/{name}.csv")
 
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(inheritable_thread_target(t.spark)(one), names))
+
 
 @query
 def ingest_roundtrip(t):
