@@ -38,6 +38,8 @@ from statforge.streaming.windows import start_windows, windowed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 FILE_MESSAGES = 1000
+# Messages of one file of a topic: Spark reads at most some thirty such small files in one task, so what a task sorts is bounded.
+TOPIC_FILE_MESSAGES = 25_000
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -629,7 +631,7 @@ def _two_topics(t: Tables) -> dict[str, DataFrame]:
     """Competition and standings messages streamed at the same time into two tables."""
     spark = t.spark
     root = scratch(spark, "topics")
-    B.standings_messages(t).write.parquet(f"{root}/standings-in")
+    B.standings_messages(t).write.option("compression", "zstd").option("maxRecordsPerFile", TOPIC_FILE_MESSAGES).parquet(f"{root}/standings-in")
     sources = (
         (COMPETITIONS, write_lots(t, lambda rows: B.competition_messages(t, rows), t.customer, ["c_custkey"], 3, f"{root}/competitions-in")),
         (STANDINGS, spark.readStream.schema("value string").parquet(f"{root}/standings-in")),

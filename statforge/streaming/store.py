@@ -125,7 +125,7 @@ class UpsertTable:
             return 0
         before, reached = self._base(), self._reached()
         old = [path for k, path in before.items() if k in touched]
-        state = self._merged(old, changes).withColumn(_BUCKET, bucket)
+        state = self._merged(old, log).withColumn(_BUCKET, bucket)
         number = log[-1].seq
         covered = self._covered()
         for entry in log:
@@ -157,15 +157,19 @@ class UpsertTable:
         log, base = self._log(), list(self._base().values())
         if not log and not base:
             raise FileNotFoundError(f"no committed batch below {self.root}")
-        state = self._merged(base, self._read(log)) if log else self.spark.read.parquet(*base)
+        state = self._merged(base, log) if log else self.spark.read.parquet(*base)
         return state.drop(_SEQ, U.PARTIAL)
 
     def _read(self, log: list[Entry]) -> DataFrame:
         return self.spark.read.parquet(*(entry.path for entry in log))
 
-    def _merged(self, base: list[str], changes: DataFrame) -> DataFrame:
-        """State of the buckets in ``base`` after ``changes``, which are reduced to one a key before they meet the base."""
-        reduced = self._resolve(changes)
+    def _merged(self, base: list[str], log: list[Entry]) -> DataFrame:
+        """State of the buckets in ``base`` after the changes in ``log``, which are reduced to one a key before they meet the base.
+
+        A single batch was reduced to one a key when it was recorded: its rows are not shuffled and sorted a second time.
+        """
+        changes = self._read(log)
+        reduced = changes if len(log) == 1 else self._resolve(changes)
         if not base:
             return reduced
         guard = self.newest if self.policy == U.LATEST_EVENT else None

@@ -1,9 +1,15 @@
 """How the stream queries lay out their messages."""
 
+import glob
+
 from pyspark.sql import functions as F
 
-from statforge.plans import queries
+from conftest import rows
+from statforge.functions import messages as M
+from statforge.operators import upsert as U
+from statforge.plans import queries, views
 from statforge.plans.bindings import Tables
+from statforge.session import shared_dir
 
 
 def test_more_rows_make_more_files_but_not_fewer_batches(spark, folder):
@@ -33,3 +39,31 @@ def test_more_rows_make_more_files_but_not_fewer_batches(spark, folder):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_files_of_standings_messages_stay_small(spark, folder, monkeypatch):
+    """Files grew with the table, and with them the rows that one task sorted and spilled."""
+    number = F.col("id")
+    spark.range(700).select(
+        F.when(number % 50 != 0, number / 7).cast("bigint").alias("l_orderkey"),
+        (number % 7).cast("int").alias("l_linenumber"),
+        (number % 20).alias("l_suppkey"),
+        (number % 30).alias("l_partkey"),
+        (number % 50).cast("double").alias("l_quantity"),
+        F.when(number % 3 == 0, "R").when(number % 3 == 1, "").alias("l_returnflag"),
+        F.when(number % 2 == 0, "F").otherwise("O").alias("l_linestatus"),
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(20).select(
+        number.alias("c_custkey"), F.concat(F.lit("C"), number.cast("string")).alias("c_name"), F.lit(1).alias("c_nationkey"), F.lit("M").alias("c_mktsegment")
+    ).write.parquet(f"{folder}/customer.parquet")
+    monkeypatch.setattr(queries, "TOPIC_FILE_MESSAGES", 40)
+    seen = set(glob.glob(f"{shared_dir(spark)}/topics-*"))
+    got = queries.QUERIES["stream_standings"](spark, folder)
+    (root,) = set(glob.glob(f"{shared_dir(spark)}/topics-*")) - seen
+    sent = spark.read.parquet(f"{root}/standings-in")
+    messages = queries.B.standings_messages(Tables(spark, folder))
+    assert sent.exceptAll(messages).count() == 0 and messages.exceptAll(sent).count() == 0 and sent.count() == 700
+    assert max(n for n, in rows(sent.groupBy(F.input_file_name()).count().select("count"))) <= 40
+    flat = M.flatten_standings(M.parse(messages, M.STANDINGS), audit=False)
+    want = queries.comparable(U.newest_in_batch(flat, views.STANDING_KEY, None, ["group_name"]))
+    assert 0 < want.count() < flat.count() and sorted(rows(got), key=repr) == sorted(rows(want), key=repr)

@@ -107,6 +107,27 @@ def test_store_replay_runs_and_compaction(spark, folder):
     assert table.run_for("checkpoint-b") == second
 
 
+@pytest.mark.parametrize("updates", [None, ["v"]])
+def test_a_single_batch_is_not_reduced_a_second_time(spark, folder, updates):
+    """A batch holds one change a key when it is in the log; shuffling and sorting it again only took disk."""
+    table = UpsertTable(spark, f"{folder}/t", ["k", "g"], "t", blank_null=["g"], update_columns=updates)
+    run, schema = table.run_for("w"), "k int, g string, t int, v string"
+    moved = lambda: "Exchange" in table.current()._jdf.queryExecution().executedPlan().toString()
+    first = [(1, None, 1, "a"), (1, "", 2, "b"), (1, "", 2, "a"), (None, "x", 1, "c"), (None, "x", 1, "c"), (2, "x", None, "d")]
+    assert table.apply(spark.createDataFrame(first, schema), run, 0, partial=updates is not None) == 3
+    assert not moved() and sorted(rows(table.current()), key=repr) == [(1, "", 2, "a"), (2, "x", None, "d"), (None, "x", 1, "c")]
+    table.apply(spark.createDataFrame([(1, None, 0, "e"), (3, "", 1, "f")], schema), run, 1)
+    now = [(1, None, 0, "e"), (2, "x", None, "d"), (3, "", 1, "f"), (None, "x", 1, "c")]
+    assert moved() and sorted(rows(table.current()), key=repr) == now
+    table.compact()
+    # One batch on top of a base.
+    table.apply(spark.createDataFrame([(None, "x", 5, "g"), (None, "x", 4, "h"), (4, None, 1, "i")], schema), run, 2)
+    now = [*now[:3], (4, None, 1, "i"), (None, "x", 5, "g")]
+    assert sorted(rows(table.current()), key=repr) == now
+    table.compact()
+    assert sorted(rows(table.current()), key=repr) == now
+
+
 @pytest.mark.parametrize("compacted", [False, True])
 def test_alternating_writers_lose_nothing(spark, folder, compacted):
     """A0, B0, A1: A wrote last, whether or not the log is folded in between; replays change nothing."""
